@@ -89,7 +89,8 @@ def partitioned_write(spark, sf_dir):
 
 
 def _final_rows(spark, sf_dir, source=None):
-    rows = normalize(source if source is not None else points(spark, sf_dir), ZONE, order=["ord"])
+    source = points(spark, sf_dir) if source is None else source
+    rows = normalize(source, ZONE, order=["ord"], describe=False)
     return enrich(rows, series_map(spark, SERIES_CONFIG), RUN_TS)
 
 
@@ -163,7 +164,9 @@ def _project_two(spark, sf_dir, publish):
     for number, part in enumerate((rows.where(old), rows.where(~old))):
         run_ts = RUN_TS + timedelta(hours=number)
         version_id = versions.new_version_id(run_ts)
-        versions.commit_version(_final_rows(spark, sf_dir, part), layout, version_id, run_ts)
+        versions.commit_version(
+            _final_rows(spark, sf_dir, part), layout, version_id, run_ts, unique_keys=True
+        )
         projection.project_current(spark, layout, run_ts, publish=publish, bucket="b")
     return projection.read_projection(spark, layout).select(
         wall("obs_time"), "obs_local", CODE, "value"
@@ -206,6 +209,7 @@ def stream_incremental(spark, sf_dir):
             lambda batch, marks: only_new(events_as_points(batch), marks, spread=["ord"]),
             later.normalize,
             later.transform,
+            later.unique_keys,
         )
 
     schema = table(spark, sf_dir, "events").schema

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import column_index, not_nan, parse_grid_decimal
@@ -11,6 +11,8 @@ from tidemark.operators.lookup import BROADCAST_ROWS, lookup_join
 from tidemark.schemas import POINTS
 from tidemark.sources.series import SeriesMap
 
+# Up to this many configured names are pushed to the scan as literals.
+_PUSHED_NAMES = 1000
 _SERIES_FACTS = ["series_ord", "internal_series_code", "unit", "frequency", "drop_na"]
 
 
@@ -31,7 +33,7 @@ def _describe(points: DataFrame, series: SeriesMap) -> DataFrame:
 
 def _on_sheets(cells: DataFrame, series: SeriesMap) -> DataFrame:
     """Push the configured sheet names down to the scan."""
-    if series.size > 1000:
+    if series.size > _PUSHED_NAMES:
         return cells
     return cells.where(F.col("sheet").isin(series.sheets))
 
@@ -46,37 +48,35 @@ def extract_vertical(cells: DataFrame, series: SeriesMap) -> DataFrame:
     places = layout.frame.select(
         F.col("ord").alias("series_ord"),
         "sheet",
+        "drop_na",
         (F.col("header_row") + F.col("skip_rows_after_header")).alias("first_row"),
-        column_index(F.col("date_col")).alias("date_at"),
-        column_index(F.col("value_col")).alias("value_at"),
+        F.inline(
+            F.array(
+                _role(column_index(F.col("date_col")).alias("col"), is_date=True),
+                _role(column_index(F.col("value_col")).alias("col"), is_date=False),
+            )
+        ),
     )
     sheet_cells = _on_sheets(cells, layout)
+    columns = ["source_id", "series_ord", "row", "is_date", "ts", "num", "str"]
     hits = (
-        lookup_join(sheet_cells, places, ["sheet"], "inner", ["row", "col"], _small(layout))
-        .where("row >= first_row and (col = date_at or col = value_at)")
-        .select(
-            "source_id", "series_ord", "row", "ts", "num", "str",
-            (F.col("col") == F.col("date_at")).alias("is_date"),
-            (F.col("col") == F.col("value_at")).alias("is_value"),
-        )
+        lookup_join(sheet_cells, places, ["sheet", "col"], "inner", ["row"], _small(layout))
+        .where("row >= first_row")
+        .select(*columns)
     )
-    blanks = layout.keeping_blanks()
-    if blanks.size:
-        hits = hits.unionByName(_blank_rows(sheet_cells, places, blanks), allowMissingColumns=True)
-    number_text = F.col("num").cast("string")
-    date_text = F.coalesce("str", number_text)
+    if any(not entry["drop_na"] for entry in layout.entries):
+        hits = hits.unionByName(_blank_rows(sheet_cells, places, layout), allowMissingColumns=True)
+    date_text = F.coalesce("str", F.col("num").cast("string"))
     value_text = F.coalesce("str", F.col("ts").cast("string"))
-    pivot = (
-        hits.groupBy("source_id", "series_ord", F.col("row").cast("bigint").alias("pos"))
-        .agg(
-            F.max(F.when(F.col("is_date"), F.col("ts"))).alias("obs_ts"),
-            F.max(F.when(F.col("is_date"), date_text)).alias("obs_str"),
-            F.max(F.when(F.col("is_value"), F.col("num"))).alias("value_num"),
-            F.max(F.when(F.col("is_value"), value_text)).alias("value_str"),
-        )
-    )
-    has_date = F.coalesce(F.col("obs_ts").cast("string"), "obs_str").isNotNull()
-    has_value = F.coalesce(F.col("value_num").cast("string"), "value_str").isNotNull()
+    is_value = ~F.col("is_date")
+    pivot = hits.groupBy("source_id", "series_ord", F.col("row").cast("bigint").alias("pos")).agg(
+        F.max(F.when(F.col("is_date"), F.col("ts"))).alias("obs_ts"),
+        F.max(F.when(F.col("is_date"), date_text)).alias("obs_str"),
+        F.max(F.when(is_value, F.col("num"))).alias("value_num"),
+        F.max(F.when(is_value, value_text)).alias("value_str"),
+    )
+    has_date = F.col("obs_ts").isNotNull() | F.col("obs_str").isNotNull()
+    has_value = F.col("value_num").isNotNull() | F.col("value_str").isNotNull()
     return (
         _describe(pivot, layout)
         .where(~F.col("drop_na") | (has_date & has_value))
@@ -84,25 +84,22 @@ def extract_vertical(cells: DataFrame, series: SeriesMap) -> DataFrame:
     )
 
 
-def _blank_rows(cells: DataFrame, places: DataFrame, blanks: SeriesMap) -> DataFrame:
-    """A row number for every sheet row a blank-keeping series covers."""
+def _role(*place: Column, is_date: bool) -> Column:
+    return F.struct(*place, F.lit(is_date).alias("is_date"))
+
+
+def _blank_rows(cells: DataFrame, places: DataFrame, layout: SeriesMap) -> DataFrame:
+    """An empty hit for every sheet row a blank-keeping series covers."""
     extent = cells.groupBy("source_id", "sheet").agg(F.max("row").alias("last_row"))
-    kept = places.join(
-        F.broadcast(blanks.frame.select(F.col("ord").alias("series_ord")))
-        if _small(blanks)
-        else blanks.frame.select(F.col("ord").alias("series_ord")),
-        "series_ord",
-        "left_semi",
-    )
+    kept = places.where("is_date and not drop_na").select("series_ord", "sheet", "first_row")
     return (
-        lookup_join(extent, kept, ["sheet"], "inner", ["source_id"], _small(blanks))
+        lookup_join(extent, kept, ["sheet"], "inner", ["source_id"], _small(layout))
         .where("first_row <= last_row")
         .select(
             "source_id",
             "series_ord",
             F.explode(F.sequence("first_row", "last_row")).alias("row"),
-            F.lit(False).alias("is_date"),
-            F.lit(False).alias("is_value"),
+            F.lit(None).cast("boolean").alias("is_date"),
         )
     )
 
@@ -121,10 +118,20 @@ def extract_horizontal(
     places = layout.frame.select(
         F.col("ord").alias("series_ord"),
         "sheet",
-        "fecha_row",
-        "valor_row",
-        column_index(F.col("fecha_start_col")).alias("date_from"),
-        column_index(F.col("valor_start_col")).alias("value_from"),
+        F.inline(
+            F.array(
+                _role(
+                    F.col("fecha_row").alias("row"),
+                    column_index(F.col("fecha_start_col")).alias("start"),
+                    is_date=True,
+                ),
+                _role(
+                    F.col("valor_row").alias("row"),
+                    column_index(F.col("valor_start_col")).alias("start"),
+                    is_date=False,
+                ),
+            )
+        ),
     )
     sheet_cells = _on_sheets(cells, layout)
     slots = _slots(sheet_cells, places, layout, date_formats)
@@ -141,54 +148,49 @@ def extract_horizontal(
             F.when(F.col("first_valid") == 0, F.col("first_invalid")).otherwise(0).alias("stop"),
         )
     )
-    blanks = layout.keeping_blanks()
-    if blanks.size:
+    if any(not entry["drop_na"] for entry in layout.entries):
         stops = _stop_at_sheet_edge(stops, sheet_cells, places, layout)
     pairs = lookup_join(slots, stops, ["source_id", "series_ord"], "inner", ["pos"], small=False)
     return (
         _describe(pairs.where("pos < stop"), layout)
         .where(~F.col("drop_na") | F.col("value_num").isNotNull())
-        .select(*[_horizontal_column(name) for name in POINTS.fieldNames()])
+        # Dates and values are typed by now: their text forms stay empty.
+        .withColumn("obs_str", F.lit(None).cast("string"))
+        .withColumn("value_str", F.lit(None).cast("string"))
+        .select(*POINTS.fieldNames())
     )
 
 
-def _horizontal_column(name: str):
-    # Dates and values are already typed: text forms stay empty.
-    return F.lit(None).cast("string").alias(name) if name in ("obs_str", "value_str") else F.col(name)
-
-
 def _slots(cells, places, layout: SeriesMap, date_formats) -> DataFrame:
     """One row per (source, series, offset) that has or needs a date, with its value."""
-    date_at = F.col("col") - F.col("date_from")
-    value_at = F.col("col") - F.col("value_from")
-    date = F.coalesce("ts", parse_date_text(F.col("str"), date_formats))
-    value = F.coalesce(not_nan(F.col("num")), parse_grid_decimal(F.col("str")))
-    in_dates = (F.col("row") == F.col("fecha_row")) & (date_at >= 0)
-    in_values = (F.col("row") == F.col("valor_row")) & (value_at >= 0)
-    no_date = F.lit(None).cast("timestamp_ntz")
-    no_value = F.lit(None).cast("double")
-
-    def entry(pos, obs_ts, value_num):
-        return F.struct(
-            pos.cast("bigint").alias("pos"), obs_ts.alias("obs_ts"), value_num.alias("value_num")
-        )
-
-    wanted = F.array(
-        F.when(in_dates, entry(date_at, date, no_value)),
-        F.when(in_dates & date.isNotNull(), entry(date_at + 1, no_date, no_value)),
-        F.when(in_values, entry(value_at, no_date, value)),
-    )
     near = cells
-    if layout.size <= 1000:
+    if layout.size <= _PUSHED_NAMES:
         rows = {e[k] for e in layout.entries for k in ("fecha_row", "valor_row")}
         near = cells.where(F.col("row").isin(sorted(rows)))
-    return (
-        lookup_join(near, places, ["sheet"], "inner", ["row", "col"], _small(layout))
-        .where("row = fecha_row or row = valor_row")
+    is_date = F.col("is_date")
+    pos = (F.col("col") - F.col("start")).cast("bigint")
+    date = F.coalesce("ts", parse_date_text(F.col("str"), date_formats))
+    value = F.coalesce(not_nan(F.col("num")), parse_grid_decimal(F.col("str")))
+    typed = (
+        lookup_join(near, places, ["sheet", "row"], "inner", ["col"], _small(layout))
+        .where("col >= start")
         .select(
-            "source_id", "series_ord",
-            F.inline(F.filter(wanted, lambda item: item.isNotNull())),
+            "source_id",
+            "series_ord",
+            pos.alias("pos"),
+            F.when(is_date, date).alias("obs_ts"),
+            F.when(~is_date, value).alias("value_num"),
         )
+    )
+    own = F.struct("pos", "obs_ts", "value_num")
+    following = F.struct(
+        (F.col("pos") + 1).alias("pos"),
+        F.lit(None).cast("timestamp_ntz").alias("obs_ts"),
+        F.lit(None).cast("double").alias("value_num"),
+    )
+    asked = F.when(F.col("obs_ts").isNotNull(), F.array(own, following)).otherwise(F.array(own))
+    return (
+        typed.select("source_id", "series_ord", F.inline(asked))
         .groupBy("source_id", "series_ord", "pos")
         .agg(F.max("obs_ts").alias("obs_ts"), F.max("value_num").alias("value_num"))
     )
@@ -196,18 +198,13 @@ def _slots(cells, places, layout: SeriesMap, date_formats) -> DataFrame:
 
 def _stop_at_sheet_edge(stops, cells, places, layout: SeriesMap) -> DataFrame:
     """Pairs end where the value row runs past the sheet's last used column."""
-    has_value = F.coalesce(F.col("ts").cast("string"), F.col("num").cast("string"), "str")
-    edge = (
-        cells.where(has_value.isNotNull())
-        .groupBy("source_id", "sheet")
-        .agg(F.max("col").alias("last_col"))
-    )
-    limits = lookup_join(
-        edge, places, ["sheet"], "inner", ["source_id"], _small(layout)
-    ).select(
+    used = F.col("ts").isNotNull() | F.col("num").isNotNull() | F.col("str").isNotNull()
+    edge = cells.where(used).groupBy("source_id", "sheet").agg(F.max("col").alias("last_col"))
+    starts = places.where("not is_date").select("series_ord", "sheet", "start")
+    limits = lookup_join(edge, starts, ["sheet"], "inner", ["source_id"], _small(layout)).select(
         "source_id",
         "series_ord",
-        (F.col("last_col") - F.col("value_from") + 1).cast("bigint").alias("room"),
+        (F.col("last_col") - F.col("start") + 1).cast("bigint").alias("room"),
     )
     return stops.join(limits, ["source_id", "series_ord"], "left").select(
         "source_id", "series_ord", F.least("stop", "room").alias("stop")

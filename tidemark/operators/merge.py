@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import keep_first
@@ -48,19 +50,23 @@ def unseen_rows(
     incoming: DataFrame,
     keys: list[str] | None = None,
     order: str | None = None,
+    unique: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """The rows a first-write-wins merge would add: first per key and not in the projection.
 
-    Only the key columns of the projection are read.
+    Only the key columns of the projection are read.  Incoming rows known to be ``unique``
+    skip their own de-duplication.  Where keys are never null, plain equality lets the join
+    reuse the partitioning of the de-duplication.
     """
     keys = keys or KEYS
-    firsts = keep_first(incoming, keys, [order] if order else keys)
-    left, right = firsts.alias("new"), projection.select(*keys).alias("old")
-    same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    return left.join(right, condition, "left_anti")
+    firsts = incoming if unique else keep_first(incoming, keys, [order] if order else keys)
+    known = projection.select(*keys)
+    if not null_keys:
+        return firsts.join(known, keys, "left_anti")
+    left, right = firsts.alias("new"), known.alias("old")
+    same = [F.col(f"new.{key}").eqNullSafe(F.col(f"old.{key}")) for key in keys]
+    return left.join(right, reduce(Column.__and__, same), "left_anti")
 
 
 def merge_as_published(

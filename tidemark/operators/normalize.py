@@ -39,12 +39,14 @@ def normalize(
     zone: str = "UTC",
     dedup: bool = True,
     order: list[str] | None = None,
+    describe: bool = True,
 ) -> DataFrame:
     """Valid points as observations: instant, wall clock, code, value, unit, frequency.
 
     A timestamp_ntz ``obs_ts`` is read in ``zone``; a timestamp ``obs_ts`` is converted to
     it.  Rows of one (instant, code) are reduced to the first by ``order``; without
-    de-duplication the order is kept in ``ord`` for later merges.
+    de-duplication the order is kept in ``ord`` for later merges.  With ``describe`` off,
+    unit and frequency are left out (enrichment supplies them) and need no shuffling.
     """
     order = order or [name for name in POINT_ORDER if name in points.columns]
     aware = isinstance(points.schema["obs_ts"].dataType, TimestampType)
@@ -53,7 +55,7 @@ def normalize(
     local = to_wall_clock(clock, zone) if aware else clock
     described = [
         F.col(name) if name in points.columns else F.lit(None).cast("string").alias(name)
-        for name in ("unit", "frequency")
+        for name in (("unit", "frequency") if describe else ())
     ]
     rows = valid_points(points).select(
         instant.alias("obs_time"),
@@ -63,9 +65,9 @@ def normalize(
         *described,
         *order,
     )
-    names = ["obs_time", "obs_local", "internal_series_code", "value", "unit", "frequency"]
+    names = [name for name in rows.columns if name not in order]
     if dedup:
-        return keep_first(rows, ["obs_time", "internal_series_code"], order).select(*names)
+        return keep_first(rows, ["obs_time", "internal_series_code"], order, keep=names)
     return rows.select(*names, _order_struct(order).alias("ord"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.events import update_event, update_subject
 from tidemark.operators.enrich import instant_literal
+from tidemark.operators.lookup import BROADCAST_ROWS
 from tidemark.operators.merge import merge_as_published, merge_first_wins, touched_only, unseen_rows
 from tidemark.operators.partitions import write_partitioned
 from tidemark.plans.layout import DatasetLayout
@@ -76,10 +77,12 @@ def project_version(
     manifest = load_manifest(spark, layout, version_id)
     if manifest is None:
         raise ValueError(f"no manifest for version {version_id} of {layout.dataset_id}")
-    if manifest.first()["file_count"] == 0:
+    facts = manifest.select("file_count", "unique_keys").first()
+    if not facts["file_count"]:
         return False
     finish_interrupted(spark, layout, projected_at)
-    incoming = read_version(spark, layout, version_id)
+    few = facts["file_count"] <= BROADCAST_ROWS
+    incoming = read_version(spark, layout, version_id, few)
     # Written and one row per file: `points > 0` is what lets it prune projection folders.
     touched = (
         read_file_index(spark, layout, version_id)
@@ -88,10 +91,14 @@ def project_version(
         .distinct()
     )
     base = touched_only(
-        read_projection(spark, layout), touched, PARTITION_COLUMNS, ["obs_time"]
+        read_projection(spark, layout), touched, PARTITION_COLUMNS, ["obs_time"], few
     )
     if publish == "append" and dedup_new_partitions:
-        write_partitioned(unseen_rows(base, incoming, order="ord"), layout.projections, "append")
+        # Stored rows always have both keys: the write checks them.
+        unseen = unseen_rows(
+            base, incoming, order="ord", unique=bool(facts["unique_keys"]), null_keys=False
+        )
+        write_partitioned(unseen, layout.projections, "append")
     else:
         if dedup_new_partitions:
             merged = merge_first_wins(base, incoming, order="ord")

@@ -42,6 +42,7 @@ class Stages:
     parse: Callable[[DataFrame, DataFrame], DataFrame] | None = None
     normalize: Stage | None = None
     transform: Stage | None = None
+    unique_keys: bool = False  # no two rows share an instant and a code
 
 
 @dataclass(frozen=True)
@@ -70,19 +71,19 @@ def table_stages(
     return Stages(only_new, *_later_stages(series, config, run_ts, order))
 
 
-def _later_stages(series, config, run_ts, order) -> tuple[Stage, Stage]:
+def _later_stages(series, config, run_ts, order) -> tuple[Stage, Stage, bool]:
     settings = config.get("normalize", {})
     zone = settings.get("timezone", "UTC")
     # The key list only switches de-duplication on or off; the key itself is fixed.
     dedup = bool(settings.get("primary_keys"))
 
     def normalized(points: DataFrame) -> DataFrame:
-        return normalize(points, zone, dedup, order)
+        return normalize(points, zone, dedup, order, describe=False)
 
     def enriched(observations: DataFrame) -> DataFrame:
         return enrich(observations, series, run_ts)
 
-    return normalized, enriched
+    return normalized, enriched, dedup
 
 
 def load_state(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
@@ -146,13 +147,13 @@ def run_refresh(
     version_id = new_version_id(run_ts)
     days = config.get("windowInDays")
     if days is None:
-        committed = commit_version(final, layout, version_id, run_ts)
+        committed = commit_version(final, layout, version_id, run_ts, stages.unique_keys)
         seen = _marks_of_version(spark, layout, version_id) if committed else None
     else:
         # Marks cover rows the window drops, so the rows are written once and read twice.
         final = staged(final, "observations")
         recent = within_window(final, days, as_of or run_ts)
-        committed = commit_version(recent, layout, version_id, run_ts)
+        committed = commit_version(recent, layout, version_id, run_ts, stages.unique_keys)
         seen = high_water_marks(final)
     projected = project and project_current(
         spark, layout, run_ts, publish=publish, bucket=bucket

@@ -35,17 +35,25 @@ def new_version_id(run_ts: datetime) -> str:
 
 
 def commit_version(
-    observations: DataFrame, layout: DatasetLayout, version_id: str, run_ts: datetime
+    observations: DataFrame,
+    layout: DatasetLayout,
+    version_id: str,
+    run_ts: datetime,
+    unique_keys: bool = False,
 ) -> bool:
     """Write a version: data, file index, manifest, and the commit row last.
 
     Until the commit row is there nobody sees the version, so a run that dies leaves an
     orphan folder and the next attempt overwrites it.  No rows, no version (False); a
-    version already committed is left alone (True).
+    version already committed is left alone (True).  ``unique_keys`` notes that no two rows
+    share an instant and a code, which saves projecting a de-duplication.
     """
     spark = observations.sparkSession
-    log = read_table(spark, layout.commit_log, COMMIT_LOG)
-    if not log.where(F.col("version_id") == version_id).isEmpty():
+    known = read_table(spark, layout.commit_log, COMMIT_LOG).agg(
+        F.coalesce(F.max("commit_seq"), F.lit(0)).alias("last_seq"),
+        F.coalesce(F.bool_or(F.col("version_id") == version_id), F.lit(False)).alias("done"),
+    ).first()
+    if known["done"]:
         return True
     write_partitioned(as_observations(observations), layout.data(version_id), mode="overwrite")
     # One pass over the files just written, reading the time columns only.
@@ -55,12 +63,14 @@ def commit_version(
     ).select(*FILE_INDEX.fieldNames())
     index.write.mode("overwrite").parquet(layout.file_index(version_id))
     index = read_file_index(spark, layout, version_id)
-    if index.isEmpty():
+    files = index.count()
+    if files == 0:
         return False
-    manifest_of(index, version_id, layout.dataset_id, run_ts).coalesce(1).write.mode(
-        "overwrite"
-    ).json(layout.manifest(version_id))
-    append_commit(spark, layout, version_id, run_ts)
+    manifest = manifest_of(
+        index, version_id, layout.dataset_id, run_ts, rows=files, unique_keys=unique_keys
+    )
+    manifest.coalesce(1).write.mode("overwrite").json(layout.manifest(version_id))
+    append_commit(spark, layout, version_id, run_ts, known["last_seq"] + 1)
     return True
 
 
@@ -83,15 +93,16 @@ def read_file_index(spark: SparkSession, layout: DatasetLayout, version_id: str)
     return read_table(spark, layout.file_index(version_id), FILE_INDEX)
 
 
-def read_version(spark: SparkSession, layout: DatasetLayout, version_id: str) -> DataFrame:
+def read_version(
+    spark: SparkSession, layout: DatasetLayout, version_id: str, small_index: bool | None = None
+) -> DataFrame:
     """The rows of the files a version's index lists, and of no other file."""
     listed = read_file_index(spark, layout, version_id).select(*PARTITION_COLUMNS, "file_name")
     rows = read_stored(spark, layout.data(version_id)).withColumn(
         "file_name", F.col("_metadata.file_name")
     )
-    return lookup_join(
-        rows, listed, [*PARTITION_COLUMNS, "file_name"], "left_semi", ["obs_time"]
-    ).select(*STORED_OBSERVATIONS.fieldNames())
+    by = [*PARTITION_COLUMNS, "file_name"]
+    return lookup_join(rows, listed, by, "left_semi", ["obs_time"], small_index).select(*STORED_OBSERVATIONS.fieldNames())
 
 
 def manifest_of(
@@ -100,6 +111,8 @@ def manifest_of(
     dataset_id: str,
     created_at: datetime,
     partition_strategy: str = "series_year_month",
+    rows: int | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """One manifest row from a file index (or from partition statistics without files).
 
@@ -107,7 +120,7 @@ def manifest_of(
     the instants.  The lists are left null beyond ``INLINE_FILES`` index rows: the index
     beside the manifest holds them.
     """
-    inline = index.limit(INLINE_FILES + 1).count() <= INLINE_FILES
+    inline = (index.count() if rows is None else rows) <= INLINE_FILES
     code = F.col("internal_series_code")
     partition = partition_path_of(code, F.col("year").cast("string"), F.col("month"))
     has_files = "file_name" in index.columns
@@ -117,6 +130,10 @@ def manifest_of(
         none = F.lit(None).cast("array<string>")
         return F.array_sort(F.collect_set(value)) if inline else none
 
+    def distinct(value: Column) -> Column:
+        # Up to the limit the sets are built anyway; a distinct count would expand the rows.
+        return F.size(F.collect_set(value)).cast("bigint") if inline else F.count_distinct(value)
+
     def range_of(low: str, high: str) -> Column:
         return F.struct(
             manifest_text(F.min(low)).alias("min_obs_time"),
@@ -129,7 +146,7 @@ def manifest_of(
         manifest_text(instant_literal(created_at)).alias("created_at"),
         manifest_text(F.min("collection_date")).alias("collection_date"),
         F.coalesce(F.sum("points"), F.lit(0)).alias("data_points_count"),
-        F.count_distinct(code).alias("series_count"),
+        distinct(code).alias("series_count"),
         listing(code).alias("series_codes"),
         range_of("min_obs_local", "max_obs_local").alias("date_range"),
         range_of("min_obs_time", "max_obs_time").alias("date_range_utc"),
@@ -137,7 +154,8 @@ def manifest_of(
         listing(partition).alias("partitions"),
         F.lit(partition_strategy).alias("partition_strategy"),
         F.count(name).alias("file_count"),
-        F.count_distinct(partition).alias("partition_count"),
+        distinct(partition).alias("partition_count"),
+        F.lit(unique_keys).alias("unique_keys"),
     ).select(*MANIFEST.fieldNames())
 
 
@@ -154,13 +172,15 @@ def load_manifest(
 
 
 def append_commit(
-    spark: SparkSession, layout: DatasetLayout, version_id: str, committed_at: datetime
+    spark: SparkSession,
+    layout: DatasetLayout,
+    version_id: str,
+    committed_at: datetime,
+    commit_seq: int,
 ) -> None:
     """Move the pointer: appending means readers never find it missing."""
-    log = read_table(spark, layout.commit_log, COMMIT_LOG)
-    last = log.agg(F.coalesce(F.max("commit_seq"), F.lit(0)).alias("seq")).first()["seq"]
     row = spark.range(1).select(
-        F.lit(last + 1).cast("bigint").alias("commit_seq"),
+        F.lit(commit_seq).cast("bigint").alias("commit_seq"),
         F.lit(layout.dataset_id).alias("dataset_id"),
         F.lit(version_id).alias("version_id"),
         instant_literal(committed_at).alias("committed_at"),

@@ -133,4 +133,5 @@ MANIFEST = _table(
     partition_strategy=_TEXT,
     file_count=_LONG,
     partition_count=_LONG,
+    unique_keys=_FLAG,
 )

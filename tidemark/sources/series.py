@@ -25,10 +25,6 @@ class SeriesMap:
         kept = tuple(e for e in self.entries if e["layout"] == layout)
         return SeriesMap(self.frame.where(F.col("layout") == layout), kept)
 
-    def keeping_blanks(self) -> SeriesMap:
-        kept = tuple(e for e in self.entries if not e["drop_na"])
-        return SeriesMap(self.frame.where("not drop_na"), kept)
-
     @property
     def sheets(self) -> list[str]:
         return sorted({e["sheet"] for e in self.entries if e["sheet"] is not None})
