@@ -54,9 +54,9 @@ def scan_published(spark, sf_dir):
         month_text(F.col("ts")).alias("month"),
     )
     row = F.struct("obs_time", CODE, "value", "unit", "frequency", "collection_date")
-    # Documents of at most 1000 rows: an id range is one document per series.
+    # Documents of at most 10,000 rows: an id range is one document per series.
     documents = rows.groupBy(
-        "series", "year", "month", F.floor(F.col("event_id") / 1000).alias("part")
+        "series", "year", "month", F.floor(F.col("event_id") / 10_000).alias("part")
     ).agg(F.collect_list(row).alias("data"))
     text = (
         F.when(F.col("part") % 2 == 0, F.to_json("data"))

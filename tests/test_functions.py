@@ -5,7 +5,8 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import events, numbers, paths, times
+from tidemark.functions import numbers, paths, times
+from tidemark.operators.routing import route_events
 
 NUMBERS = [
     "1,5", "1.234,56", "1,234", "1 234", "", "   ", ",", "100.5", "nan", "-nan", "+NaN", "inf",
@@ -159,7 +160,9 @@ ENVELOPES = [
 
 
 def test_events_name_their_dataset(spark):
-    got = column(spark, [e for e, _ in ENVELOPES], events.dataset_id_of)
-    assert got == [want for _, want in ENVELOPES]
-    default = column(spark, ["{}"], lambda c: events.dataset_id_of(c, "fallback"))
-    assert default == ["fallback"]
+    frame = spark.createDataFrame(list(enumerate(e for e, _ in ENVELOPES)), "n int, event_json string")
+    got = {r["n"]: r["dataset_id"] for r in route_events(frame).collect()}
+    assert got == {n: want for n, (_, want) in enumerate(ENVELOPES)}
+    kept = route_events(frame, default="fallback")
+    assert kept.columns == ["n", "event_json", "dataset_id"]
+    assert kept.where("dataset_id is null").count() == 0

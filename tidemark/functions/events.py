@@ -6,44 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _field(document: Column, path: str) -> Column:
-    """The value at ``path`` as text; null, empty, zero and false count as missing."""
-    value = F.try_variant_get(document, path, "variant")
-    text = F.try_variant_get(document, path, "string")
-    kind = F.schema_of_variant(value)
-    number = text.try_cast("double")
-    missing = (
-        F.when(kind == "STRING", text == "")
-        .when(kind == "BOOLEAN", text == "false")
-        .when(kind.rlike("^(ARRAY|OBJECT)"), text.isin("[]", "{}"))
-        .otherwise(number == 0)
-    )
-    return F.when(~F.coalesce(missing, text.isNull()), text)
+def value_at(document: Column, path: str) -> Column:
+    return F.try_variant_get(document, path, "variant")
 
 
-def _text_at(document: Column, path: str) -> Column:
-    """The value at ``path`` when it is a JSON string, else null."""
-    value = F.try_variant_get(document, path, "variant")
-    is_text = F.schema_of_variant(value) == "STRING"
-    return F.when(is_text, F.try_variant_get(document, path, "string"))
+def text_of(value: Column) -> Column:
+    """A JSON string's text; any other JSON value is null."""
+    return F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
 
 
-def dataset_id_of(event_json: Column, default: str | None = None) -> Column:
-    """Dataset of a trigger event: direct, then ``detail``, then the first queue record.
-
-    A record body is JSON text, possibly encoded twice; a body that is not text, or not
-    JSON, is passed over.  Null when nothing names a dataset and there is no default.
-    """
-    event = F.try_parse_json(event_json)
-    body = F.try_parse_json(_text_at(event, "$.Records[0].body"))
-    inner = F.try_parse_json(_text_at(body, "$"))
-    return F.coalesce(
-        _field(event, "$.dataset_id"),
-        _field(event, "$.detail.dataset_id"),
-        _field(body, "$.dataset_id"),
-        _field(inner, "$.dataset_id"),
-        F.lit(default or None),
+def name_of(value: Column) -> Column:
+    """A JSON value as a name; null, empty, zero and false name nothing."""
+    kind, text = F.schema_of_variant(value), value.cast("string")
+    empty = (
+        F.when(kind == "STRING", text == "")
+        .when(kind == "BOOLEAN", text == "false")
+        .when(kind.rlike("^(ARRAY|OBJECT)"), text.isin("[]", "{}"))
+        .otherwise(text.try_cast("double") == 0)
     )
+    return F.when(~F.coalesce(empty, text.isNull()), text)
 
 
 def update_event(dataset_id: Column, version: Column, bucket: Column) -> Column:

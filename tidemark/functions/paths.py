@@ -50,9 +50,8 @@ def partition_parts(path: Column, strict: bool = True) -> Column:
 
 
 def partition_in(path: Column) -> Column:
-    """The partition inside a longer object path (trailing slash required), else null."""
-    found = F.regexp_extract(path, _PARTITION, 0)
-    return F.when(found != "", found)
+    """The partition inside a longer object path (trailing slash required), else ''."""
+    return F.regexp_extract(path, _PARTITION, 0)
 
 
 def swap_prefix(key: Column, old: str, new: str) -> Column:

@@ -15,20 +15,20 @@ UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z"}
 
 def to_instant(wall: Column, zone: str) -> Column:
     """Read a wall clock in ``zone``; an hour that occurs twice means standard time."""
+    clock = wall.cast("timestamp")
     if zone in UTC_NAMES:
-        return wall.cast("timestamp")
+        return clock
     day = F.make_dt_interval(days=F.lit(1))
-    earlier = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    earlier = F.to_utc_timestamp(clock, zone)
     # The offset of the same clock time one day later is the one after the clock went back.
-    later = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall + day) - day
-    fits = F.convert_timezone(F.lit("UTC"), F.lit(zone), later) == wall
-    return F.when(fits, later).otherwise(earlier).cast("timestamp")
+    later = F.to_utc_timestamp(clock + day, zone) - day
+    return F.when(F.from_utc_timestamp(later, zone) == clock, later).otherwise(earlier)
 
 
 def to_wall_clock(instant: Column, zone: str) -> Column:
     """The clock reading in ``zone`` at an instant."""
-    utc = instant.cast("timestamp_ntz")
-    return utc if zone in UTC_NAMES else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    moved = instant if zone in UTC_NAMES else F.from_utc_timestamp(instant, zone)
+    return moved.cast("timestamp_ntz")
 
 
 def drop_zone(iso_text: Column) -> Column:

@@ -54,8 +54,9 @@ def partition_counts(observations: DataFrame) -> DataFrame:
 def distinct_partitions(paths: DataFrame, column: str) -> DataFrame:
     """Sorted distinct partitions named in object paths; other paths are ignored."""
     return (
-        paths.select(partition_in(F.col(column)).alias("partition"))
-        .where(F.col("partition").isNotNull())
+        paths.where(F.col(column).contains("/year="))  # cheaper than the pattern
+        .select(partition_in(F.col(column)).alias("partition"))
+        .where("partition <> ''")
         .distinct()
         .orderBy("partition")
     )
