@@ -138,6 +138,26 @@ def state_merge_monotonic(spark, sf_dir):
     return incremental.merge_state(late, early, monotonic=True)
 
 
+@query("""
+SELECT 'u' || user_id AS dataset_id, upper(event_type) AS internal_series_code,
+       date_trunc('second', max(ts)) AS last_obs_local
+FROM events GROUP BY ALL""")
+def state_import(spark, sf_dir):
+    """One JSON state document per user, with offsets that are to be ignored."""
+    last = F.max("ts")
+    marks = (
+        table(spark, sf_dir, "events")
+        .groupBy("user_id", F.upper("event_type").alias(CODE))
+        .agg(F.date_format(last, "yyyy-MM-dd'T'HH:mm:ss'-03:00'").alias("iso"))
+    )
+    # At most one entry per event type.
+    pairs = F.map_from_entries(F.collect_list(F.struct(CODE, "iso")))
+    documents = marks.groupBy(F.concat(F.lit("u"), "user_id").alias("dataset_id")).agg(
+        F.to_json(pairs).alias("state_json")
+    )
+    return incremental.state_from_json(documents)
+
+
 @query(f"""
 WITH {OBS_SQL}, marks AS (
   SELECT code, max(clk) AS mark FROM obs
@@ -330,7 +350,9 @@ _VERSIONS_SQL = """versions AS (
 
 @query(f"""
 WITH {_VERSIONS_SQL}
-SELECT dataset_id, version_id FROM versions WHERE commit_seq % 2 = 1""")
+SELECT dataset_id, version_id FROM versions v WHERE NOT EXISTS (
+  SELECT 1 FROM versions p WHERE p.commit_seq % 2 = 0
+    AND p.dataset_id = v.dataset_id AND p.version_id = v.version_id)""")
 def projected_skip(spark, sf_dir):
     versions = _order_versions(spark, sf_dir)
     return pending_versions(
@@ -369,8 +391,14 @@ def current_version(spark, sf_dir):
 
 
 @query(f"""
-WITH {_VERSIONS_SQL}
-SELECT DISTINCT dataset_id, version_id FROM versions WHERE commit_seq % 4 IN (0, 1)
+WITH {_VERSIONS_SQL},
+paths AS (SELECT 'datasets/' || dataset_id || CASE
+    WHEN commit_seq % 4 < 2 THEN '/versions/' || version_id || '/manifest.json'
+    WHEN commit_seq % 4 = 2
+      THEN '/versions/' || version_id || '/data/F/year=1997/month=05/data.json'
+    ELSE '/versions/draft/manifest.json' END AS path FROM versions)
+SELECT DISTINCT split_part(path, '/', 2) AS dataset_id, split_part(path, '/', 4) AS version_id
+FROM paths WHERE path LIKE 'datasets/%/versions/v%/manifest.json'
 ORDER BY dataset_id, version_id DESC""")
 def list_versions(spark, sf_dir):
     turn = F.col("commit_seq") % 4

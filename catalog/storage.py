@@ -20,11 +20,11 @@ from catalog.shapes import (
     wall,
 )
 from tidemark.functions.paths import month_text
-from tidemark.functions.times import iso_text
-from tidemark.operators.enrich import enrich
+from tidemark.functions.times import iso_text, to_instant
+from tidemark.operators.enrich import enrich, instant_literal
 from tidemark.operators.incremental import only_new
 from tidemark.operators.normalize import normalize
-from tidemark.operators.partitions import write_partitioned
+from tidemark.operators.partitions import present_partitions, write_partitioned
 from tidemark.plans import projection, versions
 from tidemark.plans.layout import DatasetLayout
 from tidemark.plans.refresh import Stages, run_refresh, table_stages
@@ -70,6 +70,26 @@ def scan_published(spark, sf_dir):
     return published.scan_published(spark, root, "*.txt")
 
 
+@query(f"""
+WITH {OBS_SQL}
+SELECT strftime(clk, '%Y-%m-%dT%H:%M:%S-03:00') AS obs_time, code AS internal_series_code, value,
+       'u' AS unit, NULL::VARCHAR AS frequency, '2024-02-01T12:30:15.250000+00:00' AS collection_date
+FROM obs""")
+def published_roundtrip(spark, sf_dir):
+    rows = points(spark, sf_dir).select(
+        to_instant(F.col("obs_ts"), ZONE).alias("obs_time"),
+        F.col("obs_ts").alias("obs_local"),
+        CODE,
+        "value",
+        F.lit("u").alias("unit"),
+        F.lit(None).cast("string").alias("frequency"),
+        instant_literal(RUN_TS).alias("collection_date"),
+    )
+    root = work_folder(spark, "published")
+    published.write_published(rows, root)
+    return published.scan_published(spark, root, "*.json", lines=True)
+
+
 @query("""
 SELECT o_orderstatus AS internal_series_code, year(o_orderdate)::INTEGER AS year,
        printf('%02d', month(o_orderdate)) AS month, o_orderdate AS obs_local,
@@ -183,6 +203,19 @@ def projection_rewrite(spark, sf_dir):
     return _project_two(spark, sf_dir, "rewrite")
 
 
+@query("""
+SELECT DISTINCT o_orderstatus AS internal_series_code, year(o_orderdate)::INTEGER AS year,
+       printf('%02d', month(o_orderdate)) AS month
+FROM orders ORDER BY ALL""")
+def partitions_present(spark, sf_dir):
+    root = work_folder(spark, "partitions")
+    rows = versions.as_observations(
+        orders_as_observations(spark, sf_dir).drop("ord")
+    )
+    write_partitioned(rows, root)
+    return present_partitions(versions.read_stored(spark, root))
+
+
 @query(f"WITH {_FINAL_SQL} SELECT * FROM final")
 def refresh_e2e(spark, sf_dir):
     """Two runs: the first half of the month, then everything (old rows fall to the marks)."""

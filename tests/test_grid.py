@@ -150,7 +150,7 @@ def test_layouts_together_and_missing_sheets(spark):
 
 def test_large_configurations_are_shuffled_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(grid, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(grid, "_PUSHED_NAMES", 0)
+    monkeypatch.setattr(grid, "PUSHED_NAMES", 0)
     cells = grid_cells(spark, "S", SHEET)
     plain = extract_vertical(cells, config(spark, vertical(), vertical("B", drop_na=True)))
     assert plain.count() == 22

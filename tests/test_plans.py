@@ -8,7 +8,8 @@ from rows import CODE, grid_cells, observations, points, tuples
 from tidemark.plans import projection, refresh, versions
 from tidemark.plans.layout import DatasetLayout
 from tidemark.schemas import COMMIT_LOG, PROJECTED_VERSIONS
-from tidemark.session import read_table
+from tidemark.operators.partitions import write_partitioned
+from tidemark.session import read_table, settings
 from tidemark.sources.series import series_map
 from tidemark.streaming.refresh_stream import refresh_stream
 
@@ -189,6 +190,21 @@ def test_projection_scan_is_pruned_to_touched_partitions(spark, layout, monkeypa
     assert "dynamicpruning" in plans[0]
 
 
+def test_a_partition_with_most_rows_is_split_over_files(spark, folder):
+    rows = spark.range(0, 400_000, 1, 8).selectExpr(
+        f"if(id % 50 = 0, concat('S', id % 20), 'HOT') AS {CODE}",
+        "timestamp_ntz'2024-01-01' AS obs_local",
+        "rand(1) AS value",
+    )
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB"):
+        write_partitioned(rows, folder + "/out")
+    files = [str(p) for p in Path(folder).rglob("*.parquet")]
+    assert sum("HOT" in f for f in files) > 3
+    small = [f for f in files if "HOT" not in f]
+    assert len(small) == 2  # one file for each small partition (S0 and S10)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+
+
 # ---- whole runs -------------------------------------------------------------------------
 
 DAYS = [datetime(2025, 1, 1) + timedelta(days=n) for n in range(10)]
@@ -286,6 +302,28 @@ def test_duplicates_without_primary_keys(spark, folder):
     assert stored(spark, layout) == [("TEST", DAYS[0], 2.0)]
 
 
+def test_configured_series_bound_the_scan(spark, folder):
+    series = series_map(spark, CONFIG)
+    old = [("TEST", "2024-01-01", 1), ("STRANGER", "2024-01-01", 2)]
+    new = [("TEST", "2024-01-02", 3), ("STRANGER", "2024-01-03", 4)]
+    for number, rows in enumerate((old, old + new)):
+        ts = RUN + timedelta(hours=number)
+        stages = refresh.table_stages(series, CONFIG, ts, ["ord"], configured_only=True)
+        refresh.run_refresh(points(spark, rows), CONFIG, folder, ts, stages)
+    assert stored(spark, DatasetLayout(folder, "d")) == [
+        ("TEST", datetime(2024, 1, 1), 1.0), ("TEST", datetime(2024, 1, 2), 3.0),
+    ]
+    parquet = f"{folder}/points"
+    points(spark, old + new).write.parquet(parquet)
+    marks = spark.createDataFrame(
+        [("TEST", datetime(2024, 1, 1))], f"{CODE} string, last_obs_local timestamp_ntz"
+    )
+    with settings(spark, spark__sql__maxMetadataStringLength="10000"):
+        rows = stages.parse(spark.read.parquet(parquet), marks)
+        plan = rows._jdf.queryExecution().toString()
+    assert "GreaterThan(obs_ts,2024-01-01T00:00)" in plan
+
+
 # ---- stream -----------------------------------------------------------------------------
 
 

@@ -13,6 +13,8 @@ from tidemark.operators.incremental import (
     latest_state,
     marks_for,
     merge_state,
+    scan_floor,
+    state_from_json,
 )
 from tidemark.operators.merge import merge_as_published, merge_first_wins, unseen_rows
 from tidemark.operators.normalize import normalize, valid_points
@@ -154,6 +156,25 @@ def test_state_merges_and_may_move_back(spark):
     assert latest_state(log).where(f"{CODE} = 'A'").first()["last_obs_local"] == datetime(2025, 1, 5)
 
 
+def test_state_documents(spark):
+    text = '{"A": "2025-01-15T10:30:00-03:00", "B": "2025-01-15", "C": "soon", "D": null}'
+    documents = spark.createDataFrame(
+        [("d", text), ("e", ""), ("f", "{broken"), ("g", None)], "dataset_id string, state_json string"
+    )
+    assert tuples(state_from_json(documents), "dataset_id", CODE, "last_obs_local") == [
+        ("d", "A", datetime(2025, 1, 15, 10, 30)), ("d", "B", datetime(2025, 1, 15)),
+    ]
+
+
+def test_scan_floor_needs_a_mark_for_every_series(spark):
+    series = series_map(spark, CONFIG)
+    one = state(spark, [("TEST", "2025-01-10")])
+    assert scan_floor(one, series) is None
+    both = one.unionByName(state(spark, [("OTHER", "2025-01-03")]))
+    assert scan_floor(both, series) == datetime(2025, 1, 3)
+    assert scan_floor(both, series_map(spark, {})) is None
+
+
 def test_only_configured_series_are_looked_up(spark):
     known = state(spark, [("TEST", "2025-01-10"), ("STRANGER", "2025-01-01"), ("OTHER", None)])
     assert tuples(marks_for(known, series_map(spark, CONFIG)), CODE) == [("TEST",)]

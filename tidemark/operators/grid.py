@@ -12,7 +12,7 @@ from tidemark.schemas import POINTS
 from tidemark.sources.series import SeriesMap
 
 # Up to this many configured names are pushed to the scan as literals.
-_PUSHED_NAMES = 1000
+PUSHED_NAMES = 1000
 _SERIES_FACTS = ["series_ord", "internal_series_code", "unit", "frequency", "drop_na"]
 
 
@@ -33,7 +33,7 @@ def _describe(points: DataFrame, series: SeriesMap) -> DataFrame:
 
 def _on_sheets(cells: DataFrame, series: SeriesMap) -> DataFrame:
     """Push the configured sheet names down to the scan."""
-    if series.size > _PUSHED_NAMES:
+    if series.size > PUSHED_NAMES:
         return cells
     return cells.where(F.col("sheet").isin(series.sheets))
 
@@ -164,7 +164,7 @@ def extract_horizontal(
 def _slots(cells, places, layout: SeriesMap, date_formats) -> DataFrame:
     """One row per (source, series, offset) that has or needs a date, with its value."""
     near = cells
-    if layout.size <= _PUSHED_NAMES:
+    if layout.size <= PUSHED_NAMES:
         rows = {e[k] for e in layout.entries for k in ("fecha_row", "valor_row")}
         near = cells.where(F.col("row").isin(sorted(rows)))
     is_date = F.col("is_date")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import drop_zone
 from tidemark.operators.lookup import BROADCAST_ROWS, lookup_join
 from tidemark.sources.series import SeriesMap
 
@@ -48,6 +51,17 @@ def only_new(
     return joined.where(~old).drop("_mark")
 
 
+def scan_floor(marks: DataFrame, series: SeriesMap) -> datetime | None:
+    """The time at or before which every configured series is done; None if one has no mark.
+
+    A literal bound lets a scan skip files and row groups, which the join with the marks
+    cannot.
+    """
+    codes = {entry[CODE] for entry in series.entries if entry[CODE]}
+    known = marks.agg(F.count_distinct(CODE).alias("codes"), F.min(MARK).alias("floor")).first()
+    return known["floor"] if codes and known["codes"] == len(codes) else None
+
+
 def merge_state(old: DataFrame, batch: DataFrame, monotonic: bool = False) -> DataFrame:
     """New state: the batch's marks replace those of its series, the rest stay.
 
@@ -64,3 +78,17 @@ def merge_state(old: DataFrame, batch: DataFrame, monotonic: bool = False) -> Da
 def latest_state(state_log: DataFrame) -> DataFrame:
     """The last saved mark per dataset and series of an append-only log."""
     return state_log.groupBy("dataset_id", CODE).agg(F.max_by(MARK, "saved_at").alias(MARK))
+
+
+def state_from_json(documents: DataFrame, text: str = "state_json") -> DataFrame:
+    """State kept as a JSON object of code -> ISO time, one document per ``dataset_id``.
+
+    Offsets are dropped, not converted.  A blank or broken document is an empty state, and
+    an unreadable time is no mark for its series alone.
+    """
+    marks = F.from_json(F.col(text), "map<string,string>")
+    return (
+        documents.select("dataset_id", F.explode(marks).alias(CODE, "iso"))
+        .select("dataset_id", CODE, drop_zone(F.col("iso")).alias(MARK))
+        .where(F.col(MARK).isNotNull())
+    )

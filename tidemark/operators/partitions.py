@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.paths import checked_code, month_text, partition_in
 from tidemark.schemas import PARTITION_COLUMNS
+from tidemark.session import settings
 
 
 def with_partition_columns(observations: DataFrame) -> DataFrame:
@@ -20,26 +21,41 @@ def with_partition_columns(observations: DataFrame) -> DataFrame:
     )
 
 
-def write_partitioned(
-    observations: DataFrame, path: str, mode: str = "error", file_format: str = "parquet", **options
-) -> None:
-    """Write one folder per partition.
-
-    Rows are rebalanced by partition: small partitions share a task and give one file each,
-    while a partition that holds much of the data is split over tasks and files.
-    """
+def write_partitioned(observations: DataFrame, path: str, mode: str = "error", **options) -> None:
+    """Write Parquet with one folder per partition, files ordered by time."""
     rows = observations
     if "year" not in observations.columns:
         rows = with_partition_columns(observations)
+    write_folders(rows, path, PARTITION_COLUMNS, mode, "parquet", ["obs_local"], **options)
+
+
+def write_folders(
+    rows: DataFrame,
+    path: str,
+    folders: list[str],
+    mode: str,
+    file_format: str,
+    order: list[str] | None = None,
+    **options,
+) -> None:
+    """Write one folder per combination of the ``folders`` columns.
+
+    Rows are rebalanced by folder: a small one lies in one task and gives one file, while
+    one that holds much of the data is split over tasks and files.  Small tasks are not
+    merged: that would not save a file, only make fewer tasks create them all.  Writing
+    sorts by folder anyway, so ordering the files further is almost free.
+    """
     writer = (
-        rows.hint("rebalance", *PARTITION_COLUMNS)
+        rows.hint("rebalance", *folders)
+        .sortWithinPartitions(*folders, *(order or []))
         .write.mode(mode)
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(*folders)
         .format(file_format)
     )
     for key, value in options.items():
         writer = writer.option(key, value)
-    writer.save(path)
+    with settings(rows.sparkSession, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        writer.save(path)
 
 
 def partition_counts(observations: DataFrame) -> DataFrame:
@@ -62,6 +78,11 @@ def distinct_partitions(paths: DataFrame, column: str) -> DataFrame:
     )
 
 
+def present_partitions(stored: DataFrame) -> DataFrame:
+    """Sorted distinct partitions of a stored table; reads no data column."""
+    return stored.select(*PARTITION_COLUMNS).distinct().orderBy(*PARTITION_COLUMNS)
+
+
 def partition_statistics(rows: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Count and ranges per partition (and per ``extra_keys``): what manifests are made of."""
     return rows.groupBy(*PARTITION_COLUMNS, *extra_keys).agg(

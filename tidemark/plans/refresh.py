@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import enrich, instant_literal, within_window
-from tidemark.operators.grid import extract_points
+from tidemark.operators.grid import PUSHED_NAMES, extract_points
 from tidemark.operators.incremental import (
     CODE,
     MARK,
@@ -19,7 +19,9 @@ from tidemark.operators.incremental import (
     marks_for,
     merge_state,
     only_new,
+    scan_floor,
 )
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.normalize import normalize
 from tidemark.plans.layout import DatasetLayout
 from tidemark.plans.projection import project_current
@@ -65,10 +67,34 @@ def grid_stages(
 
 
 def table_stages(
-    series: SeriesMap, config: dict, run_ts: datetime, order: list[str]
+    series: SeriesMap,
+    config: dict,
+    run_ts: datetime,
+    order: list[str],
+    configured_only: bool = False,
 ) -> Stages:
-    """Stages for rows that are points already; ``order`` says which duplicate is first."""
-    return Stages(only_new, *_later_stages(series, config, run_ts, order))
+    """Stages for rows that are points already; ``order`` says which duplicate is first.
+
+    With ``configured_only`` other series are left out, and once all configured series have
+    marks the scan itself skips what is older than the oldest of them.
+    """
+
+    def parse(points: DataFrame, marks: DataFrame) -> DataFrame:
+        if configured_only:
+            codes = sorted({entry[CODE] for entry in series.entries if entry[CODE]})
+            if len(codes) <= PUSHED_NAMES:
+                points = points.where(F.col(CODE).isin(codes))
+            else:
+                known = series.frame.select(CODE).distinct()
+                points = lookup_join(points, known, [CODE], "left_semi", order)
+            floor = scan_floor(marks, series)
+            if floor is not None:
+                points = points.where(F.col("obs_ts") > F.lit(floor.isoformat(" ")).cast(
+                    "timestamp_ntz"
+                ))
+        return only_new(points, marks, spread=order)
+
+    return Stages(parse, *_later_stages(series, config, run_ts, order))
 
 
 def _later_stages(series, config, run_ts, order) -> tuple[Stage, Stage, bool]:

@@ -1,25 +1,30 @@
-"""Published JSON partitions: one JSON document per file."""
+"""Published JSON partitions: one JSON document per file, or one row per line."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from tidemark.functions.times import iso_text
+from tidemark.operators.partitions import with_partition_columns, write_folders
 from tidemark.schemas import PUBLISHED
 
 
-def scan_published(spark: SparkSession, root: str, glob: str = "data.json") -> DataFrame:
+def scan_published(
+    spark: SparkSession, root: str, glob: str = "data.json", lines: bool = False
+) -> DataFrame:
     """Rows of every published file below ``root``.
 
     A file holds an array of rows, an object with a ``data`` array, or an object that is
-    one row itself; any other JSON gives no rows, and a missing root an empty table.
+    one row itself; any other JSON gives no rows, and a missing root an empty table.  With
+    ``lines`` every line is such a document, and large files can be split over tasks.
     """
     with_data = StructType([*PUBLISHED.fields]).add("data", ArrayType(PUBLISHED))
     reader = (
         spark.read.schema(with_data.add("_bad", "string"))
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("columnNameOfCorruptRecord", "_bad")
         # The first folder level is a bare series code, so folders are not partitions here.
         .option("recursiveFileLookup", True)
@@ -38,3 +43,27 @@ def scan_published(spark: SparkSession, root: str, glob: str = "data.json") -> D
         holds_row & F.col("_bad").isNull(), own
     )
     return files.select(F.inline(rows))
+
+
+def published_rows(observations: DataFrame, **more: Column) -> DataFrame:
+    """Observations with their times as ISO text: the zone's own offset, UTC for the run."""
+    run = F.col("collection_date")
+    return observations.select(
+        iso_text(F.col("obs_local"), F.col("obs_time")).alias("obs_time"),
+        "internal_series_code",
+        "value",
+        "unit",
+        "frequency",
+        iso_text(run.cast("timestamp_ntz"), run).alias("collection_date"),
+        *[column.alias(name) for name, column in more.items()],
+    )
+
+
+def write_published(observations: DataFrame, path: str, mode: str = "error") -> None:
+    """Write observations as JSON lines, one folder per series, year and month.
+
+    The series code stays in the rows, so the folders are named by a column of their own.
+    """
+    folders = {"series": F.col("internal_series_code"), "year": F.col("year"), "month": F.col("month")}
+    rows = with_partition_columns(observations)
+    write_folders(published_rows(rows, **folders), path, list(folders), mode, "json")
