@@ -41,9 +41,10 @@ def write_folders(
     """Write one folder per combination of the ``folders`` columns.
 
     Rows are rebalanced by folder: a small one lies in one task and gives one file, while
-    one that holds much of the data is split over tasks and files.  Small tasks are not
-    merged: that would not save a file, only make fewer tasks create them all.  Writing
-    sorts by folder anyway, so ordering the files further is almost free.
+    one that holds much of the data is split over tasks and files.  Small tasks are merged
+    only until every core has one: merging more would not save a file, only leave fewer tasks
+    to create them all.  Writing sorts by folder anyway, so ordering the files further is
+    almost free.
     """
     writer = (
         rows.hint("rebalance", *folders)
@@ -54,7 +55,11 @@ def write_folders(
     )
     for key, value in options.items():
         writer = writer.option(key, value)
-    with settings(rows.sparkSession, spark__sql__adaptive__coalescePartitions__enabled="false"):
+    with settings(
+        rows.sparkSession,
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="true",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB",
+    ):
         writer.save(path)
 
 
