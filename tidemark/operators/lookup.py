@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
-MOST_SALTS = 256
+SALTS = 16  # a key with a third of all rows is left with 2 % of them per task
 
 
 def fits_broadcast(table: DataFrame) -> bool:
@@ -34,14 +34,13 @@ def lookup_join(
     The table is broadcast only when it is known or measured to be small.  Otherwise both
     sides are shuffled with a salt taken from the ``spread`` columns, the table repeated once
     per salt, so that no key ends up in one task; adaptive execution splits further what is
-    still too large.  Pass tables that are cheap to read (written ones), since measuring
+    still too large.  (Without the salt, a later grouping by the key and something else would
+    reuse the join's partitioning, and then adaptive execution may not split it.)  Pass tables that are cheap to read (written ones), since measuring
     reads them.
     """
     if small if small is not None else fits_broadcast(table):
         return facts.join(F.broadcast(table), on, how)
-    shuffle_tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = min(max(shuffle_tasks, 2), MOST_SALTS)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
     repeated = table.withColumn("_salt", F.explode(every_salt))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import keep_first
-from tidemark.operators.lookup import lookup_join
+from tidemark.operators.lookup import fits_broadcast, lookup_join
+from tidemark.session import staged
 
 KEYS = ["obs_time", "internal_series_code"]
 
@@ -79,13 +80,17 @@ def merge_as_published(
     """Merge where a partition found on one side only passes through, duplicates included.
 
     ``by`` are the partition columns.  Which partitions are shared is a small table of its
-    own, so the rows of a large partition are never brought together to find out.
+    own (written once, since four joins read it), so the rows of a large partition are never
+    brought together to find out.
     """
-    shared = projection.select(*by).distinct().join(incoming.select(*by).distinct(), by)
+    shared = staged(
+        projection.select(*by).distinct().join(incoming.select(*by).distinct(), by), "shared"
+    )
     spread = keys or KEYS
+    few = fits_broadcast(shared)
 
     def split(rows: DataFrame, how: str) -> DataFrame:
-        return lookup_join(rows, shared, by, how, spread, small=False)
+        return lookup_join(rows, shared, by, how, spread, few)
 
     merged = merge_first_wins(
         split(projection, "left_semi"), split(incoming, "left_semi"), keys, order
