@@ -35,8 +35,8 @@ def lookup_join(
     sides are shuffled with a salt taken from the ``spread`` columns, the table repeated once
     per salt, so that no key ends up in one task; adaptive execution splits further what is
     still too large.  (Without the salt, a later grouping by the key and something else would
-    reuse the join's partitioning, and then adaptive execution may not split it.)  Pass tables that are cheap to read (written ones), since measuring
-    reads them.
+    reuse the join's partitioning, and then adaptive execution may not split it.)  Pass
+    tables that are cheap to read (written ones), since measuring reads them.
     """
     if small if small is not None else fits_broadcast(table):
         return facts.join(F.broadcast(table), on, how)
