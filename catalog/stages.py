@@ -212,7 +212,8 @@ SELECT 'v1' AS version_id, 'events' AS dataset_id, '2024-02-01T12:30:15Z' AS cre
   strftime(min(clk), '%Y-%m-%dT%H:%M:%SZ') AS min_obs_time,
   strftime(max(clk), '%Y-%m-%dT%H:%M:%SZ') AS max_obs_time,
   strftime(min(clk) + INTERVAL 3 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS min_utc,
-  array_to_string(list_sort(list(DISTINCT printf('%s/year=%d/month=%02d/', code, year(clk), month(clk)))), ',')
+  array_to_string(list_sort(list(DISTINCT
+    printf('%s/year=%d/month=%02d/', code, year(clk), month(clk)))), ',')
     AS partitions,
   'series_year_month' AS partition_strategy
 FROM obs""")

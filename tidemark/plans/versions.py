@@ -102,7 +102,8 @@ def read_version(
         "file_name", F.col("_metadata.file_name")
     )
     by = [*PARTITION_COLUMNS, "file_name"]
-    return lookup_join(rows, listed, by, "left_semi", ["obs_time"], small_index).select(*STORED_OBSERVATIONS.fieldNames())
+    kept = lookup_join(rows, listed, by, "left_semi", ["obs_time"], small_index)
+    return kept.select(*STORED_OBSERVATIONS.fieldNames())
 
 
 def manifest_of(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
-    BinaryType,
     BooleanType,
     DataType,
     DoubleType,
@@ -28,8 +27,6 @@ def _table(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
-PAYLOADS = _table(path=_TEXT, modificationTime=_INSTANT, length=_LONG, content=BinaryType())
-
 # One row per worksheet cell; at most one of ts / num / str is set.
 CELLS = _table(
     source_id=_TEXT, sheet=_TEXT, row=_INT, col=_INT, ts=_CLOCK, num=_DOUBLE, str=_TEXT

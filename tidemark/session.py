@@ -39,7 +39,6 @@ def work_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
