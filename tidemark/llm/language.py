@@ -38,12 +38,19 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang") -> La
     The texts are the first by a hash of the text; rows without a label or text do not count.
     """
     labelled = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
+        F.col(lang).alias("lang"),
+        F.substring(text, 1, FIT_CHARS).alias("text"),
+        F.xxhash64(text).alias("h"),
+    )
+    sizes = staged(labelled.groupBy("lang").agg(F.count("*").alias("rows")), "labelled")
+    # A hash below this share leaves about twice the texts wanted, however many there are.
+    share = F.pmod(F.col("h"), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    likely = lookup_join(labelled, sizes, ["lang"], "inner", [F.col("h")]).where(
+        share * F.col("rows") < 2 * FIT_TEXTS
     )
     first = Window.partitionBy("lang").orderBy("h", "text")
     rows = (
-        labelled.select("lang", "h", F.substring("text", 1, FIT_CHARS).alias("text"))
-        .withColumn("n", F.row_number().over(first))
+        likely.withColumn("n", F.row_number().over(first))
         .where(F.col("n") <= FIT_TEXTS)
         .groupBy("lang")
         .agg(F.collect_list(F.col("text").cast("binary")).alias("texts"))
@@ -64,9 +71,11 @@ def _count_languages(frames):
     for frame in frames:
         counts = []
         for texts in frame["texts"]:
-            data = b" ".join(texts)
-            cells, letters = letter_cells(np.frombuffer(data, np.uint8))
-            counts.append(np.bincount(cells[letters], minlength=CELLS).astype(np.float64).tobytes())
+            seen = np.zeros(CELLS)
+            for text in texts:
+                cells, letters = letter_cells(np.frombuffer(text, np.uint8))
+                np.add.at(seen, cells[letters], 1.0)
+            counts.append(seen.tobytes())
         yield frame[["lang"]].assign(counts=counts)
 
 
@@ -86,34 +95,59 @@ def letter_cells(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def text_evidence(
     rows: DataFrame, model: LanguageModel, text: str, keep: list[str]
 ) -> DataFrame:
-    """``keep`` columns, ``letters`` and ``loglik`` (one mean log-likelihood per language)."""
-    schema = rows.select(*keep).schema.add("letters", LongType()).add("loglik", ArrayType(DoubleType()))
+    """``keep`` columns, ``letters``, ``text_log`` and ``alone``, an entry per language and ``und``.
+
+    ``text_log`` is the mean log-likelihood of a letter times the letters that count as evidence,
+    ``alone`` the shares that follow from it without any other evidence.
+    """
+    schema = rows.select(*keep).schema.add("letters", LongType())
+    schema = schema.add("text_log", ArrayType(DoubleType())).add("alone", ArrayType(DoubleType()))
     logs = model.logs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            letters, scores = [], []
-            for value in texts:
-                n, total = 0, np.zeros(len(logs))
-                for at in range(0, len(value or b""), 1 << 20):
-                    cells, letter = letter_cells(np.frombuffer(value[at : at + (1 << 20)], np.uint8))
-                    seen = np.bincount(cells[letter], minlength=CELLS) if letter.sum() > CELLS else None
-                    if seen is None:
-                        total += logs[:, cells[letter]].sum(axis=1, dtype=np.float64)
-                    else:
-                        total += logs.astype(np.float64) @ seen
-                    n += int(letter.sum())
-                letters.append(n)
-                scores.append((total / max(n, 1)).tolist())
+            letters = np.zeros(batch.num_rows, np.int64)
+            means = np.full((batch.num_rows, len(logs) + 1), -np.log(CELLS))
+            for k, value in enumerate(batch.column(batch.num_columns - 1)):
+                letters[k], total = _read_letters(value.as_py() or b"", logs)
+                means[k, :-1] = total / max(letters[k], 1)
+            weighed = means * np.minimum(letters, EVIDENCE)[:, None]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(letters, pa.int64()), pa.array(scores, pa.list_(pa.float64()))],
-                names=[*keep, "letters", "loglik"],
+                [*batch.columns[:-1], pa.array(letters), _lists(weighed), _lists(_shares(weighed))],
+                names=[*keep, "letters", "text_log", "alone"],
             )
 
     return rows.select(*keep, F.col(text).cast("binary").alias("_text")).mapInArrow(run, schema)
 
 
+def _read_letters(text: bytes, logs: np.ndarray) -> tuple[int, np.ndarray]:
+    n, total = 0, np.zeros(len(logs))
+    for at in range(0, len(text), 1 << 18):
+        cells, letter = letter_cells(np.frombuffer(text[at : at + (1 << 18)], np.uint8))
+        total += logs[:, cells[letter]].sum(axis=1, dtype=np.float64)
+        n += int(letter.sum())
+    return n, total
+
+
+def _shares(logs: np.ndarray) -> np.ndarray:
+    shifted = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return shifted / shifted.sum(axis=1, keepdims=True)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    edges = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array(values.ravel()))
+
+
+def _table(column: pa.Array, width: int) -> np.ndarray:
+    """A column of lists as rows; null lists become zeros."""
+    values = np.zeros((len(column), width))
+    values[column.is_valid().to_numpy(zero_copy_only=False)] = (
+        column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    )
+    return values
+
+
 def identify_languages(
     rows: DataFrame,
     model: LanguageModel,
@@ -146,79 +180,61 @@ def identify_languages(
         text.alias("_text"),
     )
     parts = ["_declared", "_suffix", "_domain", "_host"]
-    read = text_evidence(source, model, "_text", [*keys, *parts])
-    uniform = float(-np.log(CELLS))
-    logs = F.concat("loglik", F.array(F.lit(uniform)))
-    weight = F.least(F.col("letters").cast("double"), F.lit(EVIDENCE))
-    blank = F.col("letters") == 0
-    likely = F.transform(logs, lambda x: F.when(blank, F.lit(0.0)).otherwise(x * weight))
-    scored = staged(
-        read.select(*keys, *parts, "letters", likely.alias("_text_log")).withColumn(
-            "_alone", _softmax(F.col("_text_log"), len(names))
-        ),
-        "evidence",
-    )
-    seen = F.col("letters") > 0
-
-    def sums(frame: DataFrame, label: str) -> Column:
-        return F.array(*[F.coalesce(F.sum(F.when(seen, F.col("_alone")[k])), F.lit(0.0)) for k in range(len(names))]).alias(label)
-
-    everything = scored.agg(sums(scored, "n")).first()["n"]
-    total = sum(everything)
-    base = [(x + 1.0) / (total + len(names)) for x in everything]
+    scored = staged(text_evidence(source, model, "_text", [*keys, *parts]), "evidence")
+    seen = scored.where(F.col("letters") > 0)
+    sums = F.array(*[F.sum(F.col("alone")[k]) for k in range(len(names))])
+    everything = np.array(seen.agg(sums.alias("n")).first()["n"], dtype=np.float64)
+    everything = np.nan_to_num(everything) + 1.0
     joined = scored
     for level in parts:
         counts = staged(
-            scored.where(F.col(level).isNotNull()).groupBy(level).agg(sums(scored, f"{level}_n")), "counts"
+            seen.where(F.col(level).isNotNull()).groupBy(level).agg(sums.alias(f"{level}_n")), "counts"
         )
         joined = lookup_join(joined, counts, [level], "left", [F.xxhash64(*keys)])
-    own = F.when(seen, F.col("_alone")).otherwise(F.array(*[F.lit(0.0)] * len(names)))
-    prior: Column = F.array(*[F.lit(x) for x in base])
-    for level in ("_suffix", "_domain", "_host"):
-        joined = joined.withColumn(f"{level}_o", _less(F.col(f"{level}_n"), own))
-        smoothed = _towards(F.col(f"{level}_o"), prior, PRIOR_ROWS)
-        joined = joined.withColumn(f"{level}_p", F.coalesce(smoothed, prior))
-        prior = F.col(f"{level}_p")
-    # P(declared | language) up to a factor: P(language | declared) / P(language).
-    joined = joined.withColumn("_declared_o", _less(F.col("_declared_n"), own))
-    even = F.array(*[F.lit(x) for x in base])
-    said = F.zip_with(_towards(F.col("_declared_o"), even, 1.0), even, lambda p, b: p / b)
-    joined = joined.withColumn("_said", F.coalesce(said, F.array(*[F.lit(1.0)] * len(names))))
-    fused = F.zip_with(
-        F.zip_with("_text_log", prior, lambda t, p: t + F.ln(p)), "_said", lambda x, d: x + F.ln(d)
-    )
-    labels = F.array(*[F.lit(n) for n in names])
-    posterior = joined.withColumn("_p", _softmax(fused, len(names)))
-    best = F.array_position("_p", F.array_max("_p")).cast("int")
-    language = F.when(seen, F.element_at(labels, best)).otherwise(F.lit(UNKNOWN))
-    alone = F.element_at(labels, F.array_position("_alone", F.array_max("_alone")).cast("int"))
-    sure = F.array_max("_p")
-    return posterior.select(
-        *keys,
-        language.alias("language"),
-        sure.alias("confidence"),
-        F.when(seen, alone).otherwise(F.lit(UNKNOWN)).alias("text_language"),
-        ((language != UNKNOWN) & (sure >= F.lit(floor))).alias("accepted"),
-    )
-
-
-def _less(counts: Column, own: Column) -> Column:
-    return F.zip_with(counts, own, lambda n, o: F.greatest(n - o, F.lit(0.0)))
+    schema = rows.select(*keys).schema.add("language", "string").add("confidence", "double")
+    schema = schema.add("text_language", "string").add("accepted", "boolean")
+    base = everything / everything.sum()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _fused(batch, keys, names, base, floor)
 
-def _towards(counts: Column, prior: Column, rows: float) -> Column:
-    """Shares of ``counts`` after adding ``rows`` rows divided like the prior."""
-    whole = _total(counts) + F.lit(rows)
-    return F.zip_with(counts, prior, lambda n, p: (n + F.lit(rows) * p) / whole)
+    columns = [*keys, "letters", "text_log", "alone", *[f"{level}_n" for level in parts]]
+    return joined.select(*columns).mapInArrow(run, schema)
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+def _fused(
+    batch: pa.RecordBatch, keys: list[str], names: list[str], base: np.ndarray, floor: float
+) -> pa.RecordBatch:
+    width = len(names)
+    alone = _table(batch.column("alone"), width)
+    seen = batch.column("letters").to_numpy() > 0
+    own = alone * seen[:, None]
 
+    def others(level: str) -> np.ndarray:
+        return np.maximum(_table(batch.column(f"{level}_n"), width) - own, 0.0)
 
-def _softmax(logs: Column, n: int) -> Column:
-    shifted = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    return F.transform(shifted, lambda x: x / _total(shifted))
+    prior = np.broadcast_to(base, alone.shape)
+    for level in ("_suffix", "_domain", "_host"):
+        counts = others(level)
+        prior = (counts + PRIOR_ROWS * prior) / (counts.sum(axis=1, keepdims=True) + PRIOR_ROWS)
+    # P(declared | language) up to a factor: P(language | declared) / P(language).
+    counts = others("_declared")
+    declared = (counts + base) / (counts.sum(axis=1, keepdims=True) + 1.0) / base
+    fused = _shares(_table(batch.column("text_log"), width) + np.log(prior) + np.log(declared))
+    labels = np.array(names, dtype=object)
+    best = np.where(seen, labels[fused.argmax(axis=1)], UNKNOWN)
+    sure = fused.max(axis=1)
+    return pa.RecordBatch.from_arrays(
+        [
+            *[batch.column(k) for k in keys],
+            pa.array(best, pa.string()),
+            pa.array(sure),
+            pa.array(np.where(seen, labels[alone.argmax(axis=1)], UNKNOWN), pa.string()),
+            pa.array((best != UNKNOWN) & (sure >= floor)),
+        ],
+        [*keys, "language", "confidence", "text_language", "accepted"],
+    )
 
 
 def page_languages(pages: DataFrame, model: LanguageModel) -> DataFrame:
