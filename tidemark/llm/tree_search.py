@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from tidemark.session import staged
 
-# Vectors that the tree is fitted on, its branching, and the sample vectors of a leaf.
+# Vectors that the tree is fitted on, its branching, and the part of the sample that a leaf has
+# at most (but at least so many vectors): the number of leaves is the same at every size.
 FIT_VECTORS = 16_384
 BRANCHES = 8
+LEAF_SHARE = 1 / 48
 LEAF_VECTORS = 32
 # Queries that the number of leaves is calibrated with, and the recall they must reach.
 CALIBRATION = 128
-TARGET_RECALL = 0.96
+TARGET_RECALL = 0.95
 # Vectors and queries of a block that are compared together.
 BLOCK_VECTORS = 2048
 BLOCK_QUERIES = 1024
@@ -88,10 +90,11 @@ def fit_tree(sample: np.ndarray, norm: float) -> Tree:
     """Split by k-means until a node has few sample vectors, or equal ones."""
     tree = Tree(Node(), 0, norm)
     rng = np.random.default_rng(7)
+    most = max(LEAF_VECTORS, int(len(sample) * LEAF_SHARE))
 
     def grow(node: Node, points: np.ndarray) -> None:
         distinct = np.unique(points, axis=0) if len(points) else points
-        if len(points) <= LEAF_VECTORS or len(distinct) < 2:
+        if len(points) <= most or len(distinct) < 2:
             node.leaf = tree.leaves
             tree.leaves += 1
             return
