@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import re
@@ -30,6 +31,11 @@ _RECORDS = (
     "refers_to string, digest string, block binary"
 )
 
+_LOGICAL = (
+    "record_id string, record_type string, refers_to string, page_id long, first_id long, "
+    "digest string, payload binary, error string"
+)
+
 
 @dataclass(frozen=True)
 class Archives:
@@ -101,11 +107,12 @@ def _write(batches, folder: str, segment_bytes: int):
     waiting = (r for batch in batches for row in batch.to_pylist() for r in _records(row, segment_bytes))
     record = next(waiting, None)
     while record is not None:
-        name, size, count = f"{part}-{len(names)}.warc", 0, 0
+        name, size, count = f"{part}-{len(names)}.warc.gz", 0, 0
         with attempt.create(name) as stream:
             while record is not None and size < ARCHIVE_BYTES:
-                stream.write(record)
-                size, count = size + len(record), count + 1
+                member = gzip.compress(record, 1, mtime=0)  # each record can be read alone
+                stream.write(member)
+                size, count = size + len(member), count + 1
                 record = next(waiting, None)
         names.append(name)
         counts.append(count)
@@ -158,24 +165,25 @@ def _record(kind: str, head: list[tuple[str, str]], block: bytes) -> bytes:
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
-def read_archives(spark: SparkSession, archives: Archives) -> DataFrame:
-    """Every record of the archives as it stands, continuation records included."""
+def read_archives(spark: SparkSession, archives: Archives, segmented: bool) -> DataFrame:
+    """The records of the archives as they stand: segments of records, or all the others."""
     folder = archives.folder
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                yield from _read(folder, name)
+                yield from _read(folder, name, segmented)
 
     return archives.names.select("name").repartition("name").mapInArrow(
         run, f"{_RECORDS}, page_id long, first_id long"
     )
 
 
-def _read(folder: str, name: str, rows: int = 500):
+def _read(folder: str, name: str, segmented: bool, rows: int = 500):
     system, path = place_of(f"{folder}/{name}")
     found: list[dict] = []
-    with io.BufferedReader(system.open_input_stream(path), 1 << 20) as stream:
+    with system.open_input_stream(path) as raw, gzip.open(raw) as plain:
+        stream = io.BufferedReader(plain, 1 << 20)
         while start := stream.readline():
             if not start.strip():
                 continue
@@ -189,7 +197,8 @@ def _read(folder: str, name: str, rows: int = 500):
             block = stream.read(length)
             if len(block) != length:
                 raise ValueError(f"{name}: a record ends early")
-            found.append(_row(head, block))
+            if ("warc-segment-number" in head) == segmented:
+                found.append(_row(head, block))
             if len(found) == rows:
                 yield _batch(found)
                 found = []
@@ -231,18 +240,19 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 
 
 def reassemble(records: DataFrame) -> DataFrame:
-    """One row per logical record: segments put together, verified, and the payload decoded.
+    """One row per segmented record: segments put together, verified, and the payload decoded.
 
     Segments are dealt by the record they continue and read in order of their number, so a
     task holds one record at a time.  A gap, a missing or wrong total length, or broken chunks
     make ``error`` say so and the payload null.
     """
     ordered = records.repartition("origin").sortWithinPartitions("origin", "segment")
-    return ordered.mapInArrow(
-        _reassemble,
-        "record_id string, record_type string, refers_to string, page_id long, first_id long, "
-        "digest string, payload binary, error string",
-    )
+    return ordered.mapInArrow(_reassemble, _LOGICAL)
+
+
+def _each(batches):
+    for batch in batches:
+        yield _logical_batch([_logical([row]) for row in batch.to_pylist()])
 
 
 def _reassemble(batches):
@@ -318,7 +328,8 @@ def archived_pages(spark: SparkSession, archives: Archives) -> DataFrame:
     Sizes and digests are those of the decoded payloads; a revisit has those of the response
     it names.  Any record that is not whole fails the read.
     """
-    whole = reassemble(read_archives(spark, archives))
+    whole = read_archives(spark, archives, False).mapInArrow(_each, _LOGICAL)
+    whole = whole.unionAll(reassemble(read_archives(spark, archives, True)))
     checked = whole.withColumn(
         "record_type",
         F.when(F.col("error").isNull(), F.col("record_type")).otherwise(
