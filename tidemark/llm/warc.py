@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import Attempt, place_of, shared_folder
+from tidemark.operators.lookup import lookup_join
 from tidemark.session import staged
 
 # Bytes of a record's block after which it is continued in another record, of an HTTP chunk,
@@ -84,7 +85,8 @@ def write_archives(
         .select("sha", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row"))
     )
     revisit = counted & F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
-    records = rows.join(repeated, "sha", "left").select(
+    marked = lookup_join(rows, staged(repeated, "repeated"), ["sha"], "left", [F.col("row")])
+    records = marked.select(
         "page_id",
         "url",
         "row",
