@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import table
+from tidemark.functions.paths import partition_path_of
 
 ZONE = "America/Argentina/Buenos_Aires"
 RUN_TS = datetime(2024, 2, 1, 12, 30, 15, 250000)
@@ -106,3 +107,22 @@ def orders_as_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wall(name: str):
     """An instant as a UTC wall clock, the form SQL engines agree on."""
     return F.col(name).cast("timestamp_ntz").alias(name)
+
+
+def listings(index, version_id):
+    """One row of a manifest's lists as text, from the index's tables."""
+    code, year = F.col("internal_series_code"), F.col("year").cast("string")
+    folder = partition_path_of(code, year, F.col("month"))
+    named = folder if "file_name" not in index.columns else F.regexp_extract(
+        F.concat(folder, "file_name"), "^(.*/)", 1
+    )
+
+    def text(value):
+        return F.array_join(F.array_sort(F.collect_set(value)), ",")
+
+    return index.agg(
+        F.lit(version_id).alias("version_id"),
+        text(code).alias("series_codes"),
+        text(folder).alias("partitions"),
+        text(named).alias("folders"),
+    )

@@ -15,6 +15,7 @@ from catalog.shapes import (
     SERIES_CONFIG,
     SERIES_SQL,
     ZONE,
+    listings,
     observations,
     orders_as_observations,
     points,
@@ -225,18 +226,19 @@ def manifest_stats(spark, sf_dir):
     index = staged(
         partitions.partition_statistics(partitions.with_partition_columns(rows)), "index"
     )
-    return manifest_of(index, "v1", "events", RUN_TS).select(
+    manifest = manifest_of(index, "v1", "events", RUN_TS)
+    return manifest.join(listings(index, "v1"), "version_id").select(
         "version_id",
         "dataset_id",
         "created_at",
         "collection_date",
         "data_points_count",
         "series_count",
-        F.array_join("series_codes", ",").alias("series_codes"),
+        "series_codes",
         "date_range.min_obs_time",
         "date_range.max_obs_time",
         F.col("date_range_utc.min_obs_time").alias("min_utc"),
-        F.array_join("partitions", ",").alias("partitions"),
+        "partitions",
         "partition_strategy",
     )
 

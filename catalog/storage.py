@@ -14,6 +14,7 @@ from catalog.shapes import (
     SERIES_CONFIG,
     SERIES_SQL,
     ZONE,
+    listings,
     events_as_points,
     orders_as_observations,
     points,
@@ -150,21 +151,19 @@ def version_manifest(spark, sf_dir):
     version_id = versions.new_version_id(RUN_TS)
     versions.commit_version(_final_rows(spark, sf_dir), layout, version_id, RUN_TS)
     manifest = versions.load_manifest(spark, layout, version_id)
-    folders = F.array_distinct(
-        F.transform("json_files", lambda f: F.regexp_extract(f, "^(.*/)", 1))
-    )
-    return manifest.select(
+    listed = listings(versions.read_file_index(spark, layout, version_id), version_id)
+    return manifest.join(listed, "version_id").select(
         "version_id",
         "dataset_id",
         "created_at",
         "collection_date",
         "data_points_count",
         "series_count",
-        F.array_join("series_codes", ",").alias("series_codes"),
+        "series_codes",
         "date_range.min_obs_time",
         "date_range.max_obs_time",
-        F.array_join("partitions", ",").alias("partitions"),
-        (F.array_sort(folders) == F.col("partitions")).alias("files_in_partitions"),
+        "partitions",
+        (F.col("folders") == F.col("partitions")).alias("files_in_partitions"),
     )
 
 

@@ -55,11 +55,23 @@ def test_commit_and_read_back(spark, layout):
     assert versions.read_version(spark, layout, version_id).count() == 3
     manifest = versions.load_manifest(spark, layout, version_id).first()
     assert manifest["data_points_count"] == 3 and manifest["file_count"] == 2
-    assert manifest["partitions"] == ["S/1/year=2024/month=01/", "T/year=2024/month=02/"]
+    index = versions.read_file_index(spark, layout, version_id)
+    assert {r[0] for r in versions.version_partitions(index).collect()} == {
+        "S/1/year=2024/month=01/", "T/year=2024/month=02/",
+    }
+    assert {r[0] for r in versions.version_series(index).collect()} == {"S/1", "T"}
+    assert versions.version_files(index).count() == 2
     later = commit(spark, layout, SECOND, 1)
     assert versions.current_version(spark, layout) == later
     log = read_table(spark, layout.commit_log, COMMIT_LOG)
     assert [r["commit_seq"] for r in log.orderBy("commit_seq").collect()] == [1, 2]
+    known = [r["version_id"] for r in versions.committed_versions(spark, layout).collect()]
+    assert known == [later, version_id]
+    # What an event announces is what lies there.
+    path = f"datasets/{layout.dataset_id}/versions/{later}/manifest.json"
+    assert layout.manifest(later).endswith(path)
+    stored = spark.createDataFrame([(f"{path}/part-0.json",)], "path string")
+    assert [r["version_id"] for r in versions.list_versions(stored).collect()] == [later]
 
 
 def test_nothing_to_commit_makes_no_version(spark, layout):

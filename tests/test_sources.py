@@ -117,3 +117,32 @@ def test_series_map_defaults(spark):
     assert (second["layout"], second["drop_na"]) == ("horizontal", True)
     assert series.of_layout("vertical").size == 1
     assert series_map(spark, {}).size == 0
+
+
+def test_ill_typed_values_cost_no_row_and_broken_files_are_listed(spark, folder):
+    from tidemark.sources.published import published_rejects
+
+    row = '{{"obs_time": "2024-01-0{}", "internal_series_code": "S", "value": {}}}'
+    documents = {
+        "a": f'[{row.format(1, 1.5)}, {row.format(2, chr(34) + "2.5" + chr(34))}, {row.format(3, "{}")}]',
+        "b": f'{{"data": [{row.format(4, "true")}]}}',
+        "c": f"[{row.format(5, 1)}, ",
+    }
+    for name, text in documents.items():
+        (Path(folder) / name).mkdir()
+        (Path(folder) / name / "data.json").write_text(text)
+    got = {r["obs_time"]: r["value"] for r in scan_published(spark, folder).collect()}
+    assert {k: got.get(k) for k in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04")} == {
+        "2024-01-01": 1.5, "2024-01-02": 2.5, "2024-01-03": None, "2024-01-04": None,
+    }
+    assert [r["path"][-11:] for r in published_rejects(spark, folder).collect()] == ["c/data.json"]
+
+
+@pytest.mark.parametrize(
+    "code, expected",
+    [("0.00", False), ("[h]", True), ("[Red]0.0", False), ('"day"0', False), ("0;yyyy", False), ("dd/mm/yy", True)],
+)
+def test_format_codes(code, expected):
+    from tidemark.sources.workbook import _shows_date
+
+    assert _shows_date(code) == expected

@@ -76,8 +76,13 @@ def merge_state(old: DataFrame, batch: DataFrame, monotonic: bool = False) -> Da
 
 
 def latest_state(state_log: DataFrame) -> DataFrame:
-    """The last saved mark per dataset and series of an append-only log."""
-    return state_log.groupBy("dataset_id", CODE).agg(F.max_by(MARK, "saved_at").alias(MARK))
+    """The last saved mark per dataset and series of an append-only log.
+
+    The order is that of saving (``seq``), not of the clocks of those who saved; logs without
+    it are ordered by ``saved_at``.
+    """
+    order = F.struct(*[c for c in ("seq", "saved_at") if c in state_log.columns])
+    return state_log.groupBy("dataset_id", CODE).agg(F.max_by(MARK, order).alias(MARK))
 
 
 def state_from_json(documents: DataFrame, text: str = "state_json") -> DataFrame:

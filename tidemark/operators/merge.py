@@ -62,7 +62,7 @@ def unseen_rows(
     """
     keys = keys or KEYS
     firsts = incoming if unique else keep_first(incoming, keys, [order] if order else keys)
-    known = projection.select(*keys)
+    known = projection.select(*keys).distinct()  # copies of one key would meet in one task
     if not null_keys:
         return firsts.join(known, keys, "left_anti")
     left, right = firsts.alias("new"), known.alias("old")

@@ -23,11 +23,8 @@ class DatasetLayout:
     def file_index(self, version_id: str) -> str:
         return f"{self.version(version_id)}/file_index"
 
-    def marks(self, version_id: str) -> str:
-        return f"{self.version(version_id)}/marks"
-
     def manifest(self, version_id: str) -> str:
-        return f"{self.version(version_id)}/manifest"
+        return f"{self.version(version_id)}/manifest.json"
 
     def staging(self, version_id: str, attempt: str) -> str:
         return f"{self.base}/staging/{version_id}-{attempt}"

@@ -42,7 +42,7 @@ def projection_status(projected: DataFrame) -> DataFrame:
     return projected.groupBy("dataset_id").agg(
         F.count_distinct("version_id").alias("projected_versions"),
         F.max("projected_at").alias("last_projection_date"),
-        F.max_by("version_id", "projected_at").alias("last_projected_version"),
+        F.max_by("version_id", F.struct("projected_at", "version_id")).alias("last_projected_version"),
     )
 
 

@@ -45,6 +45,7 @@ class Stages:
     normalize: Stage | None = None
     transform: Stage | None = None
     unique_keys: bool = False  # no two rows share an instant and a code
+    keeps_rows: bool = False  # transform neither drops rows nor changes their times
 
 
 @dataclass(frozen=True)
@@ -97,7 +98,7 @@ def table_stages(
     return Stages(parse, *_later_stages(series, config, run_ts, order))
 
 
-def _later_stages(series, config, run_ts, order) -> tuple[Stage, Stage, bool]:
+def _later_stages(series, config, run_ts, order) -> tuple[Stage, Stage, bool, bool]:
     settings = config.get("normalize", {})
     zone = settings.get("timezone", "UTC")
     # The key list only switches de-duplication on or off; the key itself is fixed.
@@ -109,7 +110,7 @@ def _later_stages(series, config, run_ts, order) -> tuple[Stage, Stage, bool]:
     def enriched(observations: DataFrame) -> DataFrame:
         return enrich(observations, series, run_ts)
 
-    return normalized, enriched, dedup
+    return normalized, enriched, dedup, True
 
 
 def load_state(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
@@ -127,9 +128,12 @@ def save_state(
         batch_codes = batch.select("dataset_id", CODE)
         merged = merge_state(load_state(spark, layout), batch, monotonic=True)
         batch = merged.join(batch_codes, ["dataset_id", CODE], "left_semi")
-    batch.select(*STATE.fieldNames(), instant_literal(saved_at).alias("saved_at")).write.mode(
-        "append"
-    ).parquet(layout.state_log)
+    last = read_table(spark, layout.state_log, STATE_LOG).agg(F.max("seq")).first()[0]
+    batch.select(
+        *STATE.fieldNames(),
+        instant_literal(saved_at).alias("saved_at"),
+        F.lit((last or 0) + 1).cast("bigint").alias("seq"),
+    ).write.mode("append").parquet(layout.state_log)
 
 
 def observations_of(
@@ -169,18 +173,25 @@ def run_refresh(
     stages = stages or grid_stages(series, config, run_ts)
     # Staged: small, and the size check before the join would otherwise read the log twice.
     marks = staged(marks_for(load_state(spark, layout), series), "marks")
-    _, final = observations_of(raw, stages, marks)
+    rows, final = observations_of(raw, stages, marks)
+    if not stages.keeps_rows and stages.normalize:
+        # Marks are those of the normalised rows, whatever the transform makes of them.
+        rows = staged(rows, "normalized")
+        final = rows.transform(stages.transform) if stages.transform else rows
     version_id = new_version_id(run_ts)
     days = config.get("windowInDays")
     if days is None:
         committed = commit_version(final, layout, version_id, run_ts, stages.unique_keys)
-        seen = _marks_of_version(spark, layout, version_id) if committed else None
+        if stages.keeps_rows:
+            seen = _marks_of_version(spark, layout, version_id) if committed else None
+        else:
+            seen = high_water_marks(rows) if stages.normalize else None
     else:
         # Marks cover rows the window drops, so the rows are written once and read twice.
         final = staged(final, "observations")
         recent = within_window(final, days, as_of or run_ts)
         committed = commit_version(recent, layout, version_id, run_ts, stages.unique_keys)
-        seen = high_water_marks(final)
+        seen = high_water_marks(final if stages.keeps_rows else rows)
     projected = project and project_current(
         spark, layout, run_ts, publish=publish, bucket=bucket
     )

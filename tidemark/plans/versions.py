@@ -24,9 +24,6 @@ from tidemark.schemas import (
 )
 from tidemark.session import read_table
 
-# Above this many files a manifest names its file index instead of listing them inline.
-INLINE_FILES = 10_000
-
 
 def new_version_id(run_ts: datetime) -> str:
     """``vYYYYMMDD_HHMMSS_ffffff`` in UTC."""
@@ -63,12 +60,9 @@ def commit_version(
     ).select(*FILE_INDEX.fieldNames())
     index.write.mode("overwrite").parquet(layout.file_index(version_id))
     index = read_file_index(spark, layout, version_id)
-    files = index.count()
-    if files == 0:
+    if index.isEmpty():
         return False
-    manifest = manifest_of(
-        index, version_id, layout.dataset_id, run_ts, rows=files, unique_keys=unique_keys
-    )
+    manifest = manifest_of(index, version_id, layout.dataset_id, run_ts, unique_keys=unique_keys)
     manifest.coalesce(1).write.mode("overwrite").json(layout.manifest(version_id))
     append_commit(spark, layout, version_id, run_ts, known["last_seq"] + 1)
     return True
@@ -112,29 +106,19 @@ def manifest_of(
     dataset_id: str,
     created_at: datetime,
     partition_strategy: str = "series_year_month",
-    rows: int | None = None,
     unique_keys: bool = False,
 ) -> DataFrame:
     """One manifest row from a file index (or from partition statistics without files).
 
     Texts carry a literal ``Z`` on wall-clock times, by convention; ``date_range_utc`` has
-    the instants.  The lists are left null beyond ``INLINE_FILES`` index rows: the index
-    beside the manifest holds them.
+    the instants.  It has counts and ranges; the files, partitions and series themselves are
+    tables (``version_files``, ``version_partitions``, ``version_series``) at every size.
     """
-    inline = (index.count() if rows is None else rows) <= INLINE_FILES
     code = F.col("internal_series_code")
     partition = partition_path_of(code, F.col("year").cast("string"), F.col("month"))
     has_files = "file_name" in index.columns
     name = F.concat(partition, "file_name") if has_files else F.lit(None).cast("string")
 
-    def listing(value: Column) -> Column:
-        none = F.lit(None).cast("array<string>")
-        return F.array_sort(F.collect_set(value)) if inline else none
-
-    def distinct(value: Column) -> Column:
-        # Up to the limit the sets are built anyway; a distinct count would expand the rows.
-        return F.size(F.collect_set(value)).cast("bigint") if inline else F.count_distinct(value)
-
     def range_of(low: str, high: str) -> Column:
         return F.struct(
             manifest_text(F.min(low)).alias("min_obs_time"),
@@ -147,19 +131,36 @@ def manifest_of(
         manifest_text(instant_literal(created_at)).alias("created_at"),
         manifest_text(F.min("collection_date")).alias("collection_date"),
         F.coalesce(F.sum("points"), F.lit(0)).alias("data_points_count"),
-        distinct(code).alias("series_count"),
-        listing(code).alias("series_codes"),
+        F.count_distinct(code).alias("series_count"),
         range_of("min_obs_local", "max_obs_local").alias("date_range"),
         range_of("min_obs_time", "max_obs_time").alias("date_range_utc"),
-        listing(name).alias("json_files"),
-        listing(partition).alias("partitions"),
         F.lit(partition_strategy).alias("partition_strategy"),
         F.count(name).alias("file_count"),
-        distinct(partition).alias("partition_count"),
+        F.count_distinct(partition).alias("partition_count"),
         F.lit(unique_keys).alias("unique_keys"),
     ).select(*MANIFEST.fieldNames())
 
 
+def version_partitions(index: DataFrame) -> DataFrame:
+    """``partition``: every partition path of a file index, once."""
+    code, year = F.col("internal_series_code"), F.col("year").cast("string")
+    path = partition_path_of(code, year, F.col("month"))
+    return index.select(path.alias("partition")).distinct()
+
+
+def version_files(index: DataFrame) -> DataFrame:
+    """``file``: the path of every data file below the version's data folder."""
+    code, year = F.col("internal_series_code"), F.col("year").cast("string")
+    return index.select(
+        F.concat(partition_path_of(code, year, F.col("month")), "file_name").alias("file")
+    )
+
+
+def version_series(index: DataFrame) -> DataFrame:
+    """``internal_series_code``: every series of a file index, once."""
+    return index.select("internal_series_code").distinct()
+
+
 def load_manifest(
     spark: SparkSession, layout: DatasetLayout, version_id: str
 ) -> DataFrame | None:
@@ -204,9 +205,18 @@ def current_version(spark: SparkSession, layout: DatasetLayout) -> str | None:
     return row["version_id"] if row else None
 
 
+def committed_versions(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
+    """``dataset_id, version_id`` of every committed version, newest first."""
+    log = read_table(spark, layout.commit_log, COMMIT_LOG)
+    return log.orderBy(F.desc("commit_seq")).select("dataset_id", "version_id")
+
+
 def list_versions(paths: DataFrame, column: str = "path") -> DataFrame:
-    """Distinct versions with a manifest among object paths, newest first per dataset."""
-    parts = F.split(F.col(column), "/")
+    """Distinct versions with a manifest among object paths, newest first per dataset.
+
+    A manifest is an object ``manifest.json``, or objects below a folder of that name.
+    """
+    parts = F.split(F.regexp_replace(column, "(/manifest[.]json)/[^/]+$", "$1"), "/")
     version = F.try_element_at(parts, F.lit(-2))
     return (
         paths.where(

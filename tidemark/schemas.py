@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType,
     BooleanType,
     DataType,
     DoubleType,
@@ -90,7 +89,7 @@ PUBLISHED = _table(
 )
 
 STATE = _table(dataset_id=_TEXT, internal_series_code=_TEXT, last_obs_local=_CLOCK)
-STATE_LOG = StructType(STATE.fields + _table(saved_at=_INSTANT).fields)
+STATE_LOG = StructType(STATE.fields + _table(saved_at=_INSTANT, seq=_LONG).fields)
 
 COMMIT_LOG = _table(commit_seq=_LONG, dataset_id=_TEXT, version_id=_TEXT, committed_at=_INSTANT)
 
@@ -113,7 +112,6 @@ FILE_INDEX = _table(
 )
 
 _RANGE = _table(min_obs_time=_TEXT, max_obs_time=_TEXT)
-_TEXTS = ArrayType(_TEXT)
 
 MANIFEST = _table(
     version_id=_TEXT,
@@ -122,11 +120,8 @@ MANIFEST = _table(
     collection_date=_TEXT,
     data_points_count=_LONG,
     series_count=_LONG,
-    series_codes=_TEXTS,
     date_range=_RANGE,
     date_range_utc=_RANGE,
-    json_files=_TEXTS,
-    partitions=_TEXTS,
     partition_strategy=_TEXT,
     file_count=_LONG,
     partition_count=_LONG,

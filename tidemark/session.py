@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A key repeated in a JSON document: the last one counts, as with other JSON readers.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Keeps month='01' a string when a partitioned folder is read.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from tidemark.functions.numbers import parse_decimal
 from tidemark.functions.times import iso_text
 from tidemark.operators.partitions import with_partition_columns, write_folders
 from tidemark.schemas import PUBLISHED
@@ -20,8 +21,31 @@ def scan_published(
     A file holds an array of rows, an object with a ``data`` array, or an object that is
     one row itself; any other JSON gives no rows, and a missing root an empty table.  With
     ``lines`` every line is such a document, and large files can be split over tasks.
+    A value is read as text and converted, so one that is no number is null and costs no other
+    row.  Documents that are not JSON are in ``published_rejects``.
     """
-    with_data = StructType([*PUBLISHED.fields]).add("data", ArrayType(PUBLISHED))
+    documents = _documents(spark, root, glob, lines)
+    if documents is None:
+        return spark.createDataFrame([], PUBLISHED)
+    rows = documents.select(F.inline(_rows_of(documents)))
+    return rows.withColumn("value", parse_decimal(F.col("value"))).select(*PUBLISHED.fieldNames())
+
+
+def published_rejects(
+    spark: SparkSession, root: str, glob: str = "data.json", lines: bool = False
+) -> DataFrame:
+    """``path, document`` of what ``scan_published`` cannot read: broken or cut-off JSON."""
+    documents = _documents(spark, root, glob, lines)
+    if documents is None:
+        return spark.createDataFrame([], "path string, document string")
+    # Spark reads the text of a broken document only together with another column.
+    broken = F.col("_bad").isNotNull() & F.coalesce(F.size("data") >= -1, F.lit(True))
+    return documents.where(broken).select("path", F.col("_bad").alias("document"))
+
+
+def _documents(spark: SparkSession, root: str, glob: str, lines: bool) -> DataFrame | None:
+    texts = StructType([StructField(f.name, StringType()) for f in PUBLISHED.fields])
+    with_data = StructType([*texts.fields]).add("data", ArrayType(texts))
     reader = (
         spark.read.schema(with_data.add("_bad", "string"))
         .option("multiLine", not lines)
@@ -35,14 +59,17 @@ def scan_published(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], PUBLISHED)
+        return None
+    return files.withColumn("path", F.col("_metadata.file_path"))
+
+
+def _rows_of(documents: DataFrame) -> Column:
     names = PUBLISHED.fieldNames()
     own = F.array(F.struct(*names))
-    holds_row = F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()
-    rows = F.when(F.col("data").isNotNull(), F.col("data")).when(
+    holds_row = F.coalesce(*names).isNotNull()
+    return F.when(F.col("data").isNotNull(), F.col("data")).when(
         holds_row & F.col("_bad").isNull(), own
     )
-    return files.select(F.inline(rows))
 
 
 def published_rows(observations: DataFrame, **more: Column) -> DataFrame:

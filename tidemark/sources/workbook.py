@@ -9,13 +9,16 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree.ElementTree import iterparse
 
-# Fixed values of the file format: number formats that mean a date or time, the two day
-# zeroes, and the first day after the format's invented 29 February 1900.
+# Fixed values of the file format: built-in number formats that mean a date or time, and for
+# either calendar from which day on serial numbers count from which date.  (The older calendar
+# has a 29 February 1900, day 60, that never was, so its first days count from a day later.)
 _DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
-_DAY_ZERO_1900 = datetime(1899, 12, 30)
-_DAY_ZERO_1904 = datetime(1904, 1, 1)
-_AFTER_FALSE_LEAP_DAY = 60
-_NOT_FORMAT_CODE = re.compile(r'"[^"]*"|\[[^\]]*\]|[\\_*].')
+_FROM_1900 = ((60, datetime(1899, 12, 30)), (1, datetime(1899, 12, 31)))
+_FROM_1904 = ((1, datetime(1904, 1, 1)),)
+_DAY = 86_400_000  # milliseconds
+# Pieces of a format code: quoted text, a character after an escape, a bracket, or a character.
+_PIECE = re.compile(r'"[^"]*"|[\\_*].|\[[^\]]*\]|.', re.DOTALL)
+_ELAPSED = re.compile(r"\[(h+|m+|s+)\]", re.IGNORECASE)
 
 Cell = tuple[str, int, int, datetime | None, float | None, str | None]
 
@@ -33,17 +36,17 @@ def read_cells(content: bytes) -> Iterator[Cell]:
             rel.get("Id"): rel.get("Target", "")
             for rel in _elements(book, "xl/_rels/workbook.xml.rels", "Relationship")
         }
-        day_zero = _DAY_ZERO_1900
+        calendar = _FROM_1900
         for item in _elements(book, "xl/workbook.xml", "workbookPr", "sheet"):
             if _tag(item) == "workbookPr":
                 if item.get("date1904") in ("1", "true"):
-                    day_zero = _DAY_ZERO_1904
+                    calendar = _FROM_1904
                 continue
             link = next((v for k, v in item.items() if k.endswith("}id")), None)
             target = targets.get(link, "")
             part = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
             if part in parts:
-                for cell in _sheet_cells(book, part, strings, dates, day_zero):
+                for cell in _sheet_cells(book, part, strings, dates, calendar):
                     yield (item.get("name", ""), *cell)
 
 
@@ -52,11 +55,19 @@ def _tag(element) -> str:
 
 
 def _elements(book, part, *names):
+    """Elements with one of the names; each is let go of, so memory does not grow with them."""
     with book.open(part) as stream:
-        for _, element in iterparse(stream):
+        parents: list = []
+        for event, element in iterparse(stream, ("start", "end")):
+            if event == "start":
+                parents.append(element)
+                continue
+            parents.pop()
             if _tag(element) in names:
                 yield element
                 element.clear()
+                if parents:
+                    parents[-1].remove(element)
 
 
 def _shared_strings(book) -> list[str]:
@@ -79,8 +90,7 @@ def _date_styles(book) -> set[int]:
     dates, styles = set(_DATE_FORMATS), set()
     for item in _elements(book, "xl/styles.xml", "numFmt", "cellXfs"):
         if _tag(item) == "numFmt":
-            code = _NOT_FORMAT_CODE.sub("", item.get("formatCode", "").split(";")[0])
-            if re.search("[dmhys]", code, re.IGNORECASE):
+            if _shows_date(item.get("formatCode", "")):
                 dates.add(int(item.get("numFmtId")))
         else:
             formats = [int(style.get("numFmtId", 0)) for style in item]
@@ -88,7 +98,17 @@ def _date_styles(book) -> set[int]:
     return styles
 
 
-def _sheet_cells(book, part, strings, dates, day_zero):
+def _shows_date(code: str) -> bool:
+    """Whether the format for positive numbers has a part of a date, or an elapsed time."""
+    for piece in _PIECE.findall(code):
+        if piece == ";":
+            return False
+        if piece.lower() in ("d", "m", "y", "h", "s") or _ELAPSED.fullmatch(piece):
+            return True
+    return False
+
+
+def _sheet_cells(book, part, strings, dates, calendar):
     row_number = 0
     for row in _elements(book, part, "row"):
         row_number = int(row.get("r", row_number + 1))
@@ -96,7 +116,7 @@ def _sheet_cells(book, part, strings, dates, day_zero):
         for cell in row:
             reference = re.match("[A-Z]+", cell.get("r", ""))
             column = _column(reference.group()) if reference else column + 1
-            value = _value(cell, strings, dates, day_zero)
+            value = _value(cell, strings, dates, calendar)
             if value is not None:
                 seen = True
                 yield (row_number, column, *value)
@@ -111,7 +131,7 @@ def _column(letters: str) -> int:
     return number - 1
 
 
-def _value(cell, strings, dates, day_zero):
+def _value(cell, strings, dates, calendar):
     """(ts, num, str) of a cell, or None when it is blank.  Formulas give their cached result."""
     kind = cell.get("t", "n")
     if kind == "inlineStr":
@@ -131,14 +151,15 @@ def _value(cell, strings, dates, day_zero):
     number = float(raw)
     if int(cell.get("s", 0)) not in dates:
         return None, number, None
-    return _date(number, day_zero)
-
-
-def _date(serial: float, day_zero: datetime):
-    day, fraction = divmod(serial, 1)
-    time = timedelta(milliseconds=round(fraction * 86_400_000))
-    if 0 <= serial < 1 and time.days == 0:
-        return None, None, str((datetime.min + time).time())  # a time of day is no date
-    if 0 < day < _AFTER_FALSE_LEAP_DAY and day_zero == _DAY_ZERO_1900:
-        day += 1
-    return day_zero + timedelta(days=day) + time, None, None
+    return _moment(number, calendar)
+
+
+def _moment(serial: float, calendar):
+    """A serial number as a date, as the text of a time of day (day 0), or as the number it is."""
+    whole = round(serial * _DAY)
+    if 0 <= whole < _DAY:
+        return None, None, str((datetime.min + timedelta(milliseconds=whole)).time())
+    for first_day, origin in calendar:
+        if whole >= first_day * _DAY:
+            return origin + timedelta(milliseconds=whole), None, None
+    return None, serial, None
