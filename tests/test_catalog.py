@@ -5,6 +5,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_module
+import catalog
 
 SF = "/root/testdata/sf0.001"
 # Column types that mean the same in both engines.
@@ -23,7 +24,7 @@ def con():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, con, name):
     frame = entry_module.queries()[name](spark, SF)
     sql = entry_module.oracle_sql()[name]
