@@ -26,6 +26,7 @@ from tidemark.llm.tokens import encoder
 from tidemark.session import staged
 
 NO_ID = -(1 << 63)
+WRITE_BYTES = 1 << 20
 _PARTS = "part long, docs long, tokens long"
 
 
@@ -69,15 +70,20 @@ def _write_part(batches, folder: str, vocabulary: str, end_id: int, kind: str):
     ending = np.array([end_id], kind).tobytes()
     attempt, names, offsets = Attempt(folder), array("q"), array("Q", [0])
     with ExitStack() as stack:
-        stream = None
+        stream, waiting = None, bytearray()
         for batch in batches:
             ids = batch.column(0).fill_null(NO_ID).to_pylist()
             for name, text in zip(ids, batch.column(1).to_pylist(), strict=True):
                 stream = stream or stack.enter_context(attempt.create(f"{part}.ids"))
                 tokens = encode(text or "").astype(kind)
-                stream.write(tokens.tobytes() + ending)
+                waiting += tokens.tobytes() + ending
+                if len(waiting) > WRITE_BYTES:
+                    stream.write(waiting)
+                    waiting = bytearray()
                 names.append(name)
                 offsets.append(offsets[-1] + len(tokens) + 1)
+        if stream:
+            stream.write(waiting)
     if names:
         for suffix, values in (("docs", names), ("offsets", offsets)):
             with attempt.create(f"{part}.{suffix}") as stream:
