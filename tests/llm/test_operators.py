@@ -1,9 +1,14 @@
 """Operators against brute force on small tables with awkward rows."""
 
 import hashlib
+import math
+import re
 import zlib
+from collections import Counter
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -266,3 +271,59 @@ def test_scoring(spark, docs, none):
     assert scoring.cross_entropy_difference(none, F.lit(True)).count() == 0
     word, _ = scoring._hash_words(b" One  two\tone ")
     assert len(word) == 3 and word[0] == word[2] != word[1]
+
+
+def ascii_words(text):
+    return re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().lower())
+
+
+def test_scores_equal_a_count_of_everything(spark, docs):
+    rows = [(r.doc_id, r.lang == "en", ascii_words(r.text)) for r in docs.collect()]
+    words, pairs = Counter(), Counter()
+    for _, mine, text in rows:
+        for side in (False, True) if mine else (False,):
+            words.update((side, w) for w in text)
+            pairs.update((side, *p) for p in zip(text, text[1:]))
+    size = [sum(n for (side, _), n in words.items() if side is s) for s in (False, True)]
+
+    def loss(mine, text, side):
+        out = mine or not side
+        share = 1.0 if side else size[1] / size[0]
+        own, own_pairs = Counter(text), Counter(zip(text, text[1:]))
+        total = 0.0
+        for at, w in enumerate(text):
+            left = (size[side] - len(text) * out) * share
+            here = (words[side, w] - own[w] * out) * share
+            chance = (here + scoring.BASE_WEIGHT * scoring.BASE_CHANCE) / (left + scoring.BASE_WEIGHT)
+            if at:
+                past, pair = text[at - 1], (text[at - 1], w)
+                both = (pairs[side, *pair] - own_pairs[pair] * out) * share
+                before = (words[side, past] - own[past] * out) * share
+                chance = (both + scoring.HISTORY_WEIGHT * chance) / (before + scoring.HISTORY_WEIGHT)
+            total -= math.log(chance)
+        return total / len(text)
+
+    want = sorted(
+        (-1 if n is None else n, len(t), *((loss(m, t, True), loss(m, t, False)) if t else (None, None)))
+        for n, m, t in rows
+    )
+    got = scoring.cross_entropy_difference(docs.repartition(5), F.col("lang") == "en")
+    got = sorted(
+        (-1 if r.doc_id is None else r.doc_id, r.n_words, r.target_loss, r.background_loss)
+        for r in got.collect()
+    )
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    for g, w in zip(got, want):
+        assert g[2:] == (pytest.approx(w[2:], rel=1e-9) if w[1] else (None, None))
+
+
+def test_chunks_are_bounded_and_hold_every_row(spark):
+    texts = [b"some words here"] * 500_000 + [b"x y " * (3 << 20)]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": list(range(len(texts))), "in_target": [False] * len(texts), "text": texts}
+    )
+    with mock.patch.object(scoring.TaskContext, "get", lambda: mock.Mock(partitionId=lambda: 1)):
+        chunks = [c.to_pylist()[0] for c in scoring._chunks(iter([batch]))]
+    assert len(chunks) > 3 and len({c["chunk"] for c in chunks}) == len(chunks)
+    assert [n for c in chunks for n in c["doc_ids"]] == list(range(len(texts)))
+    assert sum(c["n_words"] for c in chunks) == 500_000 * 3 + 2 * (3 << 20)

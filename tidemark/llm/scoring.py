@@ -1,40 +1,40 @@
-"""Cross-entropy difference of two matched word-bigram models (target and background)."""
+"""Cross-entropy difference of two matched word-bigram models (target and background).
+
+Texts are worked on in chunks of a few megabytes.  A chunk asks for the counts of the words and
+word pairs it has, each once; the questions are dealt by hash to buckets, which add them up and
+answer every chunk.  So the counts are those of the whole corpus, their tables grow with it, and
+no task or driver ever holds more than a chunk or a bucket of them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.lookup import lookup_join
 from tidemark.session import staged
 
-# The shared vocabulary: words and word pairs are cells of these tables by their hash.
-WORD_BITS = 20
-PAIR_BITS = 22
-SLICE_BITS = 14
-# Bytes of text that are worked on at once.
+# Bytes of text in a chunk (a longer document is a chunk of its own), and hashed at once.
+CHUNK = 8 << 20
 PIECE = 1 << 20
-# Pseudo-counts: of the word distribution in a history, and of each cell.
+# Words whose questions one bucket answers.
+BUCKET_WORDS = 2_000_000
+# A key is this many bytes of a word's or a pair's hash; its last bit is set for words.
+KEY_BYTES = 7
+COUNT_BYTES = 6
+# Pseudo-counts: of the word distribution in a history, and of the base distribution in the
+# word distribution; each word has this chance in the base distribution.
 HISTORY_WEIGHT = 4.0
-CELL_WEIGHT = 0.01
+BASE_WEIGHT = 10_000.0
+BASE_CHANCE = 2.0**-20
 _POWERS = np.cumprod(np.full(256, 0x100000001B3, np.uint64))
 _STIR = np.uint64(0x9E3779B97F4A7C15)
-
-
-@dataclass(frozen=True)
-class Counts:
-    """Counts of every cell: word cells first, then those of pairs."""
-
-    everything: np.ndarray
-    target: np.ndarray
-    words: int
-    target_words: int
+_ZSTD = "zstd"
 
 
 def cross_entropy_difference(
@@ -48,124 +48,261 @@ def cross_entropy_difference(
     out of both models.  Losses are nats per word; ``score`` is target less background, so low
     scores are like the target; without words (or text) losses are null.
 
-    Words stand between ASCII white space, A-Z lower-cased.  The tables have a fixed number of
-    cells, which bounds the broadcast; the counts come from every word of every row.
+    Words stand between ASCII white space, A-Z lower-cased.  Repeated rows are rows of their own.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(in_target, F.lit(False)).alias("in_target"),
         F.col(text).cast("binary").alias("text"),
     )
-    counts = count_corpus(rows)
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = (
-        f"doc_id {kind}, n_words long, target_loss double, background_loss double, "
-        "score double, in_target boolean"
+    chunks = staged(
+        rows.mapInArrow(
+            _chunks,
+            f"chunk long, doc_ids array<{kind}>, in_target array<boolean>, lengths array<long>, "
+            "words binary, vocabulary binary, n_words long, n_target_words long",
+        ),
+        "chunks",
+    )
+    total = chunks.agg(
+        F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"),
+        F.coalesce(F.sum("n_target_words"), F.lit(0)).alias("target_words"),
+    ).first()
+    answers = corpus_counts(chunks, bucket_bits(total["words"]))
+    totals = (total["target_words"], total["words"])
+
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        return _score(chunk, answers, totals)
+
+    return (
+        chunks.groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(
+            score,
+            f"doc_id {kind}, n_words long, target_loss double, background_loss double, "
+            "score double, in_target boolean",
+        )
     )
-    return rows.mapInArrow(lambda batches: _score(batches, shared.value), schema)
 
 
-def count_corpus(rows: DataFrame) -> Counts:
-    cells = rows.mapInArrow(_count, "cell int, n long, n_target long")
-    sums = cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    slices = staged(
-        sums.withColumn("slice", F.shiftright("cell", SLICE_BITS))
-        .groupBy("slice")
-        .applyInPandas(_pack, "slice int, n binary, n_target binary, words long, target_words long"),
-        "counts",
+def bucket_bits(words: int) -> int:
+    """So many bits of a key name its bucket that buckets stay within their size."""
+    return min(24, max(6, (words // BUCKET_WORDS).bit_length()))
+
+
+def corpus_counts(chunks: DataFrame, bits: int) -> DataFrame:
+    """For every chunk and bucket, the corpus counts of the chunk's keys in key order.
+
+    A chunk asks for a key once, with its own count, so a frequent word is no hot key.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                yield from _questions(batch.slice(at, 1), bits)
+
+    asked = chunks.select("chunk", "in_target", "lengths", "words", "vocabulary").mapInArrow(
+        ask, "bucket int, chunk long, keys binary, n binary, n_target binary"
     )
-    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
-    everything, target = np.zeros(size, np.float32), np.zeros(size, np.float32)
-    words = target_words = 0
-    for row in slices.toLocalIterator():
-        place = slice(row["slice"] << SLICE_BITS, (row["slice"] + 1) << SLICE_BITS)
-        everything[place] = np.frombuffer(row["n"], np.float32)
-        target[place] = np.frombuffer(row["n_target"], np.float32)
-        words, target_words = words + row["words"], target_words + row["target_words"]
-    return Counts(everything, target, words, target_words)
-
-
-def _pack(frame: pd.DataFrame) -> pd.DataFrame:
-    number = int(frame["slice"].iloc[0])
-    inside = frame["cell"].to_numpy() - (number << SLICE_BITS)
-    packed, totals = [], []
-    for name in ("n", "n_target"):
-        table = np.zeros(1 << SLICE_BITS, np.float32)
-        table[inside] = frame[name].to_numpy()
-        packed.append(table.tobytes())
-        totals.append(int(frame[name].sum()) if number < 1 << (WORD_BITS - SLICE_BITS) else 0)
-    return pd.DataFrame(
-        {
-            "slice": [number],
-            "n": [packed[0]],
-            "n_target": [packed[1]],
-            "words": [totals[0]],
-            "target_words": [totals[1]],
-        }
+    return asked.groupBy("bucket").applyInArrow(
+        _answer, "chunk long, bucket int, n binary, n_target binary"
     )
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
-    sums = np.zeros((2, size), np.int32)
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, number = TaskContext.get().partitionId(), 0
+    names: list[pa.Array] = []
+    marks: list[bool] = []
+    texts: list[bytes] = []
+    weight = 0
+
+    def closed() -> pa.RecordBatch:
+        hashes = list(hash_texts(texts))
+        lengths = np.array([len(h) for h in hashes], np.int64)
+        vocabulary, ids, n = np.unique(
+            np.concatenate(hashes), return_inverse=True, return_counts=True
+        )
+        order = np.argsort(-n, kind="stable")  # small numbers for frequent words pack well
+        rank = np.empty(len(order), np.uint64)
+        rank[order] = np.arange(len(order), dtype=np.uint64)
+        ids_of = pa.concat_arrays(names)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([(part << 33) + number]),
+                pa.ListArray.from_arrays([0, len(ids_of)], ids_of),
+                pa.array([marks]),
+                pa.array([lengths]),
+                pa.array([pa.compress(_planes(rank[ids], 4), _ZSTD, asbytes=True)]),
+                pa.array([vocabulary[order].tobytes()], pa.binary()),
+                pa.array([int(lengths.sum())]),
+                pa.array([int(lengths[np.array(marks, bool)].sum())]),
+            ],
+            [
+                *("chunk", "doc_ids", "in_target", "lengths", "words", "vocabulary"),
+                *("n_words", "n_target_words"),
+            ],
+        )
+
     for batch in batches:
-        chosen = batch.column("in_target").to_numpy(zero_copy_only=False).astype(bool)
-        for rows, word, pair, owner in cells_of(batch.column("text").to_pylist()):
-            whose = chosen[rows][owner]
-            pairs = pair >= 0
-            for ids, mine in ((word, whose), (pair[pairs], whose[pairs])):
-                for k, part in enumerate((ids, ids[mine])):
-                    cells, n = np.unique(part, return_counts=True)
-                    sums[k][cells] += n.astype(np.int32)
-    used = np.flatnonzero(sums[0])
-    for at in range(0, len(used), 100_000):
-        some = used[at : at + 100_000]
+        ids, chosen = batch.column("doc_id"), batch.column("in_target").to_pylist()
+        start = 0
+        for at, text in enumerate(batch.column("text")):
+            text = text.as_py() or b""
+            marks.append(chosen[at])
+            texts.append(text)
+            weight += len(text) + 64  # so that empty texts fill a chunk as well
+            if weight >= CHUNK:
+                names.append(ids.slice(start, at + 1 - start))
+                start = at + 1
+                yield closed()
+                number, weight = number + 1, 0
+                names, marks, texts = [], [], []
+        if start < len(ids):
+            names.append(ids.slice(start))
+    if texts:
+        yield closed()
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of unsigned 64-bit integers, all the first ones first: they compress better."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    values = np.zeros((planes.shape[1], 8), np.uint8)
+    values[:, :width] = planes.T
+    return values.view("<u8").ravel()
+
+
+class _Keys:
+    """A chunk's texts as places in the sorted list of its keys."""
+
+    def __init__(self, row: dict):
+        self.lengths = np.array(row["lengths"], np.int64)
+        size = int(self.lengths.sum())
+        ids = _from_planes(pa.decompress(row["words"], size * 4, _ZSTD, asbytes=True), 4)
+        words = np.frombuffer(row["vocabulary"], np.uint64)[ids.astype(np.int64)]
+        self.owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.mine = np.array(row["in_target"], bool)[self.owner]
+        self.follows = np.zeros(size, bool)
+        self.follows[1:] = self.owner[1:] == self.owner[:-1]
+        pairs = ((np.roll(words, 1) * np.uint64(31) ^ words) * _STIR)[self.follows]
+        unused = np.uint64(64 - 8 * KEY_BYTES)
+        self.keys, places = np.unique(
+            np.concatenate([(words >> unused) | np.uint64(1), (pairs >> unused) & ~np.uint64(1)]),
+            return_inverse=True,
+        )
+        self.word = places[:size]
+        self.pair = np.full(size, -1, np.int64)
+        self.pair[self.follows] = places[size:]
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often all texts, and those of the target, have each key."""
+        places = np.concatenate([self.word, self.pair[self.follows]])
+        mine = np.concatenate([self.mine, self.mine[self.follows]])
+        return tuple(np.bincount(p, minlength=len(self.keys)) for p in (places, places[mine]))
+
+    def own(self, places: np.ndarray) -> np.ndarray:
+        """How often the text itself has each of its keys."""
+        _, back, n = np.unique(
+            (self.owner << 32) | (places + 1), return_inverse=True, return_counts=True
+        )
+        return n[back]
+
+
+def _questions(chunk: pa.RecordBatch, bits: int) -> Iterator[pa.RecordBatch]:
+    row = chunk.to_pylist()[0]
+    known = _Keys(row)
+    everything, target = known.counts()
+    bucket = (known.keys >> np.uint64(8 * KEY_BYTES - bits)).astype(np.int64)
+    numbers, starts = np.unique(bucket, return_index=True)
+    spans = [slice(s, e) for s, e in zip(starts, [*starts[1:], len(bucket)])]
+    for at in range(0, len(spans), 10_000):
+        some = spans[at : at + 10_000]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(some.astype(np.int32)),
-                pa.array(sums[0][some].astype(np.int64)),
-                pa.array(sums[1][some].astype(np.int64)),
+                pa.array(numbers[at : at + 10_000].astype(np.int32)),
+                pa.array([row["chunk"]] * len(some)),
+                pa.array([_planes(known.keys[s], KEY_BYTES) for s in some], pa.binary()),
+                pa.array([_planes(everything[s], COUNT_BYTES) for s in some], pa.binary()),
+                pa.array([_planes(target[s], COUNT_BYTES) for s in some], pa.binary()),
             ],
-            ["cell", "n", "n_target"],
+            ["bucket", "chunk", "keys", "n", "n_target"],
         )
 
 
-def cells_of(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of texts: their places, word cells, pair cells (-1 without a word before), owners."""
-    places: list[int] = []
-    parts: list[np.ndarray] = []
+def _answer(asked: pa.Table) -> pa.Table:
+    keys = [_from_planes(k.as_py(), KEY_BYTES) for k in asked["keys"]]
+    edges = np.cumsum([len(k) for k in keys])[:-1]
+    distinct, places = np.unique(np.concatenate(keys), return_inverse=True)
+    answers = []
+    for name in ("n", "n_target"):
+        n = np.concatenate([_from_planes(c.as_py(), COUNT_BYTES) for c in asked[name]])
+        totals = np.bincount(places, n, len(distinct)).astype(np.uint64)
+        answers.append([_planes(part, COUNT_BYTES) for part in np.split(totals[places], edges)])
+    return pa.table(
+        {
+            "chunk": asked["chunk"],
+            "bucket": asked["bucket"],
+            "n": pa.array(answers[0], pa.binary()),
+            "n_target": pa.array(answers[1], pa.binary()),
+        }
+    )
+
+
+def _score(chunk: pa.Table, answers: pa.Table, totals: tuple[int, int]) -> pa.Table:
+    row = chunk.select(["in_target", "lengths", "words", "vocabulary"]).to_pylist()[0]
+    known = _Keys(row)
+    answers = answers.sort_by("bucket")
+    size = known.lengths
+    losses = []
+    own_word, own_pair = known.own(known.word), known.own(known.pair)
+    history, own_history = np.roll(known.word, 1), np.roll(own_word, 1)
+    scale = totals[0] / max(totals[1], 1)
+    for name, total, share, inside in (
+        ("n_target", totals[0], 1.0, known.mine),
+        ("n", totals[1], scale, np.ones(len(known.word), bool)),
+    ):
+        parts = [_from_planes(a.as_py(), COUNT_BYTES) for a in answers[name]]
+        table = np.concatenate([*parts, np.zeros(0, np.uint64)]).astype(np.float64)
+        left = (total - size[known.owner] * inside) * share
+        plain = ((table[known.word] - own_word * inside) * share + BASE_WEIGHT * BASE_CHANCE) / (
+            left + BASE_WEIGHT
+        )
+        both = (table[known.pair] - own_pair * inside) * share
+        past = (table[history] - own_history * inside) * share
+        chance = np.where(
+            known.follows, (both + HISTORY_WEIGHT * plain) / (past + HISTORY_WEIGHT), plain
+        )
+        losses.append(-np.bincount(known.owner, np.log(chance), len(size)) / np.maximum(size, 1))
+    none = size == 0
+    return pa.table(
+        {
+            "doc_id": pa.concat_arrays(chunk["doc_ids"].chunks).flatten(),
+            "n_words": pa.array(size),
+            "target_loss": pa.array(losses[0], mask=none),
+            "background_loss": pa.array(losses[1], mask=none),
+            "score": pa.array(losses[0] - losses[1], mask=none),
+            "in_target": pa.array(row["in_target"], pa.bool_()),
+        }
+    )
+
+
+def hash_texts(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """The word hashes of each text; short texts are hashed together."""
     held: list[bytes] = []
     weight = 0
-
-    def flush():
-        hashes = [*parts, *_hashes_of(held)]
-        owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-        joined = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-        word = (joined >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-        before = np.roll(joined, 1) * np.uint64(31)
-        mixed = (before ^ joined) * _STIR
-        pair = (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64) + (1 << WORD_BITS)
-        first = np.ones(len(joined), bool)
-        first[1:] = owner[1:] != owner[:-1]
-        pair[first] = -1
-        return np.array(places, np.int64), word, pair, owner
-
-    for place, text in enumerate(texts):
-        text = text or b""
+    for text in texts:
         if held and weight + len(text) > PIECE:
-            yield flush()
-            places, parts, held, weight = [], [], [], 0
-        places.append(place)
+            yield from _hashes_of(held)
+            held, weight = [], 0
         if len(text) > PIECE:
-            parts.append(np.concatenate([np.zeros(0, np.uint64), *map(_hashes, _pieces(text))]))
-            yield flush()
-            places, parts, held, weight = [], [], [], 0
+            yield np.concatenate([np.zeros(0, np.uint64), *map(_hashes, _pieces(text))])
         else:
             held.append(text)
             weight += len(text)
-    if places:
-        yield flush()
+    yield from _hashes_of(held)
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -210,51 +347,6 @@ def _hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (sums ^ (sums >> np.uint64(32))) * _STIR, starts
 
 
-def _score(batches: Iterator[pa.RecordBatch], counts: Counts) -> Iterator[pa.RecordBatch]:
-    scale = counts.target_words / max(counts.words, 1)
-    for batch in batches:
-        chosen = batch.column("in_target").to_numpy(zero_copy_only=False).astype(bool)
-        size = batch.num_rows
-        words, losses = np.zeros(size, np.int64), np.zeros((2, size))
-        for rows, word, pair, owner in cells_of(batch.column("text").to_pylist()):
-            n = np.bincount(owner, minlength=len(rows))
-            words[rows] = n
-            own_word, own_pair = _own(owner, word), _own(owner, pair)
-            history = np.roll(word, 1)
-            own_history = np.roll(own_word, 1)
-            known = pair >= 0
-            at = np.where(known, pair, 0)
-            mine = chosen[rows][owner]
-            for k, (table, total, share, inside) in enumerate(
-                (
-                    (counts.target, counts.target_words, 1.0, mine),
-                    (counts.everything, counts.words, scale, np.ones(len(word), bool)),
-                )
-            ):
-                left = (total - n[owner] * inside) * share
-                plain = (np.maximum(table[word] - own_word * inside, 0) * share + CELL_WEIGHT) / (
-                    np.maximum(left, 0) + CELL_WEIGHT * (1 << WORD_BITS)
-                )
-                both = np.maximum(table[at] - own_pair * inside, 0) * share
-                past = np.maximum(table[history] - own_history * inside, 0) * share
-                past = np.maximum(past, both)
-                chance = np.where(known, (both + HISTORY_WEIGHT * plain) / (past + HISTORY_WEIGHT), plain)
-                losses[k][rows] = -np.bincount(owner, weights=np.log(chance), minlength=len(rows))
-        some = words > 0
-        mean = [pa.array(x / np.maximum(words, 1), mask=~some) for x in losses]
-        score = pa.array((losses[0] - losses[1]) / np.maximum(words, 1), mask=~some)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(words), *mean, score, batch.column("in_target")],
-            ["doc_id", "n_words", "target_loss", "background_loss", "score", "in_target"],
-        )
-
-
-def _own(owner: np.ndarray, cell: np.ndarray) -> np.ndarray:
-    """How often the row itself has each cell."""
-    _, back, n = np.unique((owner << 24) | (cell + 1), return_inverse=True, return_counts=True)
-    return n[back]
-
-
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores with the documents labelled good as target; repeated labels: any good one counts."""
     good = staged(
