@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from catalog.registry import query, table
+from catalog.shapes import RUN_TS, ZONE, wall
 from catalog.workbook_fixture import workbook_bytes
 from tidemark.operators import grid
+from tidemark.plans import projection
+from tidemark.plans.layout import DatasetLayout
+from tidemark.plans.refresh import run_refresh
 from tidemark.session import staged, work_folder
 from tidemark.sources import landing
 from tidemark.sources.series import series_map
@@ -28,8 +34,18 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
 
 def _land_workbooks(spark, sf_dir) -> str:
     """One workbook per run of events, a sheet per event type, written by Spark."""
+    events = _workbook_events(spark, sf_dir)
+    books = events.groupBy("workbook").applyInPandas(_build, "workbook string, content binary")
+    root = work_folder(spark, "landing")
+    books.select("workbook", F.col("content").cast("string").alias("value")).write.option(
+        "maxRecordsPerFile", 1
+    ).partitionBy("workbook").text(root)
+    return root
+
+
+def _workbook_events(spark, sf_dir):
     number = F.floor(F.col("event_id") / _ROWS).cast("bigint")
-    events = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.format_string("W%06d.xlsx", number).alias("workbook"),
         "event_type",
         (F.col("event_id") % _ROWS + 2).alias("line"),
@@ -37,12 +53,6 @@ def _land_workbooks(spark, sf_dir) -> str:
         "value",
         "user_id",
     )
-    books = events.groupBy("workbook").applyInPandas(_build, "workbook string, content binary")
-    root = work_folder(spark, "landing")
-    books.select("workbook", F.col("content").cast("string").alias("value")).write.option(
-        "maxRecordsPerFile", 1
-    ).partitionBy("workbook").text(root)
-    return root
 
 
 def _workbook_name():
@@ -76,6 +86,86 @@ def decode_workbooks(spark, sf_dir):
     return landing.decode_workbooks(files, _workbook_name())
 
 
+@query(f"""
+SELECT DISTINCT printf('W%06d.xlsx', event_id // {_ROWS}) AS source_id, 'BadZipFile' AS kind
+FROM events WHERE (event_id // {_ROWS}) % 2 = 1""")
+def landing_rejects(spark, sf_dir):
+    """Every second workbook is cut short on its way."""
+    files = landing.scan_landing(spark, _land_workbooks(spark, sf_dir), "*.txt")
+    number = F.regexp_extract("path", "workbook=W0*([0-9]+)", 1).cast("int")
+    short = F.expr("substring(content, 1, 500)")
+    cut = files.withColumn("content", F.when(number % 2 == 1, short).otherwise(F.col("content")))
+    decoded = staged(landing.decode_isolated(cut, _workbook_name()), "decoded")
+    return landing.rejected_workbooks(decoded).select(
+        "source_id", F.regexp_extract("error", "^[A-Za-z]+", 0).alias("kind")
+    )
+
+
+def _build_both(group: pd.DataFrame) -> pd.DataFrame:
+    """Sheets in columns (header, then a line per event), the sheet of errors in rows 6 and 10."""
+    sheets = {}
+    for sheet, rows in group.sort_values("line").groupby("event_type"):
+        lines = {1: ["ts", "value"]}
+        if sheet == "error":
+            times = [t.to_pydatetime() for t in rows["ts"]]
+            lines |= {6: [None, *times], 10: [None, None, *rows["value"]]}
+        else:
+            lines |= {int(r.line): [r.ts.to_pydatetime(), r.value] for r in rows.itertuples()}
+        sheets[sheet] = lines
+    return pd.DataFrame(
+        {"workbook": [group["workbook"].iloc[0]], "content": [workbook_bytes(sheets)]}
+    )
+
+
+_BOTH = {
+    "dataset_id": "books",
+    "windowInDays": 20,
+    "normalize": {"timezone": ZONE, "primary_keys": ["obs_time", "internal_series_code"]},
+    "parse_config": {
+        "series_map": [
+            {"internal_series_code": "CLICK", "sheet": "click", "header_row": 1, "unit": "clicks",
+             "date_col": "A", "value_col": "B", "drop_na": True},
+            {"internal_series_code": "VIEW", "sheet": "view", "header_row": 1, "frequency": "D",
+             "date_col": "A", "value_col": "B"},
+            {"internal_series_code": "ERROR", "sheet": "error", "fecha_row": 6,
+             "fecha_start_col": "B", "valor_row": 10, "valor_start_col": "C", "drop_na": True},
+        ]
+    },
+}
+
+
+@query(f"""
+WITH e AS (
+  SELECT event_id, event_id // {_ROWS} AS book, upper(event_type) AS code,
+    date_trunc('second', ts) AS clk, value FROM events
+  WHERE event_type IN ('click', 'view', 'error')),
+early AS (SELECT * FROM e WHERE book % 2 = 0 AND clk < '2024-01-20'),
+marks AS (SELECT code, max(clk) AS mark FROM early GROUP BY code),
+late AS (SELECT e.* FROM e LEFT JOIN marks USING (code) WHERE mark IS NULL OR clk > mark),
+both_runs AS (SELECT 0 AS run, * FROM early UNION ALL SELECT 1, * FROM late),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY code, clk ORDER BY run, event_id) AS rn
+  FROM both_runs WHERE clk + INTERVAL 3 HOUR >= TIMESTAMP '2024-02-01 12:30:15.25' - INTERVAL 20 DAY)
+SELECT clk + INTERVAL 3 HOUR AS obs_time, clk AS obs_local, code AS internal_series_code, value,
+  CASE code WHEN 'CLICK' THEN 'clicks' END AS unit, CASE code WHEN 'VIEW' THEN 'D' END AS frequency
+FROM ranked WHERE rn = 1""")
+def refresh_workbooks(spark, sf_dir):
+    """Workbooks in both layouts, twice: some early ones, then all; old rows fall to marks and window."""
+    root = work_folder(spark, "books")
+    events = _workbook_events(spark, sf_dir)
+    number = F.regexp_extract("workbook", "W0*([0-9]+)", 1).cast("int")
+    early = events.where((number % 2 == 0) & (F.col("ts") < "2024-01-20"))
+    for run, rows in enumerate((early, events)):
+        books = rows.groupBy("workbook").applyInPandas(_build_both, "workbook string, content binary")
+        payloads = books.select(F.col("workbook").alias("path"), "content")
+        cells = landing.good_cells(staged(landing.decode_isolated(payloads), "decoded"))
+        run_ts = RUN_TS + timedelta(days=run)
+        run_refresh(staged(cells, "cells"), _BOTH, root, run_ts, as_of=RUN_TS)
+    layout = DatasetLayout(root, _BOTH["dataset_id"])
+    return projection.read_projection(spark, layout).select(
+        wall("obs_time"), "obs_local", "internal_series_code", "value", "unit", "frequency"
+    )
+
+
 _SOURCE = "concat('W', CAST(event_id div 1000 AS STRING))"
 
 _VERTICAL_CELLS = """vcells AS (

@@ -229,6 +229,32 @@ def refresh_e2e(spark, sf_dir):
     return _final(projection.read_projection(spark, layout))
 
 
+@query(f"WITH {_FINAL_SQL} SELECT *, 7::BIGINT AS commits FROM final")
+def stream_many_batches(spark, sf_dir):
+    """A file per micro-batch, days in mixed order: rows before a mark are merged, none is lost."""
+    root = work_folder(spark, "batches")
+    rows = points(spark, sf_dir)
+    part = F.pmod(F.dayofyear("obs_ts") * 3, F.lit(7))
+    rows.withColumn("part", part).repartition(7, "part").write.partitionBy("part").parquet(f"{root}/in")
+    series = series_map(spark, SERIES_CONFIG)
+    files = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    source = files.option("recursiveFileLookup", True).parquet(f"{root}/in")
+    refresh_stream(
+        source,
+        SERIES_CONFIG,
+        root,
+        RUN_TS,
+        f"{root}/checkpoint",
+        lambda run_ts: table_stages(series, SERIES_CONFIG, run_ts, ["ord"]),
+        bucket="b",
+    ).awaitTermination()
+    layout = DatasetLayout(root, SERIES_CONFIG["dataset_id"])
+    commits = spark.read.parquet(layout.commit_log).agg(F.count("*").alias("commits"))
+    return _final(projection.read_projection(spark, layout)).withColumn(
+        "commits", F.lit(commits.first()["commits"])
+    )
+
+
 @query(f"WITH {_FINAL_SQL} SELECT * FROM final")
 def stream_incremental(spark, sf_dir):
     """The events table as a file stream, one refresh per micro-batch."""

@@ -7,6 +7,8 @@ import pytest
 from rows import CODE
 
 from catalog.workbook_fixture import workbook_bytes
+from tidemark.session import staged
+from tidemark.sources import landing
 from tidemark.sources.landing import decode_workbooks, scan_landing
 from tidemark.sources.published import scan_published
 from tidemark.sources.series import series_map
@@ -146,3 +148,16 @@ def test_format_codes(code, expected):
     from tidemark.sources.workbook import _shows_date
 
     assert _shows_date(code) == expected
+
+
+def test_broken_workbooks_are_reported_and_skipped_names_listed(spark, folder):
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    whole = workbook_bytes({"s": {1: ["a", 1.0]}})
+    for name, content in (("a.xlsx", whole), ("B.XLSX", whole), ("c.xlsm", whole[:200]), ("d.xls", whole)):
+        Path(folder, name).write_bytes(content)
+    files = landing.scan_landing(spark, folder)
+    decoded = staged(landing.decode_isolated(files), "decoded")
+    assert [r.source_id for r in landing.rejected_workbooks(decoded).collect()] == ["c.xlsm"]
+    assert {r.source_id for r in landing.good_cells(decoded).collect()} == {"a.xlsx", "B.XLSX"}
+    skipped = landing.landing_skipped(spark, folder).collect()
+    assert [r.path.rsplit("/", 1)[-1] for r in skipped] == ["d.xls"]

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import BROADCAST_ROWS, lookup_join
+from tidemark.operators.lookup import lookup_join
 from tidemark.sources.series import SeriesMap
 
 
@@ -32,9 +32,7 @@ def enrich(observations: DataFrame, series: SeriesMap, run_ts: datetime) -> Data
         .select(code, "facts.unit", "facts.frequency")
     )
     bare = observations.drop("unit", "frequency", "collection_date")
-    joined = lookup_join(
-        bare, facts, [code], "left", ["obs_time"], series.size <= BROADCAST_ROWS
-    )
+    joined = lookup_join(bare, facts, [code], "left", ["obs_time"], series.small)
     return joined.select(
         "obs_time",
         "obs_local",

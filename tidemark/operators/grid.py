@@ -17,7 +17,7 @@ _SERIES_FACTS = ["series_ord", "internal_series_code", "unit", "frequency", "dro
 
 
 def _small(series: SeriesMap) -> bool:
-    return series.size <= BROADCAST_ROWS
+    return series.size <= BROADCAST_ROWS and series.small
 
 
 def _facts(series: SeriesMap) -> DataFrame:

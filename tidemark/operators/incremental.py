@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import drop_zone
-from tidemark.operators.lookup import BROADCAST_ROWS, lookup_join
+from tidemark.operators.lookup import lookup_join
 from tidemark.sources.series import SeriesMap
 
 CODE = "internal_series_code"
@@ -33,7 +33,7 @@ def marks_for(state: DataFrame, series: SeriesMap) -> DataFrame:
         [CODE],
         "left_semi",
         [MARK],
-        series.size <= BROADCAST_ROWS,
+        series.small,
     )
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
-SALTS = 16  # a key with a third of all rows is left with 2 % of them per task
+MAX_SALTS = 256
+
+
+def salts_of(spark: SparkSession) -> int:
+    """As many salts as a quarter of the shuffle's partitions, so that a hot key uses the cluster."""
+    return max(16, min(MAX_SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
 
 
 def fits_broadcast(table: DataFrame) -> bool:
@@ -40,7 +45,8 @@ def lookup_join(
     """
     if small if small is not None else fits_broadcast(table):
         return facts.join(F.broadcast(table), on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
+    salts = salts_of(facts.sparkSession)
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
     repeated = table.withColumn("_salt", F.explode(every_salt))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

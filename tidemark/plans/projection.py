@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.events import update_event, update_subject
 from tidemark.operators.enrich import instant_literal
-from tidemark.operators.lookup import BROADCAST_ROWS
+from tidemark.operators.lookup import fits_broadcast
 from tidemark.operators.merge import merge_as_published, merge_first_wins, touched_only, unseen_rows
 from tidemark.operators.partitions import write_partitioned
 from tidemark.plans.layout import DatasetLayout
@@ -81,7 +81,7 @@ def project_version(
     if not facts["file_count"]:
         return False
     finish_interrupted(spark, layout, projected_at)
-    few = facts["file_count"] <= BROADCAST_ROWS
+    few = fits_broadcast(read_file_index(spark, layout, version_id))
     incoming = read_version(spark, layout, version_id, few)
     # Written and one row per file: `points > 0` is what lets it prune projection folders.
     touched = (

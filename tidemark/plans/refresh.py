@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import enrich, instant_literal, within_window
-from tidemark.operators.grid import PUSHED_NAMES, extract_points
+from tidemark.operators.grid import extract_points
 from tidemark.operators.incremental import (
     CODE,
     MARK,
@@ -82,17 +82,13 @@ def table_stages(
 
     def parse(points: DataFrame, marks: DataFrame) -> DataFrame:
         if configured_only:
-            codes = sorted({entry[CODE] for entry in series.entries if entry[CODE]})
-            if len(codes) <= PUSHED_NAMES:
-                points = points.where(F.col(CODE).isin(codes))
-            else:
-                known = series.frame.select(CODE).distinct()
-                points = lookup_join(points, known, [CODE], "left_semi", order)
+            known = series.frame.where(F.col(CODE) != "").select(CODE).distinct()
+            points = lookup_join(points, known, [CODE], "left_semi", order, series.small)
             floor = scan_floor(marks, series)
             if floor is not None:
-                points = points.where(F.col("obs_ts") > F.lit(floor.isoformat(" ")).cast(
-                    "timestamp_ntz"
-                ))
+                time = F.col("obs_ts")
+                bound = F.lit(floor.isoformat(" ")).cast("timestamp_ntz")
+                points = points.where(time.isNull() | (time > bound))
         return only_new(points, marks, spread=order)
 
     return Stages(parse, *_later_stages(series, config, run_ts, order))
@@ -161,24 +157,31 @@ def run_refresh(
     publish: str = "append",
     monotonic_state: bool = False,
     bucket: str | None = None,
+    late_rows: bool = False,
+    version_id: str | None = None,
 ) -> RunResult:
     """One run over ``raw`` for the dataset of ``config`` below ``root``.
 
     State is saved after the commit, so rows of a failed run are seen again.  It comes from
-    the rows before the time window.  A repeated run (same ``run_ts``) commits nothing twice.
+    the rows before the time window.  A repeated run (same ``version_id``, by default made from
+    ``run_ts``) commits nothing twice.  With ``late_rows`` no row is left out for its series'
+    mark: merging alone decides what is new.
     """
     spark = raw.sparkSession
     layout = DatasetLayout(root, config.get("dataset_id", "default"))
     series = series_map(spark, config)
     stages = stages or grid_stages(series, config, run_ts)
     # Staged: small, and the size check before the join would otherwise read the log twice.
-    marks = staged(marks_for(load_state(spark, layout), series), "marks")
+    if late_rows:
+        marks = spark.createDataFrame([], marks_for(load_state(spark, layout), series).schema)
+    else:
+        marks = staged(marks_for(load_state(spark, layout), series), "marks")
     rows, final = observations_of(raw, stages, marks)
     if not stages.keeps_rows and stages.normalize:
         # Marks are those of the normalised rows, whatever the transform makes of them.
         rows = staged(rows, "normalized")
         final = rows.transform(stages.transform) if stages.transform else rows
-    version_id = new_version_id(run_ts)
+    version_id = version_id or new_version_id(run_ts)
     days = config.get("windowInDays")
     if days is None:
         committed = commit_version(final, layout, version_id, run_ts, stages.unique_keys)

@@ -7,14 +7,18 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemark.operators.lookup import lookup_join
 from tidemark.schemas import CELLS
 from tidemark.sources.workbook import read_cells
 
 _CELLS_PER_BATCH = 50_000
+WORKBOOKS = "*.[xX][lL][sS][xXmM]"
+DECODED = StructType([*CELLS.fields, StructField("error", StringType())])
 
 
-def scan_landing(spark: SparkSession, root: str, glob: str = "*.xls[xm]") -> DataFrame:
+def scan_landing(spark: SparkSession, root: str, glob: str = WORKBOOKS) -> DataFrame:
     """All files below ``root`` whose name fits ``glob``, one row each (lazy content)."""
     return (
         spark.read.format("binaryFile")
@@ -24,6 +28,12 @@ def scan_landing(spark: SparkSession, root: str, glob: str = "*.xls[xm]") -> Dat
     )
 
 
+def landing_skipped(spark: SparkSession, root: str, glob: str = WORKBOOKS) -> DataFrame:
+    """(path) of the files below ``root`` that ``scan_landing`` leaves out, such as ``.xls``."""
+    every = scan_landing(spark, root, "*").select("path")
+    return every.join(scan_landing(spark, root, glob).select("path"), "path", "left_anti")
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, "([^/]+)/?$", 1)
 
@@ -41,6 +51,42 @@ def decode_workbooks(payloads: DataFrame, source_id: Column | None = None) -> Da
     return named.mapInPandas(_decode, CELLS)
 
 
+def decode_isolated(payloads: DataFrame, source_id: Column | None = None) -> DataFrame:
+    """Like ``decode_workbooks``, but a broken file gives a row with its ``error`` instead of failing.
+
+    Write the result once; ``good_cells`` and ``rejected_workbooks`` read it.
+    """
+    named = payloads.select(
+        (source_id if source_id is not None else file_name(F.col("path"))).alias("source_id"),
+        "content",
+    )
+    return named.mapInPandas(_decode_isolated, DECODED)
+
+
+def rejected_workbooks(decoded: DataFrame) -> DataFrame:
+    """(source_id, error) of every file that could not be read to its end."""
+    return decoded.where(F.col("error").isNotNull()).select("source_id", "error")
+
+
+def good_cells(decoded: DataFrame) -> DataFrame:
+    """The cells of whole files; what a broken file gave before it broke is left out."""
+    broken = rejected_workbooks(decoded).select("source_id").distinct()
+    cells = decoded.where(F.col("error").isNull()).select(*CELLS.fieldNames())
+    return lookup_join(cells, broken, ["source_id"], "left_anti", ["sheet", "row", "col"])
+
+
+def _decode_isolated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for number in range(len(batch)):
+            one = batch.iloc[number : number + 1]
+            try:
+                for frame in _decode(iter([one])):
+                    yield frame.assign(error=None)
+            except Exception as error:  # whatever is wrong with the file, its name is reported
+                bad = _frame([(one["source_id"].iloc[0], *[None] * 6)], CELLS.fieldNames())
+                yield bad.assign(row=0, col=0, error=f"{type(error).__name__}: {error}")
+
+
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [field.name for field in CELLS.fields]
     for batch in batches:

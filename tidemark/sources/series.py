@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS
 from tidemark.schemas import SERIES_MAP
 
 
@@ -21,6 +22,12 @@ class SeriesMap:
     def size(self) -> int:
         return len(self.entries)
 
+    @property
+    def small(self) -> bool:
+        """Whether the table may be broadcast: both its rows and its texts are counted."""
+        width = sum(16 + len(str(v).encode()) for e in self.entries for v in e.values())
+        return self.size <= BROADCAST_ROWS and width <= BROADCAST_BYTES
+
     def of_layout(self, layout: str) -> SeriesMap:
         kept = tuple(e for e in self.entries if e["layout"] == layout)
         return SeriesMap(self.frame.where(F.col("layout") == layout), kept)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.refresh import Stages, run_refresh
+from tidemark.plans.versions import new_version_id
 
 
 def refresh_stream(
@@ -19,21 +20,45 @@ def refresh_stream(
     checkpoint: str,
     stages_for: Callable[[datetime], Stages],
     publish: str = "append",
+    trigger: dict | None = None,
+    late_rows: bool = True,
+    monotonic_state: bool = True,
+    bucket: str | None = None,
+    as_of: Callable[[datetime], datetime] | None = None,
 ) -> StreamingQuery:
-    """Start a query that commits and projects what arrived, then stops when it caught up.
+    """Start a query that commits and projects every micro-batch.
 
-    Batch n runs as of ``epoch`` plus n microseconds, so a batch repeated after a failure has
-    the version id of its first attempt: the commit log and the projected versions make it
-    take effect once.  Rows at or before a series' mark are late and dropped.
+    Without a ``trigger`` (options of ``DataStreamWriter.trigger``) it stops when it caught up.
+    Batch n has the version id of ``epoch`` plus n microseconds, so a batch repeated after a
+    failure has the id of its first attempt: the commit log and the projected versions make it
+    take effect once.  Its rows carry the time of the attempt that was committed.
+
+    The order in which files arrive does not decide which rows are kept: a row before its
+    series' mark is merged like any other, and marks only move on.  (Of rows with one key in
+    several batches, the first one written stays.)  With ``late_rows`` off such rows are
+    dropped, as a run does.  ``as_of`` gives the end of the time window of a batch from its
+    time.
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        run_ts = epoch + timedelta(microseconds=batch_id)
-        run_refresh(batch, config, root, run_ts, stages_for(run_ts), publish=publish)
+        run_ts = datetime.now(timezone.utc)
+        run_refresh(
+            batch,
+            config,
+            root,
+            run_ts,
+            stages_for(run_ts),
+            as_of=as_of(run_ts) if as_of else None,
+            publish=publish,
+            monotonic_state=monotonic_state,
+            bucket=bucket,
+            late_rows=late_rows,
+            version_id=new_version_id(epoch + timedelta(microseconds=batch_id)),
+        )
 
     return (
         source.writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
