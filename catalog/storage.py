@@ -251,7 +251,7 @@ def stream_many_batches(spark, sf_dir):
     layout = DatasetLayout(root, SERIES_CONFIG["dataset_id"])
     commits = spark.read.parquet(layout.commit_log).agg(F.count("*").alias("commits"))
     return _final(projection.read_projection(spark, layout)).withColumn(
-        "commits", F.lit(commits.first()["commits"])
+        "commits", F.lit(commits.first()["commits"]).cast("bigint")
     )
 
 
