@@ -232,13 +232,22 @@ def extract_vertical(spark, sf_dir):
 
 
 @query("""
-WITH has AS (SELECT DISTINCT event_id // 1000 AS n, event_type FROM events),
-sources AS (SELECT DISTINCT n FROM has),
+WITH has AS (SELECT DISTINCT concat('W', event_id // 1000) AS source_id, event_type FROM events),
+sources AS (SELECT DISTINCT source_id FROM has
+            UNION SELECT concat('EMPTY', event_id // 5000) FROM events),
 wanted(sheet) AS (VALUES ('click'), ('view'), ('nowhere'), ('error'))
-SELECT concat('W', n) AS source_id, sheet FROM sources, wanted
-WHERE NOT EXISTS (SELECT 1 FROM has WHERE has.n = sources.n AND has.event_type = wanted.sheet)""")
+SELECT s.source_id, count(*)::BIGINT AS missing, string_agg(sheet, ',' ORDER BY sheet) AS sheets
+FROM sources s CROSS JOIN wanted w
+WHERE NOT EXISTS (SELECT 1 FROM has WHERE has.source_id = s.source_id AND event_type = sheet)
+GROUP BY s.source_id""")
 def missing_sheets(spark, sf_dir):
-    return grid.missing_sheets(_vertical_cells(spark, sf_dir), series_map(spark, _VERTICAL))
+    """A row per workbook; some workbooks have no cell at all."""
+    empty = F.concat(F.lit("EMPTY"), F.expr("event_id div 5000").cast("string"))
+    sources = table(spark, sf_dir, "events").select(empty.alias("source_id")).distinct()
+    cells, series = _vertical_cells(spark, sf_dir), series_map(spark, _VERTICAL)
+    return grid.missing_sheets(cells, series, sources).withColumn(
+        "sheets", F.array_join("sheets", ",")
+    )
 
 
 # Dates in row 6 from column B, values in row 10 from column C, one offset per event.

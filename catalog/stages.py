@@ -159,6 +159,20 @@ def state_import(spark, sf_dir):
     return incremental.state_from_json(documents)
 
 
+@query("""
+SELECT 'u' || user_id AS dataset_id, upper(event_type) AS internal_series_code,
+       max(ts)::TIMESTAMP AS last_obs_local
+FROM events GROUP BY ALL""")
+def state_export(spark, sf_dir):
+    """Marks written as JSON documents, one per user, and read again."""
+    marks = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.concat(F.lit("u"), "user_id").alias("dataset_id"), F.upper("event_type").alias(CODE))
+        .agg(F.max("ts").cast("timestamp_ntz").alias("last_obs_local"))
+    )
+    return incremental.state_from_json(incremental.state_to_json(marks))
+
+
 @query(f"""
 WITH {OBS_SQL}, marks AS (
   SELECT code, max(clk) AS mark FROM obs
@@ -366,13 +380,15 @@ def projected_skip(spark, sf_dir):
 @query(f"""
 WITH {_VERSIONS_SQL}
 SELECT dataset_id, count(DISTINCT version_id) AS projected_versions,
-       max(projected_at) AS last_projection_date
+       max(projected_at) AS last_projection_date,
+       arg_max(version_id, strftime(projected_at, '%Y%m%d') || printf('%020d', commit_seq))
+         AS last_projected_version
 FROM versions GROUP BY dataset_id""")
 def projected_status(spark, sf_dir):
     versions = _order_versions(spark, sf_dir)
     twice = versions.unionByName(versions.where("commit_seq % 2 = 0"))
     return projection_status(twice).select(
-        "dataset_id", "projected_versions", wall("last_projection_date")
+        "dataset_id", "projected_versions", wall("last_projection_date"), "last_projected_version"
     )
 
 

@@ -88,7 +88,33 @@ def published_roundtrip(spark, sf_dir):
     )
     root = work_folder(spark, "published")
     published.write_published(rows, root)
-    return published.scan_published(spark, root, "*.json", lines=True)
+    return published.scan_published(spark, root)
+
+
+@query(f"""
+WITH {OBS_SQL}, turns AS (SELECT *, CASE WHEN ord % 3 = 0 THEN 0 ELSE 1 END AS turn FROM obs),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY code, clk ORDER BY turn, value) AS rn FROM turns)
+SELECT strftime(clk, '%Y-%m-%dT%H:%M:%S-03:00') AS obs_time, code AS internal_series_code, value,
+       'u' AS unit, NULL::VARCHAR AS frequency, '2024-02-01T12:30:15.250000+00:00' AS collection_date
+FROM ranked WHERE rn = 1""")
+def merge_published(spark, sf_dir):
+    """Two folders of published files merged on disk by their text keys."""
+    root = work_folder(spark, "published")
+    rows = points(spark, sf_dir).select(
+        to_instant(F.col("obs_ts"), ZONE).alias("obs_time"),
+        F.col("obs_ts").alias("obs_local"),
+        CODE,
+        "value",
+        F.lit("u").alias("unit"),
+        F.lit(None).cast("string").alias("frequency"),
+        instant_literal(RUN_TS).alias("collection_date"),
+        "ord",
+    )
+    old = F.col("ord") % 3 == 0
+    published.write_published(rows.where(old), f"{root}/old")
+    published.write_published(rows.where(~old), f"{root}/new")
+    published.merge_published(spark, f"{root}/old", f"{root}/new", f"{root}/merged")
+    return published.scan_published(spark, f"{root}/merged")
 
 
 @query("""
@@ -202,6 +228,63 @@ def projection_rewrite(spark, sf_dir):
     return _project_two(spark, sf_dir, "rewrite")
 
 
+def _project_pending(spark, sf_dir, folders, publish):
+    """Three versions committed one after the other, then projected in one pass."""
+    layout = DatasetLayout(work_folder(spark, "pending"), "events", folders)
+    rows = points(spark, sf_dir)
+    for number in range(3):
+        run_ts = RUN_TS + timedelta(hours=number)
+        part = _final_rows(spark, sf_dir, rows.where(F.col("ord") % 3 == number))
+        versions.commit_version(part, layout, versions.new_version_id(run_ts), run_ts)
+    projection.project_pending(spark, layout, RUN_TS, publish=publish, bucket="b")
+    return layout
+
+
+_PENDING_SQL = f"""
+WITH {OBS_SQL},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY code, clk ORDER BY ord % 3, ord) AS rn FROM obs)
+SELECT clk + INTERVAL 3 HOUR AS obs_time, clk AS obs_local, code AS internal_series_code, value
+FROM ranked WHERE rn = 1"""
+
+
+@query(_PENDING_SQL)
+def projection_pending(spark, sf_dir):
+    """Partitions by year alone."""
+    layout = _project_pending(spark, sf_dir, ("year",), "append")
+    return projection.read_projection(spark, layout).select(
+        wall("obs_time"), "obs_local", CODE, "value"
+    )
+
+
+@query(f"""
+WITH {OBS_SQL}, numbered AS (SELECT *, ord % 3 AS n FROM obs)
+SELECT 'v20240201_1' || (2 + n) || '3015_250000' AS version_id, 'series_year' AS partition_strategy,
+       count(DISTINCT (code, clk))::BIGINT AS points,
+       count(DISTINCT (code, year(clk)))::BIGINT AS listed,
+       count(DISTINCT (code, year(clk)))::BIGINT AS folders
+FROM numbered GROUP BY n""")
+def partition_columns(spark, sf_dir):
+    """Manifests and folders of versions that are partitioned by series and year."""
+    layout = _project_pending(spark, sf_dir, (CODE, "year"), "rewrite")
+    ids = [r["version_id"] for r in versions.committed_versions(spark, layout).collect()]  # three
+    manifests = [versions.load_manifest(spark, layout, one) for one in ids]
+    found = []
+    for one, manifest in zip(ids, manifests):
+        stored = versions.read_stored(spark, layout.data(one))
+        folders = present_partitions(stored, layout.partition_columns)
+        counts = folders.agg(F.count("*").alias("folders")).withColumn("version_id", F.lit(one))
+        found.append(
+            manifest.join(counts, "version_id").select(
+                "version_id",
+                "partition_strategy",
+                F.col("data_points_count").alias("points"),
+                F.col("partition_count").alias("listed"),
+                "folders",
+            )
+        )
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
 @query("""
 SELECT DISTINCT o_orderstatus AS internal_series_code, year(o_orderdate)::INTEGER AS year,
        printf('%02d', month(o_orderdate)) AS month

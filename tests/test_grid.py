@@ -142,8 +142,12 @@ def test_layouts_together_and_missing_sheets(spark):
     got = extract_points(cells, series)
     assert got.groupBy("source_id").count().count() == 2
     assert got.count() == 13
-    assert tuples(missing_sheets(cells, series), "source_id", "sheet") == [
-        ("book", "H"), ("other", "S")
+    assert tuples(missing_sheets(cells, series), "source_id", "missing", "sheets") == [
+        ("book", 1, ["H"]), ("other", 1, ["S"])
+    ]
+    sources = spark.createDataFrame([("empty",), ("book",)], "source_id string")
+    assert tuples(missing_sheets(cells, series, sources), "source_id", "sheets") == [
+        ("book", ["H"]), ("empty", ["H", "S"]), ("other", ["S"])
     ]
     assert extract_points(cells, config(spark)).count() == 0
 

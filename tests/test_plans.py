@@ -7,6 +7,7 @@ from rows import CODE, grid_cells, observations, points, tuples
 
 from tidemark.plans import projection, refresh, versions
 from tidemark.plans.layout import DatasetLayout
+from tidemark.plans.logs import compact_logs
 from tidemark.schemas import COMMIT_LOG, PROJECTED_VERSIONS
 from tidemark.operators.partitions import write_partitioned
 from tidemark.session import read_table, settings
@@ -186,6 +187,85 @@ def test_pending_versions_oldest_first(spark, layout):
     assert status["projected_versions"] == 2
 
 
+@pytest.mark.parametrize("at_once, passes", [(32, 1), (2, 2)])
+def test_pending_versions_are_merged_together(spark, layout, monkeypatch, at_once, passes):
+    for hours, value in enumerate((1.0, 2.0, 3.0)):
+        commit(spark, layout, [("A", "2024-01-01", value), ("A", f"2024-01-0{hours + 2}", value)], hours)
+    written = []
+    write = projection.write_partitioned
+    monkeypatch.setattr(
+        projection, "write_partitioned", lambda *a, **k: written.append(a[1]) or write(*a, **k)
+    )
+    monkeypatch.setattr(projection, "PENDING_AT_ONCE", at_once)
+    assert projection.project_pending(spark, layout, RUN, bucket="b") == 3
+    assert written == [layout.projections] * passes
+    assert [r[2] for r in stored(spark, layout)] == [1.0, 1.0, 2.0, 3.0]
+    assert spark.read.json(layout.update_events).count() == 3
+    done = read_table(spark, layout.projected_versions, PROJECTED_VERSIONS)
+    last = versions.current_version(spark, layout)
+    assert projection.projection_status(done).first()["last_projected_version"] == last
+
+
+@pytest.mark.parametrize("how", ["append", "rewrite"])
+@pytest.mark.parametrize("columns", [("year",), (CODE, "year"), ("year", "month")])
+def test_partition_columns_are_a_choice(spark, folder, how, columns):
+    layout = DatasetLayout(folder, "d", columns)
+    first = commit(spark, layout, FIRST)
+    assert projection.project_version(spark, layout, first, RUN, publish=how)
+    commit(spark, layout, SECOND, 1)
+    projection.project_current(spark, layout, RUN, publish=how)
+    assert stored(spark, layout) == MERGED
+    folders = [p.parent.relative_to(layout.projections) for p in Path(layout.projections).rglob("*.parquet")]
+    assert all([part.split("=")[0] for part in f.parts] == list(columns) for f in folders)
+    manifest = versions.load_manifest(spark, layout, first).first()
+    index = versions.read_file_index(spark, layout, first)
+    named = {r[0] for r in versions.version_files(index, columns).collect()}
+    assert manifest["file_count"] == len(named)
+    assert manifest["partition_count"] == versions.version_partitions(index, columns).count()
+    assert manifest["partition_strategy"] == layout.partition_strategy
+    with pytest.raises(ValueError, match="partition columns"):
+        DatasetLayout(folder, "d", ("day",))
+
+
+def test_a_rewrite_leaves_no_staging(spark, layout):
+    commit(spark, layout, FIRST)
+    projection.project_current(spark, layout, RUN, publish="rewrite")
+    assert not list(Path(layout.base, "staging").glob("*"))
+    assert len(stored(spark, layout)) == 3
+
+
+def test_compacted_logs_say_the_same(spark, layout):
+    for hours in range(3):
+        commit(spark, layout, [("A", f"2024-01-0{hours + 1}", hours)], hours)
+        projection.project_current(spark, layout, RUN, publish="rewrite")
+        marks = spark.createDataFrame(
+            [("A", RUN + timedelta(days=hours))], f"{CODE} string, last_obs_local timestamp_ntz"
+        )
+        refresh.save_state(marks, layout, RUN - timedelta(days=hours))
+
+    def facts():
+        return (
+            [r["version_id"] for r in versions.committed_versions(spark, layout).collect()],
+            versions.current_version(spark, layout),
+            tuples(refresh.load_state(spark, layout), CODE, "last_obs_local"),
+            stored(spark, layout),
+            projection.project_pending(spark, layout, RUN),
+        )
+
+    before = facts()
+    assert compact_logs(spark, layout) == 0  # short ones stay as they are
+    assert compact_logs(spark, layout, most_files=1) == 4
+    assert facts() == before
+    for log in (layout.commit_log, layout.state_log, layout.projected_versions, layout.publish_log):
+        assert len(list(Path(log).glob("*.parquet"))) == 1
+    # A break between writing the new file and removing the old ones: rows are there twice.
+    twice = spark.read.parquet(layout.commit_log).collect()
+    spark.createDataFrame(twice, COMMIT_LOG).write.mode("append").parquet(layout.commit_log)
+    assert facts() == before
+    assert commit(spark, layout, [("A", "2024-01-09", 9)], 9)
+    assert read_table(spark, layout.commit_log, COMMIT_LOG).agg(F.max("commit_seq")).first()[0] == 4
+
+
 def test_projection_scan_is_pruned_to_touched_partitions(spark, layout, monkeypatch):
     commit(spark, layout, FIRST, unique_keys=True)
     projection.project_current(spark, layout, RUN)
@@ -252,6 +332,17 @@ def test_second_run_takes_only_what_is_new(spark, folder):
     assert len(stored(spark, layout)) == 11
 
 
+def test_a_run_leaves_no_staged_tables(spark, folder, monkeypatch):
+    staged = []
+    write = refresh.staged
+    monkeypatch.setattr(
+        refresh, "staged", lambda *a: staged.append(write(*a)) or staged[-1]
+    )
+    run(spark, folder, config={**CONFIG, "windowInDays": 3}, as_of=DAYS[7])
+    paths = [Path(f.removeprefix("file:")) for frame in staged for f in frame.inputFiles()]
+    assert len(staged) == 2 and paths and not any(p.exists() for p in paths)
+
+
 def test_marks_may_be_moved_back(spark, folder):
     run(spark, folder)
     layout = DatasetLayout(folder, "d")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,16 @@ def partition_path_of(code: Column, year: Column, month: Column) -> Column:
     return F.concat(code, F.lit("/year="), year, F.lit("/month="), month, F.lit("/"))
 
 
+def partition_folder(columns: Sequence[str]) -> Column:
+    """Path of the partition made by ``columns``: the bare code, ``name=value`` for the others."""
+    parts = [
+        F.col(name) if name == "internal_series_code"
+        else F.concat(F.lit(f"{name}="), F.col(name).cast("string"))
+        for name in columns
+    ]
+    return F.concat(F.concat_ws("/", *parts), F.lit("/"))
+
+
 def partition_parts(path: Column, strict: bool = True) -> Column:
     """Struct of the three text parts; a malformed path is an error (null if not strict)."""
     pattern = "^" + _PARTITION + "?"

@@ -228,13 +228,24 @@ def extract_points(
     return points
 
 
-def missing_sheets(cells: DataFrame, series: SeriesMap) -> DataFrame:
-    """(source_id, sheet) for configured sheets a source does not have: rejects to report."""
-    configured = F.array(*[F.lit(name) for name in series.sheets])
+def missing_sheets(
+    cells: DataFrame, series: SeriesMap, sources: DataFrame | None = None
+) -> DataFrame:
+    """``source_id, missing, sheets``: the configured sheets a source does not have, to report.
+
+    One row per source with something missing.  ``sources`` (``source_id``) names sources that
+    may have no cell at all; they miss everything.
+    """
+    rows = cells.select("source_id", "sheet")
+    if sources is not None:
+        rows = rows.unionByName(sources.select("source_id", F.lit(None).cast("string").alias("sheet")))
+    configured = F.array(*[F.lit(name) for name in series.sheets]).cast("array<string>")
     # Only configured names are collected, so the set is as small as the configuration.
-    present = F.collect_set(F.when(F.col("sheet").isin(series.sheets), F.col("sheet")))
+    known = F.when(F.col("sheet").isin(series.sheets), F.col("sheet"))
     return (
-        cells.groupBy("source_id")
-        .agg(present.alias("present"))
-        .select("source_id", F.explode(F.array_except(configured, "present")).alias("sheet"))
+        rows.groupBy("source_id")
+        .agg(F.collect_set(known).alias("present"))
+        .select("source_id", F.array_except(configured, "present").alias("sheets"))
+        .where(F.size("sheets") > 0)
+        .select("source_id", F.size("sheets").cast("bigint").alias("missing"), "sheets")
     )

@@ -81,8 +81,30 @@ def latest_state(state_log: DataFrame) -> DataFrame:
     The order is that of saving (``seq``), not of the clocks of those who saved; logs without
     it are ordered by ``saved_at``.
     """
+    return latest_state_rows(state_log).select("dataset_id", CODE, MARK)
+
+
+def latest_state_rows(state_log: DataFrame) -> DataFrame:
+    """The whole log row of each series' last mark."""
     order = F.struct(*[c for c in ("seq", "saved_at") if c in state_log.columns])
-    return state_log.groupBy("dataset_id", CODE).agg(F.max_by(MARK, order).alias(MARK))
+    rest = [c for c in state_log.columns if c not in ("dataset_id", CODE)]
+    last = F.max_by(F.struct(*rest), order).alias("_last")
+    rows = state_log.groupBy("dataset_id", CODE).agg(last).select("dataset_id", CODE, "_last.*")
+    return rows.select(*state_log.columns)
+
+
+def state_to_json(state: DataFrame) -> DataFrame:
+    """``dataset_id, state_json``: the marks as one JSON object per dataset, codes in order.
+
+    It is the form ``state_from_json`` reads, for systems that keep marks in such a file; its
+    length is that of the list of series.  Series without a mark are left out.
+    """
+    entry = F.struct(F.col(CODE), F.date_format(MARK, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("iso"))
+    known = state.where(F.col(CODE).isNotNull() & F.col(MARK).isNotNull())
+    entries = F.array_sort(F.collect_list(entry))
+    return known.groupBy("dataset_id").agg(
+        F.to_json(F.map_from_entries(entries)).alias("state_json")
+    )
 
 
 def state_from_json(documents: DataFrame, text: str = "state_json") -> DataFrame:

@@ -1,7 +1,9 @@
-"""Series / year / month partitions: columns, layout on disk, counts and statistics."""
+"""Partitions by series, year and month: columns, layout on disk, counts and statistics."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,12 +23,20 @@ def with_partition_columns(observations: DataFrame) -> DataFrame:
     )
 
 
-def write_partitioned(observations: DataFrame, path: str, mode: str = "error", **options) -> None:
-    """Write Parquet with one folder per partition, files ordered by time."""
+def write_partitioned(
+    observations: DataFrame,
+    path: str,
+    mode: str = "error",
+    folders: Sequence[str] = PARTITION_COLUMNS,
+    laid_out: bool = False,
+    **options,
+) -> None:
+    """Write Parquet with one folder per partition, files ordered by series and time."""
     rows = observations
     if "year" not in observations.columns:
         rows = with_partition_columns(observations)
-    write_folders(rows, path, PARTITION_COLUMNS, mode, "parquet", ["obs_local"], **options)
+    order = [name for name in ("internal_series_code", "obs_local") if name not in folders]
+    write_folders(rows, path, list(folders), mode, "parquet", order, laid_out, **options)
 
 
 def write_folders(
@@ -36,6 +46,7 @@ def write_folders(
     mode: str,
     file_format: str,
     order: list[str] | None = None,
+    laid_out: bool = False,
     **options,
 ) -> None:
     """Write one folder per combination of the ``folders`` columns.
@@ -44,10 +55,11 @@ def write_folders(
     one that holds much of the data is split over tasks and files.  Small tasks are merged
     only until every core has one: merging more would not save a file, only leave fewer tasks
     to create them all.  Writing sorts by folder anyway, so ordering the files further is
-    almost free.
+    almost free.  Rows read from files written like this are ``laid_out``: not shuffled again.
     """
+    dealt = rows if laid_out else rows.hint("rebalance", *folders)
     writer = (
-        rows.hint("rebalance", *folders)
+        dealt
         .sortWithinPartitions(*folders, *(order or []))
         .write.mode(mode)
         .partitionBy(*folders)
@@ -83,9 +95,11 @@ def distinct_partitions(paths: DataFrame, column: str) -> DataFrame:
     )
 
 
-def present_partitions(stored: DataFrame) -> DataFrame:
+def present_partitions(
+    stored: DataFrame, folders: Sequence[str] = PARTITION_COLUMNS
+) -> DataFrame:
     """Sorted distinct partitions of a stored table; reads no data column."""
-    return stored.select(*PARTITION_COLUMNS).distinct().orderBy(*PARTITION_COLUMNS)
+    return stored.select(*folders).distinct().orderBy(*folders)
 
 
 def partition_statistics(rows: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:

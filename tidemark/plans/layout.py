@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from tidemark.schemas import PARTITION_COLUMNS
+
 
 @dataclass(frozen=True)
 class DatasetLayout:
+    """``partition_columns`` name the folders of versions and of the projection, outermost first.
+
+    Any of the series code, year and month: fewer of them make fewer and larger files.  A
+    dataset keeps those it was first projected with.
+    """
+
     root: str
     dataset_id: str
+    partition_columns: tuple[str, ...] = tuple(PARTITION_COLUMNS)
+
+    def __post_init__(self) -> None:
+        named = self.partition_columns
+        if not named or len(set(named)) != len(named) or not set(named) <= set(PARTITION_COLUMNS):
+            raise ValueError(f"partition columns are some of {PARTITION_COLUMNS}: {named}")
+
+    @property
+    def partition_strategy(self) -> str:
+        return "_".join(self.partition_columns).replace("internal_series_code", "series")
 
     @property
     def base(self) -> str:

@@ -20,15 +20,20 @@ from tidemark.plans.versions import (
     read_file_index,
     read_stored,
     read_version,
+    read_versions,
 )
 from tidemark.schemas import (
     COMMIT_LOG,
-    PARTITION_COLUMNS,
+    FILE_INDEX,
+    MANIFEST,
     PROJECTED_VERSIONS,
     PUBLISH_LOG,
     STORED_OBSERVATIONS,
 )
-from tidemark.session import read_table
+from tidemark.session import read_table, remove_path, work_area
+
+# Versions read in one plan, which grows with them; more are projected in several passes.
+PENDING_AT_ONCE = 32
 
 
 def pending_versions(versions: DataFrame, projected: DataFrame) -> DataFrame:
@@ -38,11 +43,16 @@ def pending_versions(versions: DataFrame, projected: DataFrame) -> DataFrame:
 
 
 def projection_status(projected: DataFrame) -> DataFrame:
-    """Per dataset: how many versions were projected, the last one and when."""
+    """Per dataset: how many versions were projected, the last one and when.
+
+    Of versions projected at one time the last committed one is the last, if rows tell.
+    """
+    ranks = ["projected_at", "commit_seq", "version_id"]
+    order = F.struct(*[name for name in ranks if name in projected.columns])
     return projected.groupBy("dataset_id").agg(
         F.count_distinct("version_id").alias("projected_versions"),
         F.max("projected_at").alias("last_projection_date"),
-        F.max_by("version_id", F.struct("projected_at", "version_id")).alias("last_projected_version"),
+        F.max_by("version_id", order).alias("last_projected_version"),
     )
 
 
@@ -80,47 +90,58 @@ def project_version(
     facts = manifest.select("file_count", "unique_keys").first()
     if not facts["file_count"]:
         return False
-    finish_interrupted(spark, layout, projected_at)
-    few = fits_broadcast(read_file_index(spark, layout, version_id))
+    index = read_file_index(spark, layout, version_id)
+    few = fits_broadcast(index)
     incoming = read_version(spark, layout, version_id, few)
-    # Written and one row per file: `points > 0` is what lets it prune projection folders.
-    touched = (
-        read_file_index(spark, layout, version_id)
-        .where("points > 0")
-        .select(*PARTITION_COLUMNS)
-        .distinct()
-    )
-    base = touched_only(
-        read_projection(spark, layout), touched, PARTITION_COLUMNS, ["obs_time"], few
-    )
-    if publish == "append" and dedup_new_partitions:
-        # Stored rows always have both keys: the write checks them.
-        unseen = unseen_rows(
-            base, incoming, order="ord", unique=bool(facts["unique_keys"]), null_keys=False
-        )
-        write_partitioned(unseen, layout.projections, "append")
-    else:
-        if dedup_new_partitions:
-            merged = merge_first_wins(base, incoming, order="ord")
-        else:
-            merged = merge_as_published(base, incoming, PARTITION_COLUMNS, order="ord")
-        staging = layout.staging(version_id, uuid.uuid4().hex)
-        write_partitioned(merged, staging)
-        _note(spark, layout, version_id, staging, "ready", projected_at)
-        _publish_staging(spark, layout, version_id, staging, projected_at)
-    _record(spark, layout, version_id, projected_at)
+    unique = bool(facts["unique_keys"])
+    how = (publish, dedup_new_partitions, unique, few)
+    _merge_in(spark, layout, [version_id], incoming, index, "ord", projected_at, *how)
+    _record(spark, layout, [version_id], projected_at)
     if bucket:
-        announce(spark, layout, version_id, bucket)
+        announce(spark, layout, [version_id], bucket)
     return True
 
 
+def _merge_in(
+    spark, layout, ids, incoming, index, order, projected_at, publish, dedup, unique, few
+) -> None:
+    """Bring the rows of the versions ``ids`` into the projection; ``order`` says which is first."""
+    by = list(layout.partition_columns)
+    finish_interrupted(spark, layout, projected_at)
+    with work_area(spark, "projecting"):
+        # Written and one row per file: `points > 0` is what lets it prune projection folders.
+        touched = index.where("points > 0").select(*by).distinct()
+        base = touched_only(read_projection(spark, layout), touched, by, ["obs_time"], few)
+        if publish == "append" and dedup:
+            # Stored rows always have both keys: the write checks them.
+            unseen = unseen_rows(base, incoming, order=order, unique=unique, null_keys=False)
+            rows = unseen.select(*STORED_OBSERVATIONS.fieldNames())
+            write_partitioned(rows, layout.projections, "append", by)
+            return
+        if dedup:
+            merged = merge_first_wins(base, incoming, order=order)
+        else:
+            merged = merge_as_published(base, incoming, by, order=order)
+        staging = layout.staging(ids[-1], uuid.uuid4().hex)
+        rows = merged.select(*STORED_OBSERVATIONS.fieldNames())
+        write_partitioned(rows, staging, folders=by)
+    _note(spark, layout, ids[-1], staging, "ready", projected_at)
+    _publish_staging(spark, layout, ids[-1], staging, projected_at)
+
+
 def _publish_staging(spark, layout, version_id, staging, noted_at) -> None:
     """Replace exactly the partitions present in a finished staging folder."""
     rows = read_stored(spark, staging).select(*STORED_OBSERVATIONS.fieldNames())
     write_partitioned(
-        rows, layout.projections, mode="overwrite", partitionOverwriteMode="dynamic"
+        rows,
+        layout.projections,
+        "overwrite",
+        layout.partition_columns,
+        laid_out=True,
+        partitionOverwriteMode="dynamic",
     )
     _note(spark, layout, version_id, staging, "done", noted_at)
+    remove_path(spark, staging)
 
 
 def finish_interrupted(spark: SparkSession, layout: DatasetLayout, noted_at: datetime) -> None:
@@ -130,9 +151,12 @@ def finish_interrupted(spark: SparkSession, layout: DatasetLayout, noted_at: dat
     it begins, so repeating the step brings the projection to the intended state.
     """
     log = read_table(spark, layout.publish_log, PUBLISH_LOG)
+    if not log.inputFiles():
+        return  # nothing was ever published by rewriting
     done = log.where("step = 'done'").select("staging")
-    left = log.where("step = 'ready'").join(done, "staging", "left_anti").orderBy("noted_at")
-    for row in left.toLocalIterator():
+    left = log.where("step = 'ready'").join(done, "staging", "left_anti")
+    unfinished = left.groupBy("version_id", "staging").agg(F.min("noted_at").alias("noted_at"))
+    for row in unfinished.orderBy("noted_at").collect():  # at most the one of the last run
         _publish_staging(spark, layout, row["version_id"], row["staging"], noted_at)
 
 
@@ -145,12 +169,22 @@ def _note(spark, layout, version_id, staging, step, noted_at) -> None:
     ).coalesce(1).write.mode("append").parquet(layout.publish_log)
 
 
-def _record(spark, layout, version_id, projected_at) -> None:
-    spark.range(1).select(
+def _version_rows(spark, layout, ids) -> DataFrame:
+    return spark.range(1).select(
         F.lit(layout.dataset_id).alias("dataset_id"),
-        F.lit(version_id).alias("version_id"),
-        instant_literal(projected_at).alias("projected_at"),
-    ).coalesce(1).write.mode("append").parquet(layout.projected_versions)
+        F.explode(F.array(*[F.lit(version_id) for version_id in ids])).alias("version_id"),
+    )
+
+
+def _record(spark, layout, ids, projected_at) -> None:
+    commits = read_table(spark, layout.commit_log, COMMIT_LOG).where(F.col("version_id").isin(ids))
+    seqs = commits.groupBy("version_id").agg(F.max("commit_seq").alias("commit_seq"))
+    rows = _version_rows(spark, layout, ids).withColumn(
+        "projected_at", instant_literal(projected_at)
+    )
+    rows.join(seqs, "version_id", "left").select(*PROJECTED_VERSIONS.fieldNames()).coalesce(
+        1
+    ).write.mode("append").parquet(layout.projected_versions)
 
 
 def update_events(versions: DataFrame, bucket: str) -> DataFrame:
@@ -162,13 +196,11 @@ def update_events(versions: DataFrame, bucket: str) -> DataFrame:
 
 
 def announce(
-    spark: SparkSession, layout: DatasetLayout, version_id: str, bucket: str
+    spark: SparkSession, layout: DatasetLayout, version_ids: list[str], bucket: str
 ) -> None:
-    """Append the update event of a new projection to the dataset's event table."""
-    version = spark.range(1).select(
-        F.lit(layout.dataset_id).alias("dataset_id"), F.lit(version_id).alias("version_id")
-    )
-    update_events(version, bucket).coalesce(1).write.mode("append").json(layout.update_events)
+    """Append the update events of newly projected versions to the dataset's event table."""
+    versions = _version_rows(spark, layout, version_ids)
+    update_events(versions, bucket).coalesce(1).write.mode("append").json(layout.update_events)
 
 
 def project_current(
@@ -182,12 +214,48 @@ def project_current(
 
 
 def project_pending(
-    spark: SparkSession, layout: DatasetLayout, projected_at: datetime, **how
+    spark: SparkSession,
+    layout: DatasetLayout,
+    projected_at: datetime,
+    publish: str = "append",
+    dedup_new_partitions: bool = True,
+    bucket: str | None = None,
 ) -> int:
-    """Project every committed version still missing, oldest first."""
+    """Project every committed version still missing; how many that were.
+
+    They are merged ``PENDING_AT_ONCE`` in a pass: of rows with one key that of the oldest version
+    stays, as if they came one by one.  Only without ``dedup_new_partitions`` they have to come
+    so, since a partition is new only to the first version that has it.
+    """
+    if publish not in ("append", "rewrite"):
+        raise ValueError(f"unknown way to publish: {publish}")
     commits = read_table(spark, layout.commit_log, COMMIT_LOG)
     projected = read_table(spark, layout.projected_versions, PROJECTED_VERSIONS)
-    count = 0
-    for row in pending_versions(commits, projected).orderBy("commit_seq").toLocalIterator():
-        count += project_version(spark, layout, row["version_id"], projected_at, **how)
-    return count
+    pending = pending_versions(commits.where(F.trim("version_id") != ""), projected)
+    seqs = pending.groupBy("version_id").agg(F.min("commit_seq").alias("commit_seq"))
+    # Ids only, one per run not projected yet: they name the folders to read.
+    rows = seqs.orderBy("commit_seq").collect()
+    if len(rows) < 2 or not dedup_new_partitions:
+        how = {"publish": publish, "dedup_new_partitions": dedup_new_partitions, "bucket": bucket}
+        return sum(project_version(spark, layout, r[0], projected_at, **how) for r in rows)
+    for at in range(0, len(rows), PENDING_AT_ONCE):
+        some = {r["version_id"]: r["commit_seq"] for r in rows[at : at + PENDING_AT_ONCE]}
+        _project_together(spark, layout, some, projected_at, publish, bucket)
+    return len(rows)
+
+
+def _project_together(spark, layout, seqs, projected_at, publish, bucket) -> None:
+    ids = list(seqs)
+    found = spark.read.schema(MANIFEST).json([layout.manifest(one) for one in ids])
+    if found.where("file_count > 0").count() != len(ids):
+        raise ValueError(f"a pending version of {layout.dataset_id} has no manifest or no files")
+    index = spark.read.schema(FILE_INDEX).parquet(*[layout.file_index(one) for one in ids])
+    few = fits_broadcast(index)
+    incoming = read_versions(spark, layout, seqs, few).withColumn(
+        "turn", F.struct("commit_seq", "ord")
+    )
+    how = (publish, True, False, few)
+    _merge_in(spark, layout, ids, incoming.drop("commit_seq"), index, "turn", projected_at, *how)
+    _record(spark, layout, ids, projected_at)
+    if bucket:
+        announce(spark, layout, ids, bucket)

@@ -24,10 +24,11 @@ from tidemark.operators.incremental import (
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.normalize import normalize
 from tidemark.plans.layout import DatasetLayout
+from tidemark.plans.logs import compact_logs
 from tidemark.plans.projection import project_current
 from tidemark.plans.versions import commit_version, new_version_id, read_file_index
-from tidemark.schemas import POINTS, STATE, STATE_LOG
-from tidemark.session import read_table, staged
+from tidemark.schemas import PARTITION_COLUMNS, POINTS, STATE, STATE_LOG
+from tidemark.session import read_table, staged, work_area
 from tidemark.sources.series import SeriesMap, series_map
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -164,13 +165,38 @@ def run_refresh(
 
     State is saved after the commit, so rows of a failed run are seen again.  It comes from
     the rows before the time window.  A repeated run (same ``version_id``, by default made from
-    ``run_ts``) commits nothing twice.  With ``late_rows`` no row is left out for its series'
+    ``run_ts``) commits nothing twice, and what it staged is removed when it ends.  With ``late_rows`` no row is left out for its series'
     mark: merging alone decides what is new.
     """
     spark = raw.sparkSession
-    layout = DatasetLayout(root, config.get("dataset_id", "default"))
+    layout = layout_of(root, config)
     series = series_map(spark, config)
     stages = stages or grid_stages(series, config, run_ts)
+    version_id = version_id or new_version_id(run_ts)
+    with work_area(spark, "run"):
+        committed, seen = _commit(
+            raw, config, layout, series, run_ts, stages, as_of, late_rows, version_id
+        )
+        projected = project and project_current(
+            spark, layout, run_ts, publish=publish, bucket=bucket
+        )
+        if seen is not None and stages.normalize:
+            save_state(seen, layout, run_ts, monotonic_state)
+    compact_logs(spark, layout)
+    return RunResult(version_id if committed else None, bool(projected))
+
+
+def layout_of(root: str, config: dict) -> DatasetLayout:
+    """Where the dataset of ``config`` lives; ``partition_columns`` there name its folders."""
+    dataset_id = config.get("dataset_id", "default")
+    return DatasetLayout(root, dataset_id, tuple(config.get("partition_columns", PARTITION_COLUMNS)))
+
+
+def _commit(
+    raw, config, layout, series, run_ts, stages, as_of, late_rows, version_id
+) -> tuple[bool, DataFrame | None]:
+    """Whether a version was committed, and the marks of the rows seen."""
+    spark = raw.sparkSession
     # Staged: small, and the size check before the join would otherwise read the log twice.
     if late_rows:
         marks = spark.createDataFrame([], marks_for(load_state(spark, layout), series).schema)
@@ -181,26 +207,17 @@ def run_refresh(
         # Marks are those of the normalised rows, whatever the transform makes of them.
         rows = staged(rows, "normalized")
         final = rows.transform(stages.transform) if stages.transform else rows
-    version_id = version_id or new_version_id(run_ts)
     days = config.get("windowInDays")
     if days is None:
         committed = commit_version(final, layout, version_id, run_ts, stages.unique_keys)
         if stages.keeps_rows:
-            seen = _marks_of_version(spark, layout, version_id) if committed else None
-        else:
-            seen = high_water_marks(rows) if stages.normalize else None
-    else:
-        # Marks cover rows the window drops, so the rows are written once and read twice.
-        final = staged(final, "observations")
-        recent = within_window(final, days, as_of or run_ts)
-        committed = commit_version(recent, layout, version_id, run_ts, stages.unique_keys)
-        seen = high_water_marks(final if stages.keeps_rows else rows)
-    projected = project and project_current(
-        spark, layout, run_ts, publish=publish, bucket=bucket
-    )
-    if seen is not None and stages.normalize:
-        save_state(seen, layout, run_ts, monotonic_state)
-    return RunResult(version_id if committed else None, bool(projected))
+            return committed, _marks_of_version(spark, layout, version_id) if committed else None
+        return committed, high_water_marks(rows) if stages.normalize else None
+    # Marks cover rows the window drops, so the rows are written once and read twice.
+    final = staged(final, "observations")
+    recent = within_window(final, days, as_of or run_ts)
+    committed = commit_version(recent, layout, version_id, run_ts, stages.unique_keys)
+    return committed, high_water_marks(final if stages.keeps_rows else rows)
 
 
 def _marks_of_version(spark, layout, version_id) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.paths import partition_path_of
+from tidemark.functions.paths import partition_folder
 from tidemark.functions.times import manifest_text
 from tidemark.operators.enrich import instant_literal
 from tidemark.operators.lookup import lookup_join
@@ -52,7 +54,12 @@ def commit_version(
     ).first()
     if known["done"]:
         return True
-    write_partitioned(as_observations(observations), layout.data(version_id), mode="overwrite")
+    write_partitioned(
+        as_observations(observations),
+        layout.data(version_id),
+        mode="overwrite",
+        folders=layout.partition_columns,
+    )
     # One pass over the files just written, reading the time columns only.
     stored = read_stored(spark, layout.data(version_id))
     index = partition_statistics(
@@ -62,7 +69,15 @@ def commit_version(
     index = read_file_index(spark, layout, version_id)
     if index.isEmpty():
         return False
-    manifest = manifest_of(index, version_id, layout.dataset_id, run_ts, unique_keys=unique_keys)
+    manifest = manifest_of(
+        index,
+        version_id,
+        layout.dataset_id,
+        run_ts,
+        layout.partition_strategy,
+        unique_keys,
+        layout.partition_columns,
+    )
     manifest.coalesce(1).write.mode("overwrite").json(layout.manifest(version_id))
     append_commit(spark, layout, version_id, run_ts, known["last_seq"] + 1)
     return True
@@ -91,15 +106,28 @@ def read_version(
     spark: SparkSession, layout: DatasetLayout, version_id: str, small_index: bool | None = None
 ) -> DataFrame:
     """The rows of the files a version's index lists, and of no other file."""
-    listed = read_file_index(spark, layout, version_id).select(*PARTITION_COLUMNS, "file_name")
+    by = [*layout.partition_columns, "file_name"]
+    listed = read_file_index(spark, layout, version_id).select(*by)
     rows = read_stored(spark, layout.data(version_id)).withColumn(
         "file_name", F.col("_metadata.file_name")
     )
-    by = [*PARTITION_COLUMNS, "file_name"]
     kept = lookup_join(rows, listed, by, "left_semi", ["obs_time"], small_index)
     return kept.select(*STORED_OBSERVATIONS.fieldNames())
 
 
+def read_versions(
+    spark: SparkSession, layout: DatasetLayout, seqs: dict[str, int], small_index: bool
+) -> DataFrame:
+    """The rows of several versions; ``commit_seq`` is the number ``seqs`` gives each."""
+    return reduce(
+        DataFrame.unionAll,
+        [
+            read_version(spark, layout, one, small_index).withColumn("commit_seq", F.lit(seq))
+            for one, seq in seqs.items()
+        ],
+    )
+
+
 def manifest_of(
     index: DataFrame,
     version_id: str,
@@ -107,6 +135,7 @@ def manifest_of(
     created_at: datetime,
     partition_strategy: str = "series_year_month",
     unique_keys: bool = False,
+    folders: Sequence[str] = PARTITION_COLUMNS,
 ) -> DataFrame:
     """One manifest row from a file index (or from partition statistics without files).
 
@@ -115,7 +144,7 @@ def manifest_of(
     tables (``version_files``, ``version_partitions``, ``version_series``) at every size.
     """
     code = F.col("internal_series_code")
-    partition = partition_path_of(code, F.col("year").cast("string"), F.col("month"))
+    partition = partition_folder(folders)
     has_files = "file_name" in index.columns
     name = F.concat(partition, "file_name") if has_files else F.lit(None).cast("string")
 
@@ -135,25 +164,22 @@ def manifest_of(
         range_of("min_obs_local", "max_obs_local").alias("date_range"),
         range_of("min_obs_time", "max_obs_time").alias("date_range_utc"),
         F.lit(partition_strategy).alias("partition_strategy"),
-        F.count(name).alias("file_count"),
+        F.count_distinct(name).alias("file_count"),
         F.count_distinct(partition).alias("partition_count"),
         F.lit(unique_keys).alias("unique_keys"),
     ).select(*MANIFEST.fieldNames())
 
 
-def version_partitions(index: DataFrame) -> DataFrame:
+def version_partitions(
+    index: DataFrame, folders: Sequence[str] = PARTITION_COLUMNS
+) -> DataFrame:
     """``partition``: every partition path of a file index, once."""
-    code, year = F.col("internal_series_code"), F.col("year").cast("string")
-    path = partition_path_of(code, year, F.col("month"))
-    return index.select(path.alias("partition")).distinct()
+    return index.select(partition_folder(folders).alias("partition")).distinct()
 
 
-def version_files(index: DataFrame) -> DataFrame:
-    """``file``: the path of every data file below the version's data folder."""
-    code, year = F.col("internal_series_code"), F.col("year").cast("string")
-    return index.select(
-        F.concat(partition_path_of(code, year, F.col("month")), "file_name").alias("file")
-    )
+def version_files(index: DataFrame, folders: Sequence[str] = PARTITION_COLUMNS) -> DataFrame:
+    """``file``: the path of every data file of a version, once."""
+    return index.select(F.concat(partition_folder(folders), "file_name").alias("file")).distinct()
 
 
 def version_series(index: DataFrame) -> DataFrame:
@@ -208,7 +234,8 @@ def current_version(spark: SparkSession, layout: DatasetLayout) -> str | None:
 def committed_versions(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
     """``dataset_id, version_id`` of every committed version, newest first."""
     log = read_table(spark, layout.commit_log, COMMIT_LOG)
-    return log.orderBy(F.desc("commit_seq")).select("dataset_id", "version_id")
+    rows = log.select("commit_seq", "dataset_id", "version_id").distinct()
+    return rows.orderBy(F.desc("commit_seq")).select("dataset_id", "version_id")
 
 
 def list_versions(paths: DataFrame, column: str = "path") -> DataFrame:

@@ -93,7 +93,9 @@ STATE_LOG = StructType(STATE.fields + _table(saved_at=_INSTANT, seq=_LONG).field
 
 COMMIT_LOG = _table(commit_seq=_LONG, dataset_id=_TEXT, version_id=_TEXT, committed_at=_INSTANT)
 
-PROJECTED_VERSIONS = _table(dataset_id=_TEXT, version_id=_TEXT, projected_at=_INSTANT)
+PROJECTED_VERSIONS = _table(
+    dataset_id=_TEXT, version_id=_TEXT, projected_at=_INSTANT, commit_seq=_LONG
+)
 
 PUBLISH_LOG = _table(version_id=_TEXT, staging=_TEXT, step=_TEXT, noted_at=_INSTANT)
 

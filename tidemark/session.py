@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_AREA: ContextVar[str | None] = ContextVar("work_area", default=None)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings this library relies on to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -36,7 +40,7 @@ def work_folder(spark: SparkSession, label: str) -> str:
 
     A temporary folder is made only in local mode with the setting absent (tests).
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _AREA.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -81,3 +85,24 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     path = work_folder(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def work_area(spark: SparkSession, label: str) -> Iterator[str]:
+    """A work folder for the block: what is staged inside it is removed when the block ends.
+
+    For work whose results are written by then, since no frame may read the staged tables later.
+    """
+    path = work_folder(spark, label)
+    before = _AREA.set(path)
+    try:
+        yield path
+    finally:
+        _AREA.reset(before)
+        remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder this library wrote; one that is not there is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

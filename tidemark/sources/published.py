@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidemark.functions.numbers import parse_decimal
-from tidemark.functions.times import iso_text
+from tidemark.functions.times import drop_zone, iso_text
+from tidemark.operators.merge import merge_first_wins
 from tidemark.operators.partitions import with_partition_columns, write_folders
 from tidemark.schemas import PUBLISHED
 
 
+# Files of the two published forms, and whether every line is a document.
+FORMS = (("data.json", False), ("part-*.json", True))
+
+
 def scan_published(
-    spark: SparkSession, root: str, glob: str = "data.json", lines: bool = False
+    spark: SparkSession, root: str, glob: str | None = None, lines: bool = False
 ) -> DataFrame:
-    """Rows of every published file below ``root``.
+    """Rows of every published file below ``root``: documents ``data.json`` and exported lines.
 
-    A file holds an array of rows, an object with a ``data`` array, or an object that is
+    With ``glob`` only files of such names are read.  A file holds an array of rows, an object with a ``data`` array, or an object that is
     one row itself; any other JSON gives no rows, and a missing root an empty table.  With
     ``lines`` every line is such a document, and large files can be split over tasks.
     A value is read as text and converted, so one that is no number is null and costs no other
     row.  Documents that are not JSON are in ``published_rejects``.
     """
+    if glob is None:
+        return reduce(
+            DataFrame.unionByName, [scan_published(spark, root, *form) for form in FORMS]
+        )
     documents = _documents(spark, root, glob, lines)
     if documents is None:
         return spark.createDataFrame([], PUBLISHED)
@@ -32,9 +43,13 @@ def scan_published(
 
 
 def published_rejects(
-    spark: SparkSession, root: str, glob: str = "data.json", lines: bool = False
+    spark: SparkSession, root: str, glob: str | None = None, lines: bool = False
 ) -> DataFrame:
     """``path, document`` of what ``scan_published`` cannot read: broken or cut-off JSON."""
+    if glob is None:
+        return reduce(
+            DataFrame.unionByName, [published_rejects(spark, root, *form) for form in FORMS]
+        )
     documents = _documents(spark, root, glob, lines)
     if documents is None:
         return spark.createDataFrame([], "path string, document string")
@@ -91,6 +106,32 @@ def write_published(observations: DataFrame, path: str, mode: str = "error") ->
 
     The series code stays in the rows, so the folders are named by a column of their own.
     """
-    folders = {"series": F.col("internal_series_code"), "year": F.col("year"), "month": F.col("month")}
     rows = with_partition_columns(observations)
-    write_folders(published_rows(rows, **folders), path, list(folders), mode, "json")
+    _write_lines(published_rows(rows, **_folders()), path, mode)
+
+
+def merge_published(spark: SparkSession, projection: str, incoming: str, path: str) -> None:
+    """Merge two folders of published files into a new one; rows of ``projection`` win.
+
+    Keys are compared as text, as published files do: one instant with two offsets is two
+    keys.  Of one folder's rows with one key the first collected stays.  Neither input is
+    changed, so a broken merge can be repeated.
+    """
+    first = F.struct("collection_date", "value", "unit", "frequency")
+    old, new = (
+        scan_published(spark, root).withColumn("_first", first) for root in (projection, incoming)
+    )
+    merged = merge_first_wins(old, new, order="_first").withColumn(
+        "obs_local", drop_zone(F.col("obs_time"))
+    )
+    named = [column.alias(name) for name, column in _folders().items()]
+    rows = with_partition_columns(merged).select(*PUBLISHED.fieldNames(), *named)
+    _write_lines(rows, path, "error")
+
+
+def _folders() -> dict[str, Column]:
+    return {"series": F.col("internal_series_code"), "year": F.col("year"), "month": F.col("month")}
+
+
+def _write_lines(rows: DataFrame, path: str, mode: str) -> None:
+    write_folders(rows, path, list(_folders()), mode, "json")
