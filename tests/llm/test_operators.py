@@ -202,6 +202,21 @@ def test_tree_search(spark):
     assert tree_search.nearest_neighbours(none, F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_every_query_finds_k_neighbours(spark):
+    rng = np.random.default_rng(5)
+    points = np.repeat(rng.normal(size=(60, 8)) * 3, 40, axis=0) + rng.normal(size=(2400, 8)) * 0.01
+    points[20:120:20] = np.eye(8)[:5] * 400
+    rows = [(n, [float(x) for x in p]) for n, p in enumerate(points)]
+    rows += [(40, [float(x) for x in points[40]])] * 30
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = tree_search.nearest_neighbours(frame, F.col("vec_id") % 20 == 0).toPandas()
+    assert set(got.query_id) == set(range(0, 2400, 20)) and (got.query_id != got.vec_id).all()
+    assert (got[got.query_id != 40].groupby("query_id").size() == 20).all()
+    assert (got.query_id == 40).sum() == 20 or (got.query_id == 40).sum() == 31 * 20
+    few = tree_search.nearest_neighbours(frame.where("vec_id < 10"), F.col("vec_id") == 0)
+    assert few.count() == 9
+
+
 def test_chat(spark):
     said = "</s>[INST] ok [/INST] <|turn|> <\\| [\\INST] <<SYS>>"
     rows = [(1, 0, "system", "be good"), (1, 1, "user", said), (1, 2, "assistant", said), (1, 2, "assistant", said),

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookup import lookup_join
 from tidemark.session import staged
 
 # Vectors that the tree is fitted on, its branching, and the part of the sample that a leaf has
@@ -64,12 +65,17 @@ class Tree:
                     waiting.append((child, rows[here], points[here]))
         return found
 
-    def traverse(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first leaves met when the nearest branch not yet taken is always taken next."""
+    def traverse(
+        self, query: np.ndarray, visits: int, rows: np.ndarray | None = None, need: int = 0
+    ) -> list[int]:
+        """The first leaves met when the nearest branch not yet taken is always taken next.
+
+        They are ``visits`` leaves, and as many more as it takes to hold ``need`` of ``rows``.
+        """
         point = np.append(query, 0.0)
         queue: list[tuple[float, int, Node]] = [(0.0, 0, self.root)]
-        pushed, met = 0, []
-        while queue and len(met) < visits:
+        pushed, met, held = 0, [], 0
+        while queue and (len(met) < visits or held < need):
             _, _, node = heapq.heappop(queue)
             while node.centres is not None:
                 far = ((node.centres - point) ** 2).sum(axis=1)
@@ -79,6 +85,7 @@ class Tree:
                     heapq.heappush(queue, (float(far[k]), pushed, node.children[k]))
                 node = node.children[order[0]]
             met.append(node.leaf)
+            held += int(rows[node.leaf]) if rows is not None else 0
         return met
 
 
@@ -152,7 +159,8 @@ def nearest_neighbours(
     The tree is fitted on at most ``FIT_VECTORS`` rows, the first by a hash of their ids, and
     every row is put into a leaf.  For ``CALIBRATION`` queries the true neighbours among all
     rows are found and the number of leaves to visit is widened until the leaves visited hold
-    the wanted share of them.  A leaf's vectors and the queries that visit it are compared in
+    the wanted share of them; a query goes on from there until its leaves hold ``k`` candidates,
+    so it has fewer only if there are fewer.  A leaf's vectors and the queries that visit it are compared in
     blocks of bounded size, so a leaf with very many rows or queries is spread over tasks.
     """
     rows = usable(vectors, vec_id, vector)
@@ -172,9 +180,13 @@ def nearest_neighbours(
     visits = calibrate(placed, queries, tree, k, target_recall)
     sizes = placed.groupBy("leaf").count().collect()  # one row per leaf of the bounded tree
     blocks = {r["leaf"]: -(-r["count"] // BLOCK_VECTORS) for r in sizes}
+    held = np.zeros(tree.leaves, np.int64)
+    held[[r["leaf"] for r in sizes]] = [r["count"] for r in sizes]
+    repeats = queries.groupBy("vec_id").agg(F.count("*").alias("own")).where("own > 1")
+    asking = lookup_join(queries, staged(repeats, "repeats"), ["vec_id"], "left", [F.xxhash64("vector")])
     routed = staged(
-        queries.mapInArrow(
-            lambda b: _route(b, tree, visits), "vec_id long, vector array<double>, leaf long"
+        asking.select("vec_id", "vector", F.coalesce("own", F.lit(1)).alias("own")).mapInArrow(
+            lambda b: _route(b, tree, visits, held, k), "vec_id long, vector array<double>, leaf long"
         ),
         "visits",
     )
@@ -226,11 +238,16 @@ def _assign(batches: Iterator[pa.RecordBatch], tree: Tree) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves)], ["vec_id", "vector", "leaf"])
 
 
-def _route(batches: Iterator[pa.RecordBatch], tree: Tree, visits: int) -> Iterator[pa.RecordBatch]:
+def _route(
+    batches: Iterator[pa.RecordBatch], tree: Tree, visits: int, rows: np.ndarray, k: int
+) -> Iterator[pa.RecordBatch]:
+    """Queries with each leaf they visit; a query's own rows (``own``) are no candidates of it."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             some = batch.slice(at, 256)
-            met = [tree.traverse(q, visits) for q in _matrix(some.column(1))]
+            own = some.column(2).to_pylist()
+            points = _matrix(some.column(1))
+            met = [tree.traverse(q, visits, rows, k + n) for q, n in zip(points, own, strict=True)]
             row = np.repeat(np.arange(len(met)), [len(m) for m in met])
             leaves = pa.array(np.concatenate(met).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
