@@ -102,6 +102,42 @@ def test_simhash(docs, none, monkeypatch):
     assert kept.columns == docs.columns and kept.where("doc_id in (6, 7, 8)").count() == 1
 
 
+def plain_survivors(rows, least=0.8):
+    """Ids of the first of each component of texts whose five-word shingles are alike."""
+    sets, root = {}, {}
+    for i, text in rows:
+        words = (text or "").encode().lower().split()
+        sets[i], root[i] = {tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))}, i
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            one, other = sets[a], sets[b]
+            if a < b and min(len(one), len(other)) >= least * max(len(one), len(other)):
+                if len(one & other) >= least * len(one | other):
+                    root[max(find(a), find(b))] = min(find(a), find(b))
+    return {i for i in root if find(i) == i}
+
+
+def test_near_copies_equal_a_comparison_of_all(spark):
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    rng = np.random.default_rng(6)
+    rows = [(r.doc_id, r.text) for r in real]
+    for group in range(3):
+        base = rng.integers(0, 10_000, 120).astype(str)
+        for n in range(90):  # copies of one text with words replaced, of which few differ much
+            words = base.copy()
+            words[rng.choice(120, rng.integers(0, 7), replace=False)] = f"w{n}"
+            rows.append((10**6 + 1000 * group + n, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [r.doc_id for r in simhash.first_of_each_group(frame).select("doc_id").collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == plain_survivors(rows)
+
+
 @pytest.mark.parametrize("paired", [1, 64])
 def test_crowded_blocks_lose_no_link(spark, monkeypatch, paired):
     monkeypatch.setattr(simhash, "PAIRED", paired)
