@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact, language, mixing, packing, scoring, simhash, token_files
-from tidemark.llm import tree_search, warc
+from tidemark.llm import audit, chat, exact, language, mixing, packing, periods, scoring, simhash
+from tidemark.llm import token_files, tree_search, urls, warc
 from tidemark.llm.tokens import vocabulary
 from tidemark.session import configure
 
 # End-of-document ids of the two token layouts.
 PACK_END, FILE_END = 1, 0
+# The rules for hosts and paths.
+URL_RULES = (
+    urls.Rule("net", "/", urls.BLOCK),
+    urls.Rule("example.net", "/en/", urls.ALLOW),
+    urls.Rule("example.com", "/de/", urls.BLOCK),
+    urls.Rule("org", "/fr/", urls.ALLOW),
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +81,33 @@ def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = audit.document_facts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return audit.filter_interactions(facts, audit.failing_ids(facts))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def repeating(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by a checksum of their id, go on with words they began with."""
+    chance, rest = 1, 0
+    if doc_id is not None:
+        rest, chance = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if chance or not words:
+        return words
+    at = rest % len(words)
+    left = len(words) - at
+    period = 1 + left // (3 + rest % 8)
+    base = words[at : at + period]
+    return words[:at] + (base * (left // period + 1))[:left]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digests(periods.periodic_runs(_table(spark, sf_dir, "documents"), edit=repeating))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_warc,
         op10_poisson_mix,
+        op11_filter_audit,
+        op12_url_filter,
+        op13_periodic_runs,
     )
 }
 
@@ -95,4 +133,6 @@ SQL: dict[str, str] = {
             doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op10_poisson_mix": mixing.MIX_SQL,
+    "op11_filter_audit": audit.AUDIT_SQL,
+    "op12_url_filter": urls.url_sql(URL_RULES),
 }
