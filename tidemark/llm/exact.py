@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookup import lookup_join
 from tidemark.session import staged
 
 COUNTERS = 1024
@@ -24,8 +25,9 @@ def exact_dedup(
 
     Misra-Gries counters find every digest held by more than 2 / ``counters`` of all rows, and
     never more than ``counters`` digests.  Those are counted exactly where they lie, and their
-    winners, at most ``counters`` rows, are broadcast.  All other digests are shuffled; each has
-    at most 2 / ``counters`` of the rows.
+    winners, at most ``counters`` rows, are broadcast.  All other digests are shuffled, reduced
+    before and joined back, so that adaptive execution can split what is large; each has at most
+    2 / ``counters`` of the rows.  Whole texts go into the digests, however long.
     """
     digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
     rows = staged(
@@ -44,15 +46,10 @@ def exact_dedup(
         .agg(F.max(last).alias("winner"), F.count("*").alias("group_size"))
     )
     hot = rows.join(F.broadcast(winners), "digest")
-    same = Window.partitionBy("digest")
-    rest = rows.join(heavy, "digest", "left_anti").select(
-        "digest",
-        "doc_id",
-        "row",
-        F.max(last).over(same).alias("winner"),
-        F.count("*").over(same).alias("group_size"),
-    )
-    return hot.select(*rest.columns).unionAll(rest).select(
+    light = rows.join(heavy, "digest", "left_anti")
+    groups = light.groupBy("digest").agg(F.max(last).alias("winner"), F.count("*").alias("group_size"))
+    rest = light.join(groups, "digest")
+    return hot.unionByName(rest).select(
         "doc_id",
         F.col("winner.doc_id").alias("keep_id"),
         "group_size",
@@ -75,7 +72,7 @@ def frequent_digests(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
         .agg(F.sum("seen").alias("seen"))
         .where(F.col("seen") >= F.lit(max(2.0, rows.count() / counters)))
         .select("digest")
-        .collect()
+        .collect()  # at most ``counters``
     )
     return rows.sparkSession.createDataFrame([(bytes(r[0]),) for r in found], "digest binary")
 
@@ -97,15 +94,49 @@ def _misra_gries(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[p
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns.
+    """The documents that stay, with all their columns as they were.
+
+    Rows are matched by id and digest; where several rows have both alike, one stays.  Texts are
+    only shuffled where that is so.  An empty table stays empty.
+    """
+    found = exact_dedup(docs)
+    key = pair_key(F.col("doc_id"), F.unhex("text_sha256"))
+    return keep_rows(docs, found.select(key.alias("key"), "kept"))
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Id and digest of a row as one value that is never null."""
+    return pair_key(doc_id, text_sha(text))
 
-    Rows are matched by id and digest; where several rows have both alike, one stays.
+
+def pair_key(doc_id: Column, sha: Column) -> Column:
+    """``row_key`` from a digest that is known."""
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary"), sha)
+
+
+def keep_rows(docs: DataFrame, verdicts: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` has a kept one among ``verdicts`` (``key, kept``).
+
+    Of rows with one key, one stays.  The others are looked up and left out, so a row that is
+    alone with its key stays where it is.
     """
-    kept = exact_dedup(docs).where("kept").select("doc_id", F.unhex("text_sha256").alias("_sha"))
-    keyed = docs.withColumn("_sha", text_sha(F.col("text")))
-    match = keyed["doc_id"].eqNullSafe(kept["doc_id"]) & (keyed["_sha"] == kept["_sha"])
-    stay = keyed.join(kept, match, "left_semi")
-    return one_of_each(stay, ["doc_id", "_sha"]).select(*docs.columns)
+    known = verdicts.groupBy("key").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept"))
+    special = staged(known.where("n > 1 or not kept"), "verdicts")
+    name = unused(docs, "key")
+    keyed = docs.withColumn(name, row_key(F.col(doc_id), F.col(text)))
+    named = special.withColumnRenamed("key", name)
+    spread = [F.monotonically_increasing_id()]
+    rest = lookup_join(keyed, named.select(name), [name], "left_anti", spread)
+    twice = lookup_join(keyed, named.where("kept").select(name), [name], "left_semi", spread)
+    return rest.drop(name).unionByName(one_of_each(twice, [name]).select(*docs.columns))
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have, whatever their case."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def text_sha(text: Column) -> Column:
@@ -114,5 +145,7 @@ def text_sha(text: Column) -> Column:
 
 def one_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row for each value of ``keys``."""
-    values = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.first(F.struct(*values)).alias("_row")).select(*keys, "_row.*")
+    if set(keys) == set(rows.columns):
+        return rows.distinct()
+    values, held = [c for c in rows.columns if c not in keys], unused(rows, "held")
+    return rows.groupBy(*keys).agg(F.first(F.struct(*values)).alias(held)).select(*keys, f"{held}.*")

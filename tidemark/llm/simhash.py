@@ -8,11 +8,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.exact import one_of_each, text_sha
+from tidemark.llm.exact import keep_rows, pair_key, text_sha
 from tidemark.operators.lookup import lookup_join
 from tidemark.session import staged
 
@@ -25,8 +25,10 @@ PIECE = 1 << 20
 # Bands of a shingle set that near copies meet in, and the minima that make up a band.
 BANDS, BAND_MINIMA = 40, 6
 _ORDERS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
-# Pairs of one node that a task compares in a row.
+# Pairs of one node, or members of one clump, that a task compares in a row.
 SLOT_PAIRS = 1024
+# Members that a clump's centre is made of (at most 255), and what rounding may add to a sum.
+SAMPLED, EXACT = 31, 1e-6
 
 
 def fingerprints(
@@ -215,20 +217,19 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
     """The documents less near copies: of each component the row with the smallest id stays.
 
     Two texts are linked if the Jaccard similarity of their sets of shingles (words as in
-    ``fingerprints``) is ``similarity`` or more; that is counted for every candidate, so texts
-    less alike stay.  Of rows with the smallest id the one with the smallest digest stays; all
-    columns are returned.
+    ``fingerprints``) is ``similarity`` or more; every link is counted on the sets, so texts less
+    alike stay.  Of rows with the smallest id the one with the smallest digest stays; null ids
+    are the largest here and only stay among themselves; texts without words (null, empty) are
+    one group.  All columns are returned as they were; an empty table stays empty; whole texts
+    are read, however long.
 
     Fingerprints cannot give the candidates: at similarity 0.8 some 10 of 64 bits differ, with a
     deviation of 3, and blocks for such a radius have 3 or 4 bits, that is, hold everything.
     Candidates share a band of minima instead: a pair of similarity 0.8 is missed with a chance
     of 5 in a million, one of 0.9 practically never; far lower similarities need other bands.
-    Members of a band are first compared with its smallest one; afterwards only pairs between
-    different components are, in blocks of ``PAIRED``, so no pair that could join two components
-    is left out and a large group of copies is not paired off.
     """
     hashed = docs.select(
-        F.col("doc_id").cast("long"), text_sha(F.col("text")).alias("_sha"), F.col("text").cast("binary")
+        F.col("doc_id").cast("long"), text_sha(F.col("text")).alias("sha"), F.col("text").cast("binary")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,13 +241,12 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
                     [
                         *some.columns[:2],
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "_sha", "same", "size", "bands"],
+                    ["doc_id", "sha", "same", "bands"],
                 )
 
-    schema = "doc_id long, _sha binary, same binary, size long, bands array<long>"
+    schema = "doc_id long, sha binary, same binary, bands array<long>"
     rows = staged(
         hashed.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "shingles"
     )
@@ -254,52 +254,77 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
     nodes = staged(rows.groupBy("same").agg(F.min("row").alias("node")), "nodes")
     first = nodes.select("node")
     heads = rows.join(first, rows["row"] == first["node"], "left_semi")
-    heads = heads.select(F.col("row").alias("node"), "size", "bands", "_sha")
+    heads = heads.select(F.col("row").alias("node"), "bands", "sha")
     links = staged(_similar_pairs(docs, heads, shingle, similarity), "links")
     roots = connected(links).withColumnRenamed("root", "found")
     placed = nodes.join(roots, "node", "left").select("same", F.coalesce("found", "node").alias("root"))
-    # Null ids are the largest here, so that they only stay when alone.
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_sha")
-    stay = (
-        rows.select("doc_id", "_sha", "same")
-        .join(placed, "same")
-        .groupBy("root")
-        .agg(F.min(order).alias("row"))
-        .select("row.*")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
+    found = staged(rows.select("doc_id", "sha", "same").join(placed, "same"), "placed")
+    stay = found.groupBy("root").agg(F.min(order).alias("first"))
+    judged = found.join(stay, "root").select(
+        F.col("doc_id"), F.col("sha"), (order == F.col("first")).alias("kept")
     )
-    keyed = docs.withColumn("_sha", text_sha(F.col("text")))
-    match = keyed["doc_id"].eqNullSafe(stay["doc_id"]) & (keyed["_sha"] == stay["_sha"])
-    kept = keyed.join(stay, match, "left_semi")
-    return one_of_each(kept, ["doc_id", "_sha"]).select(*docs.columns)
+    return keep_rows(docs, judged.select(pair_key(F.col("doc_id"), F.col("sha")).alias("key"), "kept"))
 
 
 def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Verified links ``a, b`` that join the same nodes as all similar pairs that share a band."""
-    keyed = heads.select("node", "size", F.explode("bands").alias("key"))
+    """Links ``a, b`` that join the same nodes as all similar pairs that share a band.
+
+    Nodes that share bands form clumps, and a clump is described by what its sets differ from a
+    common centre in.  With E(x) = set(x) without the centre, plus the centre without set(x), two
+    sets are similar if and only if slack(x) + slack(y) <= 2 |E(x) and E(y)|, where slack(x) =
+    |E(x)| - f |set(x)| and f = (1 - similarity) / (1 + similarity); that holds for every centre.
+
+    So all nodes whose slack and the clump's least add up to no more than 0 are linked to the
+    node with the least.  Only the others, heavy ones, can have further links, and those need
+    common differences: heavy nodes meet others under the rarest of their differences (as many as
+    such a link cannot do without), first the node of least slack there, afterwards only nodes of
+    other components.  A large group of copies of one text thus costs a row or two a copy, and
+    copies too far from each other do not meet at all.
+    """
+    keyed = heads.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    met = staged(keyed.join(shared, "key"), "bands")
-    sizes = met.where("node = least").select("key", F.col("size").alias("least_size"))
-    stars = met.where("node > least").join(sizes, "key").where(_fit("size", "least_size", similarity))
-    stars = stars.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    names = heads.select("node", "_sha")
-    near = staged(_verified(stars, names, docs, shingle, similarity), "stars")
-    # Pairs within a component, and those with the smallest member, need no further comparison.
-    roots = connected(near)
-    others = staged(
-        met.where("n > 2 and node > least")
-        .join(roots, "node", "left")
-        .select("key", "node", "size", "n", F.coalesce("root", "node").alias("root")),
-        "others",
+    met = keyed.join(shared, "key").where("node > least")
+    meets = staged(met.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "meets")
+    clumps = connected(meets).select("node", F.col("root").alias("clump"))
+    members = staged(heads.select("node", "sha").join(clumps, "node"), "members")
+    rows = _differences(members, docs, shingle, (1 - similarity) / (1 + similarity))
+    least = rows.groupBy("clump").agg(F.min(F.struct("slack", "node")).alias("least"))
+    compared = staged(lookup_join(rows, staged(least, "least"), ["clump"], "inner", [F.col("node")]), "slacks")
+    heavy = F.col("slack") + F.col("least.slack") > EXACT
+    light = compared.where(~heavy & (F.col("node") != F.col("least.node")))
+    direct = light.select(F.col("least.node").alias("a"), F.col("node").alias("b"))
+    lightest = staged(compared.where(heavy).groupBy("clump").agg(F.min("slack").alias("heavy_slack")), "heavy")
+    mixed = lookup_join(compared, lightest, ["clump"], "inner", [F.col("node")])
+    # Common differences that any further link of the node needs.
+    other = F.when(heavy, F.col("least.slack")).otherwise(F.col("heavy_slack"))
+    need = F.greatest(F.ceil((F.col("slack") + other) / 2 - F.lit(EXACT)), F.lit(1)).cast("int")
+    prefix = F.greatest(F.size("edits") - need + 1, F.lit(0))
+    posted = mixed.select(
+        "clump", "node", "slack", heavy.alias("heavy"), F.size("edits").alias("n_edits"),
+        F.posexplode(F.slice("edits", F.lit(1), prefix)).alias("at", "token"),
+    )
+    posted = staged(posted.withColumn("left", F.col("n_edits") - F.col("at")).drop("n_edits", "at"), "posted")
+    key = ["clump", "token"]
+    shared = posted.groupBy(*key).agg(
+        F.count("*").alias("n"), F.bool_or("heavy").alias("any"), F.min(F.struct("slack", "node", "left", "heavy")).alias("first")
     )
-    apart = others.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    met = staged(posted.join(shared.where("n > 1 and any").drop("any"), key), "met")
+    rest = met.where(F.col("node") != F.col("first.node"))
+    stars = rest.where(_can_link(F.struct("slack", "left", "heavy"), F.col("first")))
+    stars = _pair(F.col("first.node"), F.col("node"), stars)
+    near = staged(direct.unionAll(_verified(stars, rows)), "near")
+    # Pairs within a component, and those with the first, need no further comparison.
+    others = rest.where("n > 2").join(connected(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    others = staged(others, "others")
+    apart = others.groupBy(*key).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     blocks = F.ceil(F.col("n") / F.lit(PAIRED)).cast("long")
-    own = others.join(apart, "key", "left_semi").select(
-        "key", F.struct("node", "size", "root").alias("it"), blocks.alias("blocks"),
+    own = others.join(apart.select(*key), key, "left_semi").select(
+        *key, F.struct("node", "slack", "left", "heavy", "root").alias("it"), blocks.alias("blocks"),
         F.pmod(F.xxhash64("node"), blocks).alias("own"),
     )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cells = own.withColumn("other", other).groupBy(
-        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    cells = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).groupBy(
+        *key, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
     )
     found = cells.agg(F.collect_list(F.struct("own", "it")).alias("all"))
     one = found.select("lo", "hi", "all", F.explode("all").alias("x"))
@@ -307,67 +332,157 @@ def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity:
 
     def joins(y: Column) -> Column:
         across = (F.col("lo") == F.col("hi")) | (x["own"] != y["own"])
-        apart = x["it"]["root"] != y["it"]["root"]
-        return across & apart & (x["it"]["node"] < y["it"]["node"]) & _fit(x["it"]["size"], y["it"]["size"], similarity)
+        different = (x["it"]["root"] != y["it"]["root"]) & (x["it"]["node"] < y["it"]["node"])
+        return across & different & _can_link(x["it"], y["it"])
 
     pairs = one.select(x["it"]["node"].alias("a"), F.explode(F.filter("all", joins)).alias("y"))
     pairs = pairs.select("a", F.col("y.it.node").alias("b")).distinct()
-    return near.unionAll(_verified(pairs, names, docs, shingle, similarity))
+    return near.unionAll(_verified(pairs, rows))
+
+
+def _pair(one: Column, other: Column, rows: DataFrame) -> DataFrame:
+    return rows.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
+
+
+def _can_link(one: Column, other: Column) -> Column:
+    """Whether enough differences are left from here on, and it is not settled by the slacks."""
+    enough = 2 * F.least(one["left"], other["left"]) >= one["slack"] + other["slack"] - F.lit(EXACT)
+    return enough & (one["heavy"] | other["heavy"])
+
+
+def _differences(members: DataFrame, docs: DataFrame, shingle: int, factor: float) -> DataFrame:
+    """``node, clump, slack, edits``: what each set differs from its clump's centre in, rarest first.
+
+    The centre holds what most of up to ``SAMPLED`` members have, chosen by a hash; shingles that
+    several of these have count as frequent.  The choice decides how fast links are found, not
+    which.  A clump is dealt over slots, each with the centre before its members.
+    """
+    sets = _sets_of(members, docs, shingle)
+    order = Window.partitionBy("clump").orderBy(F.xxhash64("node"), "node")
+    chosen = members.select("clump", "node", F.row_number().over(order).alias("n")).where(F.col("n") <= SAMPLED)
+    sample = sets.join(chosen.select("node"), "node", "left_semi")
+    centres = sample.repartition("clump").sortWithinPartitions("clump").mapInArrow(
+        _centres, "clump long, tokens binary, counts binary, sampled int"
+    )
+    slots = members.groupBy("clump").agg(F.ceil(F.count("*") / F.lit(SLOT_PAIRS)).cast("long").alias("slots"))
+    named = staged(centres.join(slots, "clump"), "centres")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
+    heads = named.select("clump", every.alias("slot"), F.lit(None).cast("long").alias("node"), "tokens", "counts", "sampled")
+    counts = named.select("clump", "slots")
+    dealt = lookup_join(sets, staged(counts, "slots"), ["clump"], "inner", [F.col("node")]).select(
+        "clump",
+        F.pmod(F.xxhash64("node"), F.col("slots")).alias("slot"),
+        "node",
+        F.col("hashes").alias("tokens"),
+        F.lit(None).cast("binary").alias("counts"),
+        F.lit(0).alias("sampled"),
+    )
+    both = heads.unionByName(dealt).repartition("clump", "slot").sortWithinPartitions("clump", "slot", "node")
+    return staged(
+        both.mapInArrow(lambda b: _edits(b, factor), "node long, clump long, slack double, edits array<long>"), "edits"
+    )
 
 
-def _fit(one: Column | str, other: Column | str, similarity: float) -> Column:
-    """Whether sets of these sizes can be similar enough."""
-    return F.least(one, other) >= F.greatest(one, other) * F.lit(similarity) - F.lit(1e-6)
+def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that at least two of a clump's sampled sets have, and how many have them."""
+    clump, held = None, []
+    for batch in batches:
+        for name, value in zip(batch.column("clump").to_pylist(), batch.column("hashes"), strict=True):
+            if held and name != clump:
+                yield _centre(clump, held)
+                held = []
+            clump = name
+            held.append(np.frombuffer(value.as_py(), np.uint64))
+    if held:
+        yield _centre(clump, held)
+
+
+def _centre(clump: int, held: list[np.ndarray]) -> pa.RecordBatch:
+    tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+    known = counts > 1
+    return pa.RecordBatch.from_pydict(
+        {
+            "clump": pa.array([clump], pa.int64()),
+            "tokens": pa.array([tokens[known].tobytes()], pa.binary()),
+            "counts": pa.array([counts[known].astype(np.uint8).tobytes()], pa.binary()),
+            "sampled": pa.array([len(held)], pa.int32()),
+        }
+    )
 
 
-def _sets_of(nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
-    """``b, hashes``: the shingle sets of ``nodes`` (``node, _sha``), read from their texts."""
-    texts = docs.select(text_sha(F.col("text")).alias("_sha"), F.col("text").cast("binary").alias("text"))
-    wanted = lookup_join(texts, nodes, ["_sha"], "inner", [F.col("_sha")]).select("node", "text")
+def _edits(batches: Iterator[pa.RecordBatch], factor: float) -> Iterator[pa.RecordBatch]:
+    known, counts, centre = (np.zeros(0, np.uint64),) * 3
+    for batch in batches:
+        nodes, clumps, slacks, edits = [], [], [], []
+        columns = (batch.column(name) for name in ("clump", "node", "tokens", "counts", "sampled"))
+        for clump, node, tokens, seen, sampled in zip(*columns, strict=True):
+            this = np.frombuffer(tokens.as_py(), np.uint64)
+            if not node.is_valid:
+                known, counts = this, np.frombuffer(seen.as_py(), np.uint8)
+                centre = known[2 * counts.astype(np.int64) > sampled.as_py()]
+                continue
+            changed = np.setxor1d(this, centre, assume_unique=True)
+            at = np.minimum(np.searchsorted(known, changed), max(len(known) - 1, 0))
+            often = np.where(known[at] == changed, counts[at], 0) if len(known) else np.zeros(len(changed))
+            nodes.append(node.as_py())
+            clumps.append(clump.as_py())
+            slacks.append(len(changed) - factor * len(this))
+            edits.append(changed[np.lexsort((changed, often))].view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(nodes, pa.int64()), pa.array(clumps, pa.int64()), pa.array(slacks, pa.float64()),
+                pa.array(edits, pa.list_(pa.int64())),
+            ],
+            ["node", "clump", "slack", "edits"],
+        )
+
+
+def _sets_of(members: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """``node, clump, hashes``: the shingle sets of ``members``, read from their texts."""
+    texts = docs.select(text_sha(F.col("text")).alias("sha"), F.col("text").cast("binary").alias("text"))
+    wanted = lookup_join(texts, members, ["sha"], "inner", [F.monotonically_increasing_id()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                sets = [shingle_set(t.as_py() or b"", shingle).tobytes() for t in some.column(1)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], ["b", "hashes"])
+                sets = [shingle_set(t.as_py() or b"", shingle).tobytes() for t in some.column(2)]
+                yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(sets, pa.binary())], ["node", "clump", "hashes"])
 
-    found = wanted.mapInArrow(run, "b long, hashes binary")
-    return staged(found.groupBy("b").agg(F.first("hashes").alias("hashes")), "sets")
+    found = wanted.select("node", "clump", "text").mapInArrow(run, "node long, clump long, hashes binary")
+    # Rows with one text are one node.
+    return staged(found.groupBy("node", "clump").agg(F.first("hashes").alias("hashes")), "sets")
 
 
-def _verified(
-    pairs: DataFrame, names: DataFrame, docs: DataFrame, shingle: int, similarity: float
-) -> DataFrame:
-    """The pairs whose sets have the similarity; a node in many pairs is dealt over slots."""
+def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs that are similar by their differences; a node in many pairs is dealt over slots."""
     pairs = staged(pairs, "candidates")
-    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    known = _sets_of(staged(names.join(ends, "node"), "asked-nodes"), docs, shingle)
     slots = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(SLOT_PAIRS)).cast("long").alias("slots"))
     asked = staged(
         pairs.join(slots, "a").select("a", F.pmod(F.xxhash64("b"), F.col("slots")).alias("slot"), "b"),
         "asked",
     )
+    known = rows.select(F.col("node").alias("b"), "slack", "edits")
     own = asked.select("a", "slot").distinct().withColumn("b", F.col("a")).join(known, "b")
     both = own.unionByName(asked.join(known, "b"))
-    # A node has a smaller number than those it is compared with, so its set comes first.
-    dealt = both.select("a", "slot", "b", "hashes").repartition("a", "slot").sortWithinPartitions("a", "slot", "b")
-    return dealt.mapInArrow(lambda batches: _compared(batches, similarity), "a long, b long")
+    # A node has a smaller number than those it is compared with, so its own row comes first.
+    dealt = both.select("a", "slot", "b", "slack", "edits").repartition("a", "slot").sortWithinPartitions("a", "slot", "b")
+    return dealt.mapInArrow(_compared, "a long, b long")
 
 
-def _compared(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    own = np.zeros(0, np.uint64)
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own, own_slack = np.zeros(0, np.int64), 0.0
     for batch in batches:
         found: list[tuple[int, int]] = []
-        ends = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True)
-        for a, b, hashes in ends:
-            this = np.frombuffer(hashes.as_py(), np.uint64)
+        columns = (batch.column(name) for name in ("a", "b", "slack", "edits"))
+        for a, b, slack, edits in zip(*columns, strict=True):
+            a, b, slack = a.as_py(), b.as_py(), slack.as_py()
+            this = np.sort(edits.values.to_numpy())
             if a == b:
-                own = this
+                own, own_slack = this, slack
                 continue
-            at = np.minimum(np.searchsorted(own, this), len(own) - 1)
-            both = int((own[at] == this).sum())
-            if both >= similarity * (len(own) + len(this) - both) - 1e-6:
+            both = len(np.intersect1d(own, this, assume_unique=True))
+            if own_slack + slack <= 2 * both + EXACT:
                 found.append((a, b))
         a, b = zip(*found, strict=True) if found else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
