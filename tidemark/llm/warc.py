@@ -167,21 +167,27 @@ def _record(kind: str, head: list[tuple[str, str]], block: bytes) -> bytes:
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
-def read_archives(spark: SparkSession, archives: Archives, segmented: bool) -> DataFrame:
-    """The records of the archives as they stand: segments of records, or all the others."""
-    folder = archives.folder
+def read_archives(spark: SparkSession, archives: Archives) -> DataFrame:
+    """The records of the archives in one pass over each, dealt one archive after the other.
+
+    A segment of a record comes as it stands, with its ``block``.  Any other record is decoded
+    where it is read: ``block`` is null, and there are the payload's ``bytes`` and ``sha``, or an
+    ``error`` if it is not whole.  No archives, no rows.
+    """
+    folder, count = archives.folder, archives.names.count()
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                yield from _read(folder, name, segmented)
+                yield from _read(folder, name)
 
-    return archives.names.select("name").repartition("name").mapInArrow(
-        run, f"{_RECORDS}, page_id long, first_id long"
-    )
+    # A number of its own: adaptive execution would merge tasks by the size of the names.
+    dealt = archives.names.select("name").repartition(min(max(count, 1), most))
+    return dealt.mapInArrow(run, f"{_RECORDS}, page_id long, first_id long, bytes long, sha binary, error string")
 
 
-def _read(folder: str, name: str, segmented: bool, rows: int = 500):
+def _read(folder: str, name: str, rows: int = 500):
     system, path = place_of(f"{folder}/{name}")
     found: list[dict] = []
     with system.open_input_stream(path) as raw, gzip.open(raw) as plain:
@@ -199,8 +205,10 @@ def _read(folder: str, name: str, segmented: bool, rows: int = 500):
             block = stream.read(length)
             if len(block) != length:
                 raise ValueError(f"{name}: a record ends early")
-            if ("warc-segment-number" in head) == segmented:
-                found.append(_row(head, block))
+            row = _row(head, block)
+            if "warc-segment-number" not in head:
+                row |= _described(_logical([row], False)) | {"block": None}
+            found.append(row)
             if len(found) == rows:
                 yield _batch(found)
                 found = []
@@ -233,6 +241,9 @@ _ROW = pa.schema(
         ("block", pa.binary()),
         ("page_id", pa.int64()),
         ("first_id", pa.int64()),
+        ("bytes", pa.int64()),
+        ("sha", pa.binary()),
+        ("error", pa.string()),
     ]
 )
 
@@ -246,37 +257,32 @@ def reassemble(records: DataFrame) -> DataFrame:
 
     Segments are dealt by the record they continue and read in order of their number, so a
     task holds one record at a time.  A gap, a missing or wrong total length, or broken chunks
-    make ``error`` say so and the payload null.
+    make ``error`` say so and the payload null; that goes for a first segment on its own too.
     """
     ordered = records.repartition("origin").sortWithinPartitions("origin", "segment")
     return ordered.mapInArrow(_reassemble, _LOGICAL)
 
 
-def _each(batches):
-    for batch in batches:
-        yield _logical_batch([_logical([row]) for row in batch.to_pylist()])
-
-
 def _reassemble(batches):
     held: list[dict] = []
     for batch in batches:
         done = []
         for row in batch.to_pylist():
             if held and held[0]["origin"] != row["origin"]:
-                done.append(_logical(held))
+                done.append(_logical(held, True))
                 held = []
             held.append(row)
         yield _logical_batch(done)
     if held:
-        yield _logical_batch([_logical(held)])
+        yield _logical_batch([_logical(held, True)])
 
 
-def _logical(parts: list[dict]) -> dict:
+def _logical(parts: list[dict], segmented: bool) -> dict:
     first, block = parts[0], b"".join(p["block"] for p in parts)
     error, payload = None, None
     if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):
         error = "segments are missing or repeated"
-    elif len(parts) > 1 and parts[-1]["total"] != len(block):
+    elif segmented and parts[-1]["total"] != len(block):
         error = "total length differs"
     elif first["record_type"] == "response":
         try:
@@ -287,6 +293,13 @@ def _logical(parts: list[dict]) -> dict:
     return {k: first[k] for k in keys} | {"payload": payload, "error": error}
 
 
+def _described(record: dict) -> dict:
+    payload = record["payload"]
+    if payload is None:
+        return {"bytes": None, "sha": None, "error": record["error"]}
+    return {"bytes": len(payload), "sha": hashlib.sha1(payload).digest(), "error": record["error"]}
+
+
 def _logical_batch(rows: list[dict]) -> pa.RecordBatch:
     text = ("record_id", "record_type", "refers_to", "digest", "error")
     columns = {
@@ -328,40 +341,34 @@ def archived_pages(spark: SparkSession, archives: Archives) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` from the archives.
 
     Sizes and digests are those of the decoded payloads; a revisit has those of the response
-    it names.  Any record that is not whole fails the read.
+    it names, however many name the same.  Any record that is not whole fails the read.  Null and
+    repeated page ids are rows like others; archives without records give no rows.
     """
-    whole = read_archives(spark, archives, False).mapInArrow(_each, _LOGICAL)
-    whole = whole.unionAll(reassemble(read_archives(spark, archives, True)))
-    checked = whole.withColumn(
-        "record_type",
-        F.when(F.col("error").isNull(), F.col("record_type")).otherwise(
-            F.raise_error(F.concat("record_id", F.lit(": "), "error"))
-        ),
-    )
-    found = staged(
-        checked.select(
-            "record_id",
-            "record_type",
-            "refers_to",
-            "page_id",
-            "first_id",
-            F.octet_length("payload").cast("long").alias("bytes"),
-            F.unhex(F.sha1("payload")).alias("sha"),
-        ),
-        "records",
+    read = staged(read_archives(spark, archives), "read")
+    parts = reassemble(read.where("block IS NOT NULL").drop("bytes", "sha", "error"))
+    names = ["record_id", "record_type", "refers_to", "page_id", "first_id", "bytes", "sha", "error"]
+    joined = parts.withColumns(
+        {"bytes": F.octet_length("payload").cast("long"), "sha": F.unhex(F.sha1("payload"))}
     )
+    everything = read.where("block IS NULL").select(*names).unionAll(joined.select(*names))
+    whole = F.when(F.col("error").isNull(), F.col("record_type"))
+    failed = F.raise_error(F.concat("record_id", F.lit(": "), "error"))
+    found = staged(everything.withColumn("record_type", whole.otherwise(failed)).drop("error"), "records")
+    revisits = found.where("record_type = 'revisit'").drop("bytes", "sha")
     responses = found.where("record_type = 'response'")
-    named = found.where("record_type = 'revisit'").drop("bytes", "sha").join(
-        responses.select(F.col("record_id").alias("refers_to"), "bytes", "sha"), "refers_to", "left"
-    )
-    both = responses.select(*found.columns).unionAll(named.select(*found.columns))
+    # Only responses that are named are looked up; names are reduced before they are shuffled.
+    wanted = revisits.select(F.col("refers_to").alias("record_id")).distinct()
+    named = responses.join(wanted, "record_id", "left_semi")
+    named = staged(named.select(F.col("record_id").alias("refers_to"), "bytes", "sha"), "named")
+    again = lookup_join(revisits, named, ["refers_to"], "left", [F.col("record_id")])
+    both = responses.unionByName(again)
     return both.mapInArrow(
-        _described,
+        _shown,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long",
     )
 
 
-def _described(batches):
+def _shown(batches):
     for batch in batches:
         digests = [None if s is None else base64.b32encode(s).decode() for s in batch.column("sha").to_pylist()]
         yield pa.RecordBatch.from_arrays(
