@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType
 
+from tidemark.llm.exact import row_key, unused
 from tidemark.operators.lookup import lookup_join
 from tidemark.session import staged
 
-# Texts of each language that the model is fitted on, and the characters read of each.
+# Different texts of each language that the model is fitted on.
 FIT_TEXTS = 1000
-FIT_CHARS = 4000
 CELLS = 1 << 15
 # Letters of evidence that a text counts for at most: neighbouring letters say the same thing
 # again, so beyond that a longer text does not outvote everything else by more.
@@ -32,51 +32,56 @@ class LanguageModel:
     logs: np.ndarray  # languages x CELLS: log probability of a letter triple
 
 
-def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Letter-triple model per language from at most ``FIT_TEXTS`` labelled texts of each.
+def fit_languages(
+    docs: DataFrame, text: str = "text", lang: str = "lang", texts_per_language: int = FIT_TEXTS
+) -> LanguageModel:
+    """Letter-triple model per language from at most ``texts_per_language`` labelled texts of each.
 
-    The texts are the first by a hash of the text; rows without a label or text do not count.
+    The sample holds the first different texts by a hash of the text, whole; copies count once,
+    so that a large group of them does not become the sample.  Rows without a label or text do
+    not count; without any other rows (an empty table, say) the model knows no language, and
+    whatever it reads is ``und``.  Other columns are ignored.
     """
     labelled = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
-        F.col(lang).alias("lang"),
-        F.substring(text, 1, FIT_CHARS).alias("text"),
-        F.xxhash64(text).alias("h"),
+        F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("h"), F.col(text).cast("binary").alias("text")
     )
-    sizes = staged(labelled.groupBy("lang").agg(F.count("*").alias("rows")), "labelled")
+    known = staged(labelled.select("lang", "h").distinct(), "labelled")
+    sizes = staged(known.groupBy("lang").agg(F.count("*").alias("texts")), "label-sizes")
     # A hash below this share leaves about twice the texts wanted, however many there are.
     share = F.pmod(F.col("h"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    likely = lookup_join(labelled, sizes, ["lang"], "inner", [F.col("h")]).where(
-        share * F.col("rows") < 2 * FIT_TEXTS
+    likely = lookup_join(known, sizes, ["lang"], "inner", [F.col("h")]).where(
+        share * F.col("texts") < 2 * texts_per_language
     )
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    rows = (
-        likely.withColumn("n", F.row_number().over(first))
-        .where(F.col("n") <= FIT_TEXTS)
-        .groupBy("lang")
-        .agg(F.collect_list(F.col("text").cast("binary")).alias("texts"))
-        .mapInPandas(_count_languages, "lang string, counts binary")
-        .orderBy("lang")
-        .collect()
-    )
-    if not rows:
-        raise ValueError("no labelled text to fit a language model on")
-    counts = np.stack([np.frombuffer(r["counts"], np.float64) for r in rows]) + 0.1
-    return LanguageModel(
-        tuple(r["lang"] for r in rows),
-        np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32),
-    )
-
-
-def _count_languages(frames):
-    for frame in frames:
-        counts = []
-        for texts in frame["texts"]:
-            seen = np.zeros(CELLS)
-            for text in texts:
-                cells, letters = letter_cells(np.frombuffer(text, np.uint8))
-                np.add.at(seen, cells[letters], 1.0)
-            counts.append(seen.tobytes())
-        yield frame[["lang"]].assign(counts=counts)
+    first = Window.partitionBy("lang").orderBy("h")
+    chosen = likely.withColumn("n", F.row_number().over(first)).where(F.col("n") <= texts_per_language)
+    chosen = staged(chosen.select("lang", "h"), "chosen")
+    texts = lookup_join(labelled, chosen, ["lang", "h"], "left_semi", [F.monotonically_increasing_id()])
+    once = texts.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    counts = once.select("lang", "text").mapInArrow(_count_triples, "lang string, cell int, n long")
+    # At most CELLS rows a language: the model itself.
+    found = counts.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
+    names = sorted(set(found.column("lang").to_pylist()))
+    seen = np.full((len(names), CELLS), 0.1)
+    rows = np.searchsorted(np.array(names, dtype=object), np.array(found.column("lang").to_pylist(), dtype=object))
+    seen[rows.astype(np.int64), found.column("cell").to_numpy()] += found.column("n").to_numpy()
+    return LanguageModel(tuple(names), np.log(seen / seen.sum(axis=1, keepdims=True)).astype(np.float32))
+
+
+def _count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            seen = held.setdefault(name, np.zeros(CELLS, np.int64))
+            data = text.as_py()
+            for at in range(0, len(data), 1 << 18):
+                cells, letters = letter_cells(np.frombuffer(data[at : at + (1 << 18)], np.uint8))
+                seen += np.bincount(cells[letters], minlength=CELLS)
+    for name, seen in held.items():
+        cells = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(cells), pa.string()), pa.array(cells, pa.int32()), pa.array(seen[cells])],
+            ["lang", "cell", "n"],
+        )
 
 
 def letter_cells(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +243,12 @@ def _fused(
 
 
 def page_languages(pages: DataFrame, model: LanguageModel) -> DataFrame:
-    """``page_id`` and the findings for web pages: text between tags, ``lang`` of the root."""
+    """``page_id`` and the findings for web pages: text between tags, ``lang`` of the root.
+
+    A null or empty page has no letters, so it is ``und`` and not accepted; a null url has no host;
+    null and repeated ids are rows like others; other columns are ignored; no pages, no rows.
+    Whole pages are read, however long.
+    """
     html = F.coalesce(F.col("html"), F.lit(""))
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ")
     tag = F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
@@ -247,11 +257,14 @@ def page_languages(pages: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def documents_in_known_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The documents that are accepted; ``lang`` is what they declare, ``source`` the host."""
-    shown = F.concat_ws(":", F.col("doc_id").cast("string"), F.col("text"))
-    keyed = docs.withColumn("_key", F.unhex(F.sha2(shown, 256)))
-    found = identify_languages(
-        keyed, model, ["_key"], F.col("text"), F.col("lang"), F.col("source")
-    )
-    rejected = staged(found.where(~F.col("accepted")).select("_key").distinct(), "rejected")
-    return lookup_join(keyed, rejected, ["_key"], "left_anti", [F.col("_key")]).drop("_key")
+    """The documents that are accepted; ``lang`` is what they declare, ``source`` the host.
+
+    All columns are returned as they were, also of rows that are there several times: rows with
+    one id and text go if one of them is rejected.  Null and empty texts have no letters and go;
+    null ids, languages and sources are missing evidence only.  An empty table stays empty.
+    """
+    name = unused(docs, "key")
+    keyed = docs.withColumn(name, row_key(F.col("doc_id"), F.col("text")))
+    found = identify_languages(keyed, model, [name], F.col("text"), F.col("lang"), F.col("source"))
+    rejected = staged(found.where(~F.col("accepted")).select(name).distinct(), "rejected")
+    return lookup_join(keyed, rejected, [name], "left_anti", [F.monotonically_increasing_id()]).drop(name)
