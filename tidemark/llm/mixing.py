@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.exact import unused
 from tidemark.operators.lookup import lookup_join
 from tidemark.session import staged
 
@@ -33,30 +34,40 @@ def poisson_mix(
     share of ``epochs`` times all characters; a source without characters is repeated at
     ``epochs``.  The draw inverts the Poisson distribution at a uniform number hashed from seed
     and id, so it is the same on every run, and rows with one id are repeated alike.  A null
-    source is a source; a null id is hashed as such; a null text has no characters.
+    source is a source; a null id is hashed as such; a null text has no characters; whole texts
+    are counted.  An empty table stays empty.
 
     Returns all columns of ``docs`` and ``rate, copies, copy, shuffle_key``; rows are dealt to
     partitions by the key and ordered by it within.
     """
-    rows = docs.drop(*ADDED)
-    rates = staged(source_rates(rows, weights, power, epochs, source, text), "rates")
-    chance = hashed_uniform(F.lit(f"{seed}:"), F.col(doc_id))
-    drawn = lookup_join(
-        rows.withColumns({"_u": chance, "_source": named(F.col(source))}),
-        rates.select("_source", "rate", "_cdf"),
-        ["_source"],
-        "inner",
-        [F.col("_u")],
-    )
-    copies = F.size(F.filter("_cdf", lambda reached: reached < F.col("_u"))).cast("long")
-    counted = drawn.withColumn("copies", copies).drop("_cdf", "_u", "_source").where("copies > 0")
-    repeated = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    key = F.md5(F.concat(F.lit(f"{seed}:"), shown(F.col(doc_id)), F.lit(":"), F.col("copy").cast("string")))
-    return (
-        repeated.withColumn("shuffle_key", key)
-        .repartition("shuffle_key")
-        .sortWithinPartitions("shuffle_key")
-    )
+    drawn, names = _drawn(docs, weights, power, epochs, seed, source, doc_id, text)
+    own = [c for c in docs.columns if c.lower() not in ADDED]
+    return drawn.select(*own, *[F.col(name).alias(added) for added, name in zip(ADDED, names, strict=True)])
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``poisson_mix`` with the columns of ``docs`` alone, all as they were."""
+    defaults = {"weights": None, "power": 0.5, "epochs": 1.0, "seed": 17}
+    drawn, _ = _drawn(docs, *(defaults | how).values(), "source", "doc_id", "text")
+    return drawn.select(*docs.columns)
+
+
+def _drawn(docs, weights, power, epochs, seed, source, doc_id, text) -> tuple[DataFrame, list[str]]:
+    """``docs`` repeated, and the names that its four added columns have here."""
+    rate, copies, copy, key, chance, own, cdf = names = [
+        unused(docs, f"{name}_") for name in (*ADDED, "chance", "own", "cdf")
+    ]
+    rates = staged(source_rates(docs, weights, power, epochs, source, text), "rates")
+    table = rates.select(F.col("_source").alias(own), F.col("rate").alias(rate), F.col("_cdf").alias(cdf))
+    uniform = hashed_uniform(F.lit(f"{seed}:"), F.col(doc_id))
+    rows = docs.withColumns({chance: uniform, own: named(F.col(source))})
+    drawn = lookup_join(rows, table, [own], "inner", [F.col(chance)])
+    number = F.size(F.filter(cdf, lambda reached: reached < F.col(chance))).cast("long")
+    counted = drawn.withColumn(copies, number).drop(cdf, chance, own).where(F.col(copies) > 0)
+    repeated = counted.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    text_key = F.md5(F.concat(F.lit(f"{seed}:"), shown(F.col(doc_id)), F.lit(":"), F.col(copy).cast("string")))
+    dealt = repeated.withColumn(key, text_key).repartition(key).sortWithinPartitions(key)
+    return dealt, names[:4]
 
 
 def source_rates(
