@@ -72,7 +72,8 @@ def format_conversations(
 
     Turns are range-partitioned and summed in two steps, within a range and over ranges, and a
     conversation is cut where its sum passes a multiple of ``CHUNK_WINDOWS`` budgets, so that
-    one with very many turns is spread over tasks.
+    one with very many turns is spread over tasks.  Other columns are ignored, repeated turns are
+    turns of their own, and an empty table gives no windows.
     """
     kind = turns.schema[conv_id].dataType.simpleString()
     length = F.lit(CHUNK_WINDOWS * budget).cast("long")
@@ -88,7 +89,8 @@ def format_conversations(
         placed.groupBy("conv_id")
         .agg(F.max(chunk).alias("chunks"))
         .where(F.col("chunks") > 0)
-        .join(opening, "conv_id")
+        .select(F.col("conv_id").alias("known_id"), "chunks")
+        .join(opening, F.col("known_id").eqNullSafe(F.col("conv_id")))
         .withColumn("chunk", F.explode(F.sequence(F.lit(1).cast("long"), "chunks")))
         .withColumn("use", F.lit(0))
     )
