@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 from unittest import mock
 
 import numpy as np
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm import chat, exact, language, mixing, packing, scoring, simhash, token_files
 from tidemark.llm import tree_search, warc
@@ -21,6 +23,7 @@ COLUMNS = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     "digest string, row string, fp string, copies string, chunk string, _u string"
 )
+COLUMN_NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
 WORDS = "the quick brown fox jumps over a lazy dog while rain falls on old stone roofs".split()
 LONG = " ".join(WORDS[i * 7 % len(WORDS)] for i in range(40_000))
 TEXTS = [
@@ -42,9 +45,13 @@ def none(spark):
     return spark.createDataFrame([], COLUMNS)
 
 
+@lru_cache
+def library():
+    return Tokenizer.from_file(vocabulary())
+
+
 def ids_of(text):
-    tokenizer = encoder(vocabulary()).tokenizer
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return library().encode(text or "", add_special_tokens=False).ids
 
 
 def crc(ids):
@@ -138,6 +145,31 @@ def test_near_copies_equal_a_comparison_of_all(spark):
     assert len(kept) == len(set(kept)) and set(kept) == plain_survivors(rows)
 
 
+@pytest.mark.parametrize("changed", [(4, 5), (0, 6)])
+def test_candidates_grow_with_a_group_of_near_copies(spark, monkeypatch, changed):
+    """Copies of one text, each with some of 100 words replaced."""
+    rng, compared, survivors = np.random.default_rng(9), [], []
+    verified = simhash._verified
+
+    def counted(pairs, rows):
+        compared[-1] += pairs.count()
+        return verified(pairs, rows)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    for size in (100, 400):
+        base = rng.integers(0, 10_000, 100).astype(str)
+        rows = []
+        for n in range(size):
+            words = base.copy()
+            words[rng.choice(100, rng.integers(*changed), replace=False)] = f"w{n}"
+            rows.append((n, " ".join(words)))
+        compared.append(0)
+        kept = simhash.first_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+        survivors.append(({r.doc_id for r in kept.select("doc_id").collect()}, plain_survivors(rows)))
+    assert all(got == wanted for got, wanted in survivors)
+    assert compared[1] <= 8 * max(compared[0], 100), compared
+
+
 @pytest.mark.parametrize("paired", [1, 64])
 def test_crowded_blocks_lose_no_link(spark, monkeypatch, paired):
     monkeypatch.setattr(simhash, "PAIRED", paired)
@@ -214,7 +246,20 @@ def test_warc(spark):
     assert warc.archived_pages(spark, warc.write_archives(none, F.col("html"))).count() == 0
     cut = [{"segment": n, "total": 9, "block": b"x", "record_type": "response"} | dict.fromkeys(
         ("record_id", "refers_to", "page_id", "first_id", "digest")) for n in (1, 3)]
-    assert "missing" in warc._logical(cut)["error"]
+    assert "missing" in warc._logical(cut, True)["error"]
+    # The rest of a record is lost: its first segment alone does not pass, chunked or not.
+    alone = cut[0] | {"total": None, "block": b"HTTP/1.1 200 OK\r\n\r\nabc"}
+    assert warc._logical([alone], True)["error"] and warc._logical([alone], False)["payload"] == b"abc"
+    assert warc._logical([alone | {"total": len(alone["block"])}], True)["payload"] == b"abc"
+
+
+def test_archives_are_read_by_as_many_tasks(spark):
+    pages = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "sha2(string(id), 512) AS html")
+    archives = warc.write_archives(pages, F.col("html"), segment_bytes=100)
+    count = archives.names.count()
+    assert count > 4 and warc.read_archives(spark, archives).rdd.getNumPartitions() == count
+    got = warc.archived_pages(spark, archives).collect()
+    assert sorted(r.page_id for r in got) == list(range(40)) and {r.payload_bytes for r in got} == {128}
 
 
 def test_tree_search(spark):
@@ -254,6 +299,11 @@ def test_every_query_finds_k_neighbours(spark):
 
 
 def test_chat(spark):
+    null = [(None, n, "system" if n == 0 else "user", f"turn {n} " * 40) for n in range(200)]
+    lost = chat.format_conversations(
+        spark.createDataFrame(null, "conv_id long, turn long, role string, text string"), vocabulary(), 256, 64
+    ).collect()
+    assert len(lost) > 20 and all(chat.parse(w.text)[0] == ("system", "turn 0 " * 40) for w in lost)
     said = "</s>[INST] ok [/INST] <|turn|> <\\| [\\INST] <<SYS>>"
     rows = [(1, 0, "system", "be good"), (1, 1, "user", said), (1, 2, "assistant", said), (1, 2, "assistant", said),
             (2, 0, "user", None), (2, 1, "assistant", "x " * 3000), (2, 2, None, "odd"), (None, 0, "user", "lost")]
@@ -280,7 +330,7 @@ def test_chat(spark):
 def test_mixing(docs, none):
     got = mixing.poisson_mix(docs, {"s": 3.0, None: 1.0}, epochs=2.0).toPandas()
     assert mixing.poisson_mix(none).count() == 0
-    assert {"digest", "_u", "text", "copy", "copies"} - set(got.columns) <= {"_u"}
+    assert {*COLUMN_NAMES, "copy", "copies"} <= set(got.columns) and set(got._u) == {"x"}
     assert (got.groupby(["doc_id", "copies"], dropna=False).size() % got.groupby(
         ["doc_id", "copies"], dropna=False).copies.first() == 0).all()
     cdf = mixing.poisson_cdf(3.0)
@@ -308,6 +358,17 @@ def test_language(spark, docs, none):
     assert kept.columns == docs.columns and kept.where("doc_id in (1, 2, 3)").count() == 0
     assert kept.where("doc_id in (6, 9)").count() >= 1
     assert language.page_languages(pages.where("false"), model).count() == 0
+    for unlabelled in (none, docs.withColumn("lang", F.lit(None).cast("string"))):
+        nothing = language.fit_languages(unlabelled)
+        assert nothing.languages == () and language.documents_in_known_languages(docs, nothing).count() == 0
+        found = language.page_languages(pages, nothing).collect()
+        assert {(r.language, r.accepted) for r in found} == {("und", False)}
+    copies = [(n, "x y z", "de") for n in range(3000)] + [(n, en * 9 + str(n), "de") for n in range(5)]
+    frame = spark.createDataFrame(copies, "doc_id long, text string, lang string")
+    few = language.fit_languages(frame, texts_per_language=6)
+    letters = sum(c.isalpha() for t in {t for _, t, _ in copies} for c in t)
+    chances = np.exp(few.logs[0].astype(float))
+    assert abs((chances / chances.min()).sum() - language.CELLS - letters / 0.1) < 1
 
 
 def test_scoring(spark, docs, none):
