@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
@@ -17,15 +17,39 @@ def salts_of(spark: SparkSession) -> int:
 
 
 def fits_broadcast(table: DataFrame) -> bool:
-    """Count rows and text bytes of ``table`` (one distributed aggregate, one row back)."""
-    texts = [f.name for f in table.schema.fields if isinstance(f.dataType, StringType)]
-    width = F.lit(16 * len(table.columns))
-    for name in texts:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    """Count rows and bytes of ``table`` (one distributed aggregate, one row back)."""
+    width = F.lit(16 * len(table.columns)).cast("long")
+    for field in table.schema.fields:
+        own = _extra_bytes(F.col(f"`{field.name}`"), field.dataType)
+        if own is not None:
+            width = width + F.coalesce(own.cast("long"), F.lit(0))
     size = table.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
     return size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
 
 
+def _extra_bytes(column: Column, kind: DataType) -> Column | None:
+    """Bytes of a value beyond a fixed width: of texts, binaries, lists, maps and structures."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.octet_length(column)
+    if isinstance(kind, ArrayType):
+        inner = _extra_bytes(F.lit(None).cast(kind.elementType), kind.elementType)
+        if inner is None:
+            return F.greatest(F.size(column), F.lit(0)) * 16
+        each = F.transform(column, lambda x: 16 + F.coalesce(_extra_bytes(x, kind.elementType).cast("long"), F.lit(0)))
+        return F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a + b)
+    if isinstance(kind, MapType):
+        both = [_extra_bytes(part(column), ArrayType(t)) for part, t in ((F.map_keys, kind.keyType), (F.map_values, kind.valueType))]
+        return both[0] + both[1]
+    if isinstance(kind, StructType):
+        width = F.lit(16 * len(kind.fields)).cast("long")
+        for field in kind.fields:
+            own = _extra_bytes(column[field.name], field.dataType)
+            if own is not None:
+                width = width + F.coalesce(own.cast("long"), F.lit(0))
+        return width
+    return None
+
+
 def lookup_join(
     facts: DataFrame,
     table: DataFrame,
@@ -46,7 +70,10 @@ def lookup_join(
     if small if small is not None else fits_broadcast(table):
         return facts.join(F.broadcast(table), on, how)
     salts = salts_of(facts.sparkSession)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    salt = "_salt"
+    while salt in {c.lower() for c in [*facts.columns, *table.columns]}:
+        salt += "_"
+    salted = facts.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
-    repeated = table.withColumn("_salt", F.explode(every_salt))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    repeated = table.withColumn(salt, F.explode(every_salt))
+    return salted.join(repeated, [*on, salt], how).drop(salt)
