@@ -21,7 +21,11 @@ FORMS = (("data.json", False), ("part-*.json", True))
 
 
 def scan_published(
-    spark: SparkSession, root: str, glob: str | None = None, lines: bool = False
+    spark: SparkSession,
+    root: str,
+    glob: str | None = None,
+    lines: bool = False,
+    on_broken: str = "fail",
 ) -> DataFrame:
     """Rows of every published file below ``root``: documents ``data.json`` and exported lines.
 
@@ -29,16 +33,19 @@ def scan_published(
     one row itself; any other JSON gives no rows, and a missing root an empty table.  With
     ``lines`` every line is such a document, and large files can be split over tasks.
     A value is read as text and converted, so one that is no number is null and costs no other
-    row.  Documents that are not JSON are in ``published_rejects``.
+    row.  A document that is not JSON (cut off, say) fails the read; with ``on_broken="skip"`` it
+    is left out and found in ``published_rejects``.
     """
+    if on_broken not in ("fail", "skip"):
+        raise ValueError(f"unknown way with broken documents: {on_broken}")
     if glob is None:
         return reduce(
-            DataFrame.unionByName, [scan_published(spark, root, *form) for form in FORMS]
+            DataFrame.unionByName, [scan_published(spark, root, *form, on_broken) for form in FORMS]
         )
     documents = _documents(spark, root, glob, lines)
     if documents is None:
         return spark.createDataFrame([], PUBLISHED)
-    rows = documents.select(F.inline(_rows_of(documents)))
+    rows = documents.select(F.inline(_rows_of(documents, on_broken)))
     return rows.withColumn("value", parse_decimal(F.col("value"))).select(*PUBLISHED.fieldNames())
 
 
@@ -54,8 +61,9 @@ def published_rejects(
     if documents is None:
         return spark.createDataFrame([], "path string, document string")
     # Spark reads the text of a broken document only together with another column.
-    broken = F.col("_bad").isNotNull() & F.coalesce(F.size("data") >= -1, F.lit(True))
-    return documents.where(broken).select("path", F.col("_bad").alias("document"))
+    broken = _broken() & F.coalesce(F.size("data") >= -1, F.lit(True))
+    located = documents.withColumn("path", F.col("_metadata.file_path"))
+    return located.where(broken).select("path", F.col("_bad").alias("document"))
 
 
 def _documents(spark: SparkSession, root: str, glob: str, lines: bool) -> DataFrame | None:
@@ -75,16 +83,25 @@ def _documents(spark: SparkSession, root: str, glob: str, lines: bool) -> DataFr
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return files.withColumn("path", F.col("_metadata.file_path"))
+    return files
+
+
+def _broken() -> Column:
+    """Whether a document could not be read because it is no JSON at all."""
+    return F.col("_bad").isNotNull() & F.try_parse_json("_bad").isNull()
 
 
-def _rows_of(documents: DataFrame) -> Column:
+def _rows_of(documents: DataFrame, on_broken: str) -> Column:
     names = PUBLISHED.fieldNames()
     own = F.array(F.struct(*names))
     holds_row = F.coalesce(*names).isNotNull()
-    return F.when(F.col("data").isNotNull(), F.col("data")).when(
+    found = F.when(F.col("data").isNotNull(), F.col("data")).when(
         holds_row & F.col("_bad").isNull(), own
     )
+    if on_broken == "skip":
+        return found
+    text = F.concat(F.lit("a published document is no JSON: "), F.substring("_bad", 1, 200))
+    return F.when(_broken(), F.raise_error(text).cast(documents.schema["data"].dataType)).otherwise(found)
 
 
 def published_rows(observations: DataFrame, **more: Column) -> DataFrame:
