@@ -70,6 +70,72 @@ def unseen_rows(
     return left.join(right, reduce(Column.__and__, same), "left_anti")
 
 
+def merge_outcome(
+    projection: DataFrame, incoming: DataFrame, keys: list[str] | None = None, order: str | None = None
+) -> DataFrame:
+    """The first incoming row of every key, and what a first-write-wins merge makes of it.
+
+    Besides the row's columns there are ``is_stored`` and ``stored_value`` (of the projection's
+    row with the key), and ``batch_rows, least_value, largest_value`` of all incoming rows with
+    it; null values do not count for these two.  ``added_rows`` and ``refused_rows`` read it, so
+    write it once: both come from the shuffle by key that the merge needs anyway, and copies of a
+    key are reduced before it.  Null keys are equal to each other.
+    """
+    keys = keys or KEYS
+    rest = [name for name in incoming.columns if name not in keys]
+    rank = F.struct(order) if order else F.struct(*rest)
+    firsts = incoming.groupBy(*keys).agg(
+        F.min_by(F.struct(*rest), rank).alias("_first"),
+        F.count("*").alias("batch_rows"),
+        F.min("value").alias("least_value"),
+        F.max("value").alias("largest_value"),
+    )
+    known = projection.groupBy(*keys).agg(
+        F.first("value").alias("stored_value"), F.lit(True).alias("is_stored")
+    )
+    left, right = firsts.alias("new"), known.alias("old")
+    same = [F.col(f"new.{key}").eqNullSafe(F.col(f"old.{key}")) for key in keys]
+    return left.join(right, reduce(Column.__and__, same), "left").select(
+        *[F.col(f"new.{key}") for key in keys],
+        "_first.*",
+        F.coalesce("is_stored", F.lit(False)).alias("is_stored"),
+        "stored_value",
+        "batch_rows",
+        "least_value",
+        "largest_value",
+    )
+
+
+def added_rows(outcome: DataFrame) -> DataFrame:
+    """The rows that the merge adds."""
+    extra = ("is_stored", "stored_value", "batch_rows", "least_value", "largest_value")
+    return outcome.where(~F.col("is_stored")).drop(*extra)
+
+
+def refused_rows(outcome: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row per key with another value than the one that stays.
+
+    ``stored_value`` is the value that stays: the projection's (``is_stored``) or that of the
+    key's first incoming row.  ``refused_value`` is the first incoming row's, if the projection
+    had the key; the rest says which values the batch had.  Values are compared with null and NaN
+    equal to themselves, so repeating what is stored is no conflict.
+    """
+    differs = ~F.col("value").eqNullSafe(F.col("stored_value"))
+    within = ~F.col("least_value").eqNullSafe(F.col("largest_value"))
+    found = outcome.where(F.when(F.col("is_stored"), differs | within).otherwise(within))
+    stays = F.when(F.col("is_stored"), F.col("stored_value")).otherwise(F.col("value"))
+    refused = F.when(F.col("is_stored") & differs, F.col("value"))
+    return found.select(
+        *(keys or KEYS),
+        stays.alias("stored_value"),
+        refused.alias("refused_value"),
+        "batch_rows",
+        "least_value",
+        "largest_value",
+        "is_stored",
+    )
+
+
 def merge_as_published(
     projection: DataFrame,
     incoming: DataFrame,

@@ -67,6 +67,24 @@ class DatasetLayout:
     def state_log(self) -> str:
         return f"{self.base}/state_log"
 
+    @property
+    def run_journal(self) -> str:
+        return f"{self.base}/run_journal"
+
+    def marks(self, version_id: str) -> str:
+        return f"{self.version(version_id)}/marks"
+
+    def late_rows(self, version_id: str = "") -> str:
+        """The late rows of a batch, or the folder with those of all."""
+        return f"{self.base}/late_rows" + (f"/batch={version_id}" if version_id else "")
+
+    def frozen_marks(self, catch_up: str) -> str:
+        return f"{self.base}/frozen_marks/{catch_up}"
+
+    def refused(self, version_id: str = "") -> str:
+        """What the merge of a version refused, or the folder with that of all."""
+        return f"{self.base}/refused" + (f"/version_id={version_id}" if version_id else "")
+
     @property
     def update_events(self) -> str:
         return f"{self.base}/update_events"

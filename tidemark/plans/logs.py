@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.incremental import latest_state_rows
 from tidemark.plans.layout import DatasetLayout
-from tidemark.schemas import COMMIT_LOG, PROJECTED_VERSIONS, PUBLISH_LOG, STATE_LOG
+from tidemark.schemas import COMMIT_LOG, PROJECTED_VERSIONS, PUBLISH_LOG, RUN_JOURNAL, STATE_LOG
 from tidemark.session import read_table, remove_path
 
 # Files a log may have before a run folds them into one.
@@ -26,6 +26,7 @@ def compact_logs(spark: SparkSession, layout: DatasetLayout, most_files: int = L
         (layout.projected_versions, PROJECTED_VERSIONS, DataFrame.distinct),
         (layout.publish_log, PUBLISH_LOG, DataFrame.distinct),
         (layout.state_log, STATE_LOG, latest_state_rows),
+        (layout.run_journal, RUN_JOURNAL, DataFrame.distinct),
     ]
     folded = 0
     for path, schema, kept in logs:

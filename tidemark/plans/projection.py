@@ -7,11 +7,20 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.events import update_event, update_subject
 from tidemark.operators.enrich import instant_literal
 from tidemark.operators.lookup import fits_broadcast
-from tidemark.operators.merge import merge_as_published, merge_first_wins, touched_only, unseen_rows
+from tidemark.operators.merge import (
+    added_rows,
+    merge_as_published,
+    merge_first_wins,
+    merge_outcome,
+    refused_rows,
+    touched_only,
+    unseen_rows,
+)
 from tidemark.operators.partitions import write_partitioned
 from tidemark.plans.layout import DatasetLayout
 from tidemark.plans.versions import (
@@ -28,9 +37,10 @@ from tidemark.schemas import (
     MANIFEST,
     PROJECTED_VERSIONS,
     PUBLISH_LOG,
+    REFUSED,
     STORED_OBSERVATIONS,
 )
-from tidemark.session import read_table, remove_path, work_area
+from tidemark.session import read_table, remove_path, staged, work_area
 
 # Versions read in one plan, which grows with them; more are projected in several passes.
 PENDING_AT_ONCE = 32
@@ -63,6 +73,12 @@ def read_projection(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
     )
 
 
+def read_refused(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
+    """Values that merges did not take, with the one that stayed and the version; empty at first."""
+    schema = StructType([*REFUSED.fields, StructField("version_id", StringType())])
+    return read_table(spark, layout.refused(), schema)
+
+
 def project_version(
     spark: SparkSession,
     layout: DatasetLayout,
@@ -71,6 +87,7 @@ def project_version(
     publish: str = "append",
     dedup_new_partitions: bool = True,
     bucket: str | None = None,
+    report_refused: bool = False,
 ) -> bool:
     """Merge one version into the projection, once; True when it was newly projected.
 
@@ -78,9 +95,13 @@ def project_version(
     nothing is rewritten, and repeating a broken run adds only what is still missing.
     ``rewrite`` replaces the touched partitions with merged ones, which also compacts them.
     Partitions new to the projection are de-duplicated unless told otherwise (then rewrite).
+    With ``report_refused`` (append) the values that were not taken are listed as well; see
+    ``read_refused``.
     """
     if publish not in ("append", "rewrite"):
         raise ValueError(f"unknown way to publish: {publish}")
+    if report_refused and (publish != "append" or not dedup_new_partitions):
+        raise ValueError("refused values are listed by an appending merge that removes copies")
     projected = read_table(spark, layout.projected_versions, PROJECTED_VERSIONS)
     if not projected.where(F.col("version_id") == version_id).isEmpty():
         return False
@@ -94,7 +115,7 @@ def project_version(
     few = fits_broadcast(index)
     incoming = read_version(spark, layout, version_id, few)
     unique = bool(facts["unique_keys"])
-    how = (publish, dedup_new_partitions, unique, few)
+    how = (publish, dedup_new_partitions, unique, few, report_refused)
     _merge_in(spark, layout, [version_id], incoming, index, "ord", projected_at, *how)
     _record(spark, layout, [version_id], projected_at)
     if bucket:
@@ -103,7 +124,7 @@ def project_version(
 
 
 def _merge_in(
-    spark, layout, ids, incoming, index, order, projected_at, publish, dedup, unique, few
+    spark, layout, ids, incoming, index, order, projected_at, publish, dedup, unique, few, report=False
 ) -> None:
     """Bring the rows of the versions ``ids`` into the projection; ``order`` says which is first."""
     by = list(layout.partition_columns)
@@ -112,6 +133,14 @@ def _merge_in(
         # Written and one row per file: `points > 0` is what lets it prune projection folders.
         touched = index.where("points > 0").select(*by).distinct()
         base = touched_only(read_projection(spark, layout), touched, by, ["obs_time"], few)
+        if report:
+            # Listed first: a broken merge that is repeated finds the same conflicts.
+            outcome = staged(merge_outcome(base, incoming, order=order), "outcome")
+            listed = refused_rows(outcome).select(*REFUSED.fieldNames())
+            listed.write.mode("overwrite").parquet(layout.refused(ids[-1]))
+            added = added_rows(outcome).select(*STORED_OBSERVATIONS.fieldNames())
+            write_partitioned(added, layout.projections, "append", by)
+            return
         if publish == "append" and dedup:
             # Stored rows always have both keys: the write checks them.
             unseen = unseen_rows(base, incoming, order=order, unique=unique, null_keys=False)

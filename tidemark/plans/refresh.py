@@ -25,9 +25,17 @@ from tidemark.operators.lookup import lookup_join
 from tidemark.operators.normalize import normalize
 from tidemark.plans.layout import DatasetLayout
 from tidemark.plans.logs import compact_logs
-from tidemark.plans.projection import project_current
+from tidemark.plans.projection import project_current, project_version
 from tidemark.plans.versions import commit_version, new_version_id, read_file_index
-from tidemark.schemas import PARTITION_COLUMNS, POINTS, STATE, STATE_LOG
+from tidemark.schemas import (
+    COMMIT_LOG,
+    LATE_ROWS,
+    PARTITION_COLUMNS,
+    POINTS,
+    RUN_JOURNAL,
+    STATE,
+    STATE_LOG,
+)
 from tidemark.session import read_table, staged, work_area
 from tidemark.sources.series import SeriesMap, series_map
 
@@ -160,13 +168,20 @@ def run_refresh(
     bucket: str | None = None,
     late_rows: bool = False,
     version_id: str | None = None,
+    frozen_marks: DataFrame | None = None,
 ) -> RunResult:
     """One run over ``raw`` for the dataset of ``config`` below ``root``.
 
     State is saved after the commit, so rows of a failed run are seen again.  It comes from
     the rows before the time window.  A repeated run (same ``version_id``, by default made from
-    ``run_ts``) commits nothing twice, and what it staged is removed when it ends.  With ``late_rows`` no row is left out for its series'
-    mark: merging alone decides what is new.
+    ``run_ts``) commits nothing twice, and what it staged is removed when it ends.
+
+    A run that broke after its commit is finished first: its version is projected and its marks
+    are saved, so the rows it committed are not taken for new ones (see ``unfinished_runs``).
+
+    With ``late_rows`` no row is left out for its series' mark: merging alone decides what is
+    new.  Those at or before their series' ``frozen_marks``, if given, are listed; see
+    ``read_late_rows``.
     """
     spark = raw.sparkSession
     layout = layout_of(root, config)
@@ -174,18 +189,103 @@ def run_refresh(
     stages = stages or grid_stages(series, config, run_ts)
     version_id = version_id or new_version_id(run_ts)
     with work_area(spark, "run"):
+        finish_runs(spark, layout, run_ts, publish, bucket, monotonic_state)
+        _note(spark, layout, version_id, "started", bool(project), run_ts)
         committed, seen = _commit(
-            raw, config, layout, series, run_ts, stages, as_of, late_rows, version_id
+            raw, config, layout, series, run_ts, stages, as_of, late_rows, version_id, frozen_marks
         )
         projected = project and project_current(
             spark, layout, run_ts, publish=publish, bucket=bucket
         )
         if seen is not None and stages.normalize:
             save_state(seen, layout, run_ts, monotonic_state)
+        if committed:
+            _note(spark, layout, version_id, "saved", bool(project), run_ts)
     compact_logs(spark, layout)
     return RunResult(version_id if committed else None, bool(projected))
 
 
+def run_journal(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
+    """``version_id, phase, project, noted_at``: what the runs of a dataset have reached."""
+    return read_table(spark, layout.run_journal, RUN_JOURNAL).distinct()
+
+
+def unfinished_runs(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
+    """``version_id, commit_seq, project`` of runs that committed a version but saved no marks."""
+    journal = run_journal(spark, layout)
+    saved = journal.where("phase = 'saved'").select("version_id")
+    open_runs = journal.where("phase = 'started'").groupBy("version_id").agg(F.bool_or("project").alias("project"))
+    commits = read_table(spark, layout.commit_log, COMMIT_LOG).groupBy("version_id").agg(
+        F.min("commit_seq").alias("commit_seq")
+    )
+    # A run that committed nothing has nothing to finish: its rows are seen again.
+    left = open_runs.join(saved, "version_id", "left_anti").join(commits, "version_id")
+    return left.select("version_id", "commit_seq", "project")
+
+
+def finish_runs(
+    spark: SparkSession,
+    layout: DatasetLayout,
+    run_ts: datetime,
+    publish: str = "append",
+    bucket: str | None = None,
+    monotonic_state: bool = False,
+) -> list[str]:
+    """Do what is left of broken runs, in the order of their commits; the versions finished.
+
+    Every step can be repeated: a version is projected once, marks saved again are the same, and
+    the journal says that a run is done only after both.
+    """
+    # At most the run before this one, unless several broke while finishing it.
+    left = unfinished_runs(spark, layout).orderBy("commit_seq").collect()
+    for row in left:
+        version_id = row["version_id"]
+        if row["project"]:
+            project_version(spark, layout, version_id, run_ts, publish=publish, bucket=bucket)
+        save_state(version_marks(spark, layout, version_id), layout, run_ts, monotonic_state)
+        _note(spark, layout, version_id, "saved", row["project"], run_ts)
+    return [row["version_id"] for row in left]
+
+
+def _note(spark, layout, version_id, phase, project, noted_at) -> None:
+    spark.range(1).select(
+        F.lit(version_id).alias("version_id"),
+        F.lit(phase).alias("phase"),
+        F.lit(project).alias("project"),
+        instant_literal(noted_at).alias("noted_at"),
+    ).coalesce(1).write.mode("append").parquet(layout.run_journal)
+
+
+def read_late_rows(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
+    """Rows that came after their series' mark had passed them, with the batch that had them."""
+    return read_table(spark, layout.late_rows(), LATE_ROWS)
+
+
+def frozen_marks(spark: SparkSession, layout: DatasetLayout, catch_up: str) -> DataFrame:
+    """The marks as they were when ``catch_up`` began, whatever its batches have saved since.
+
+    The folder is written once, so a catch-up that is started again goes on with the same marks.
+    """
+    path = layout.frozen_marks(catch_up)
+    known = read_table(spark, path, STATE)
+    if not known.inputFiles():
+        load_state(spark, layout).coalesce(1).write.mode("overwrite").parquet(path)
+        known = read_table(spark, path, STATE)
+    return known.select(CODE, MARK)
+
+
+def _list_late(rows: DataFrame, layout: DatasetLayout, version_id: str, marks: DataFrame) -> None:
+    """Write the batch's late rows; a repeated batch replaces them."""
+    joined = lookup_join(rows, marks.where(F.col(MARK).isNotNull()), [CODE], "inner", ["obs_local"])
+    late = joined.where(F.col("obs_local") <= F.col(MARK))
+    columns = [
+        (F.col(f.name) if f.name in late.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in LATE_ROWS.fields
+        if f.name != "batch"
+    ]
+    late.select(*columns).write.mode("overwrite").parquet(layout.late_rows(version_id))
+
+
 def layout_of(root: str, config: dict) -> DatasetLayout:
     """Where the dataset of ``config`` lives; ``partition_columns`` there name its folders."""
     dataset_id = config.get("dataset_id", "default")
@@ -193,7 +293,7 @@ def layout_of(root: str, config: dict) -> DatasetLayout:
 
 
 def _commit(
-    raw, config, layout, series, run_ts, stages, as_of, late_rows, version_id
+    raw, config, layout, series, run_ts, stages, as_of, late_rows, version_id, frozen=None
 ) -> tuple[bool, DataFrame | None]:
     """Whether a version was committed, and the marks of the rows seen."""
     spark = raw.sparkSession
@@ -203,24 +303,43 @@ def _commit(
     else:
         marks = staged(marks_for(load_state(spark, layout), series), "marks")
     rows, final = observations_of(raw, stages, marks)
-    if not stages.keeps_rows and stages.normalize:
+    if frozen is not None and stages.normalize:
+        # Both sinks read the normalised rows as they were written once.
+        rows = staged(rows, "normalized")
+        _list_late(rows, layout, version_id, frozen)
+        final = rows.transform(stages.transform) if stages.transform else rows
+    elif not stages.keeps_rows and stages.normalize:
         # Marks are those of the normalised rows, whatever the transform makes of them.
         rows = staged(rows, "normalized")
         final = rows.transform(stages.transform) if stages.transform else rows
     days = config.get("windowInDays")
     if days is None:
+        seen = None
+        if not stages.keeps_rows and stages.normalize:
+            seen = _kept_marks(rows, layout, version_id)
         committed = commit_version(final, layout, version_id, run_ts, stages.unique_keys)
         if stages.keeps_rows:
-            return committed, _marks_of_version(spark, layout, version_id) if committed else None
-        return committed, high_water_marks(rows) if stages.normalize else None
+            return committed, version_marks(spark, layout, version_id) if committed else None
+        return committed, seen
     # Marks cover rows the window drops, so the rows are written once and read twice.
     final = staged(final, "observations")
+    seen = _kept_marks(final if stages.keeps_rows else rows, layout, version_id)
     recent = within_window(final, days, as_of or run_ts)
     committed = commit_version(recent, layout, version_id, run_ts, stages.unique_keys)
-    return committed, high_water_marks(final if stages.keeps_rows else rows)
+    return committed, seen
+
+
+def _kept_marks(rows: DataFrame, layout: DatasetLayout, version_id: str) -> DataFrame:
+    """Marks that do not follow from the version's rows are written before its commit."""
+    spark = rows.sparkSession
+    high_water_marks(rows).coalesce(1).write.mode("overwrite").parquet(layout.marks(version_id))
+    return version_marks(spark, layout, version_id)
 
 
-def _marks_of_version(spark, layout, version_id) -> DataFrame:
-    """Marks from the file index: the data is not read again."""
+def version_marks(spark: SparkSession, layout: DatasetLayout, version_id: str) -> DataFrame:
+    """The marks of a version's run: those kept beside it, else those of its file index."""
+    kept = read_table(spark, layout.marks(version_id), STATE).select(CODE, MARK)
+    if kept.inputFiles():
+        return kept
     index = read_file_index(spark, layout, version_id)
     return high_water_marks(index.select(CODE, F.col("max_obs_local").alias("obs_local")))

@@ -99,6 +99,26 @@ PROJECTED_VERSIONS = _table(
 
 PUBLISH_LOG = _table(version_id=_TEXT, staging=_TEXT, step=_TEXT, noted_at=_INSTANT)
 
+# What a run of a dataset has reached: `started` before its commit, `saved` after its marks.
+RUN_JOURNAL = _table(version_id=_TEXT, phase=_TEXT, project=_FLAG, noted_at=_INSTANT)
+
+# Rows of a stream that are not after their series' mark at its start.
+LATE_ROWS = StructType(
+    OBSERVATIONS.fields[:4] + _table(last_obs_local=_CLOCK, batch=_TEXT).fields
+)
+
+# Rows that a merge did not take, since their key had another value.
+REFUSED = _table(
+    obs_time=_INSTANT,
+    internal_series_code=_TEXT,
+    stored_value=_DOUBLE,
+    refused_value=_DOUBLE,
+    batch_rows=_LONG,
+    least_value=_DOUBLE,
+    largest_value=_DOUBLE,
+    is_stored=_FLAG,
+)
+
 # One row per data file of a version: everything a manifest says is derived from it.
 FILE_INDEX = _table(
     internal_series_code=_TEXT,

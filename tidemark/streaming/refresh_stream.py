@@ -8,7 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.refresh import Stages, run_refresh
+from tidemark.plans.refresh import Stages, frozen_marks, layout_of, run_refresh
 from tidemark.plans.versions import new_version_id
 
 
@@ -35,11 +35,16 @@ def refresh_stream(
 
     The order in which files arrive does not decide which rows are kept: a row before its
     series' mark is merged like any other, and marks only move on.  (Of rows with one key in
-    several batches, the first one written stays.)  With ``late_rows`` off such rows are
+    several batches, the first one written stays.)  Such rows are listed with their batch as
+    ``read_late_rows`` gives them: those at or before the marks as they were when the stream of
+    this ``epoch`` first began, so the order of files does not decide that either.  With ``late_rows`` off such rows are
     dropped, as a run does.  ``as_of`` gives the end of the time window of a batch from its
     time.
     """
 
+    spark = source.sparkSession
+    marks = frozen_marks(spark, layout_of(root, config), new_version_id(epoch)) if late_rows else None
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         run_ts = datetime.now(timezone.utc)
         run_refresh(
@@ -53,6 +58,7 @@ def refresh_stream(
             monotonic_state=monotonic_state,
             bucket=bucket,
             late_rows=late_rows,
+            frozen_marks=marks,
             version_id=new_version_id(epoch + timedelta(microseconds=batch_id)),
         )
 
