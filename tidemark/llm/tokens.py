@@ -9,8 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 
-# Words that a task keeps encoded, in two tables: when the newer one is half of this, it becomes the
-# older one, whose words move on when they are met again.  That changes no id.
+# Words that a task keeps encoded; a full table is emptied, which changes no id.
 KEPT_WORDS = 500_000
 # Characters that are encoded at once.
 SLICE = 1 << 20
@@ -57,7 +56,6 @@ class TextEncoder:
         self.spaced[[n for t, n in vocabulary.items() if t[0] == chr(SHOWN[32])]] = True
         # By word, with the space before it; a word that begins a line has the line end there.
         self.words: dict[str, bytes | bool] = {}
-        self.older: dict[str, bytes | bool] = {}
         self.marks = {mark: self._plain(mark) for mark in ENDINGS}
         self.line_end = self._plain("\n")
 
@@ -79,13 +77,11 @@ class TextEncoder:
         parts = list(map(self.words.get, words))
         missing = [k for k, part in enumerate(parts) if part is None]
         if missing:
-            wanted, older = {words[k] for k in missing}, self.older
-            learned = {word: older[word] for word in wanted if word in older}
-            learned.update(self._learned(wanted.difference(learned)))
+            learned = self._learned({words[k] for k in missing})
             for k in missing:
                 parts[k] = learned[words[k]]
-            if 2 * (len(self.words) + len(learned)) > KEPT_WORDS:
-                self.older, self.words = self.words, {}
+            if len(self.words) + len(learned) > KEPT_WORDS:
+                self.words.clear()
             self.words.update(learned)
         try:
             return b"".join(parts)[extra:]
