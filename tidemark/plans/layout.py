@@ -12,12 +12,14 @@ class DatasetLayout:
     """``partition_columns`` name the folders of versions and of the projection, outermost first.
 
     Any of the series code, year and month: fewer of them make fewer and larger files.  A
-    dataset keeps those it was first projected with.
+    dataset keeps those it was first projected with.  With ``track_files`` every merge notes what
+    its files hold, so that later ones read only files that overlap them.
     """
 
     root: str
     dataset_id: str
     partition_columns: tuple[str, ...] = tuple(PARTITION_COLUMNS)
+    track_files: bool = False
 
     def __post_init__(self) -> None:
         named = self.partition_columns
@@ -32,8 +34,12 @@ class DatasetLayout:
     def base(self) -> str:
         return f"{self.root.rstrip('/')}/datasets/{self.dataset_id}"
 
+    @property
+    def versions(self) -> str:
+        return f"{self.base}/versions"
+
     def version(self, version_id: str) -> str:
-        return f"{self.base}/versions/{version_id}"
+        return f"{self.versions}/{version_id}"
 
     def data(self, version_id: str) -> str:
         return f"{self.version(version_id)}/data"
@@ -85,6 +91,10 @@ class DatasetLayout:
         """What the merge of a version refused, or the folder with that of all."""
         return f"{self.base}/refused" + (f"/version_id={version_id}" if version_id else "")
 
+    def file_records(self, version_id: str = "") -> str:
+        """What the merge of a version did to the projection's files, or the folder with all."""
+        return f"{self.base}/file_records" + (f"/version_id={version_id}" if version_id else "")
+
     @property
     def update_events(self) -> str:
         return f"{self.base}/update_events"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -22,6 +23,7 @@ from tidemark.operators.merge import (
     unseen_rows,
 )
 from tidemark.operators.partitions import write_partitioned
+from tidemark.plans.files import overlapping_rows, record_files
 from tidemark.plans.layout import DatasetLayout
 from tidemark.plans.versions import (
     current_version,
@@ -117,6 +119,8 @@ def project_version(
     unique = bool(facts["unique_keys"])
     how = (publish, dedup_new_partitions, unique, few, report_refused)
     _merge_in(spark, layout, [version_id], incoming, index, "ord", projected_at, *how)
+    if layout.track_files:
+        record_files(spark, layout, [version_id])
     _record(spark, layout, [version_id], projected_at)
     if bucket:
         announce(spark, layout, [version_id], bucket)
@@ -132,7 +136,11 @@ def _merge_in(
     with work_area(spark, "projecting"):
         # Written and one row per file: `points > 0` is what lets it prune projection folders.
         touched = index.where("points > 0").select(*by).distinct()
-        base = touched_only(read_projection(spark, layout), touched, by, ["obs_time"], few)
+        stored = read_projection(spark, layout)
+        if layout.track_files and publish == "append" and dedup:
+            # Only keys are compared; what replaces partitions needs all of their rows.
+            stored = overlapping_rows(spark, layout, index, few)
+        base = touched_only(stored, touched, by, ["obs_time"], few)
         if report:
             # Listed first: a broken merge that is repeated finds the same conflicts.
             outcome = staged(merge_outcome(base, incoming, order=order), "outcome")
@@ -232,6 +240,40 @@ def announce(
     update_events(versions, bucket).coalesce(1).write.mode("append").json(layout.update_events)
 
 
+def announced_manifests(events: DataFrame, root: str) -> DataFrame:
+    """``subject, bucket, projections_path`` and the manifest each update event points at.
+
+    ``events`` have ``subject, message``; ``root`` is where the bucket's objects are found.  The
+    paths (one per event nobody has taken yet) name the objects to read; a manifest that is not
+    there fails the read, an event announced twice counts once, and a message that names no
+    manifest is left out.  Without events there are no rows.
+    """
+    spark = events.sparkSession
+    kind = "event string, dataset_id string, bucket string, version_manifest_path string, projections_path string"
+    told = events.select("subject", F.from_json("message", kind).alias("told")).select("subject", "told.*")
+    named = "/versions/([^/]+)/manifest[.]json$"
+    told = told.where(F.col("version_manifest_path").rlike(named)).select(
+        "subject", "bucket", "projections_path", "dataset_id", "version_manifest_path",
+        F.regexp_extract("version_manifest_path", named, 1).alias("version_id"),
+    ).distinct()
+    paths = [r[0] for r in told.select("version_manifest_path").distinct().collect()]
+    if not paths:
+        found = spark.createDataFrame([], MANIFEST)
+    else:
+        found = spark.read.schema(MANIFEST).json([f"{root.rstrip('/')}/{one}" for one in paths])
+    return told.drop("version_manifest_path").join(found, ["dataset_id", "version_id"])
+
+
+def read_events(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
+    """``subject, message`` of the update events not yet taken; empty before the first."""
+    try:
+        return spark.read.schema("subject string, message string").json(layout.update_events)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "subject string, message string")
+
+
 def project_current(
     spark: SparkSession, layout: DatasetLayout, projected_at: datetime, **how
 ) -> bool:
@@ -285,6 +327,8 @@ def _project_together(spark, layout, seqs, projected_at, publish, bucket) -> Non
     )
     how = (publish, True, False, few)
     _merge_in(spark, layout, ids, incoming.drop("commit_seq"), index, "turn", projected_at, *how)
+    if layout.track_files:
+        record_files(spark, layout, ids)
     _record(spark, layout, ids, projected_at)
     if bucket:
         announce(spark, layout, ids, bucket)

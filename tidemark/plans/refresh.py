@@ -289,7 +289,8 @@ def _list_late(rows: DataFrame, layout: DatasetLayout, version_id: str, marks: D
 def layout_of(root: str, config: dict) -> DatasetLayout:
     """Where the dataset of ``config`` lives; ``partition_columns`` there name its folders."""
     dataset_id = config.get("dataset_id", "default")
-    return DatasetLayout(root, dataset_id, tuple(config.get("partition_columns", PARTITION_COLUMNS)))
+    folders = tuple(config.get("partition_columns", PARTITION_COLUMNS))
+    return DatasetLayout(root, dataset_id, folders, bool(config.get("track_files", False)))
 
 
 def _commit(

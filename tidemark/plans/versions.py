@@ -24,7 +24,7 @@ from tidemark.schemas import (
     PARTITION_COLUMNS,
     STORED_OBSERVATIONS,
 )
-from tidemark.session import read_table
+from tidemark.session import read_table, write_object
 
 
 def new_version_id(run_ts: datetime) -> str:
@@ -78,7 +78,8 @@ def commit_version(
         unique_keys,
         layout.partition_columns,
     )
-    manifest.coalesce(1).write.mode("overwrite").json(layout.manifest(version_id))
+    # One object, as its path says: whoever is told of the version reads just that.
+    write_object(spark, layout.manifest(version_id), manifest.toJSON().first() + "\n")
     append_commit(spark, layout, version_id, run_ts, known["last_seq"] + 1)
     return True
 
@@ -93,9 +94,9 @@ def as_observations(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame:
+def read_stored(spark: SparkSession, path: str, **options) -> DataFrame:
     """A partitioned observation table, with ``_metadata`` still reachable."""
-    return spark.read.schema(STORED_OBSERVATIONS).parquet(path)
+    return spark.read.schema(STORED_OBSERVATIONS).options(**options).parquet(path)
 
 
 def read_file_index(spark: SparkSession, layout: DatasetLayout, version_id: str) -> DataFrame:

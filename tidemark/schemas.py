@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     DataType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -102,6 +103,24 @@ PUBLISH_LOG = _table(version_id=_TEXT, staging=_TEXT, step=_TEXT, noted_at=_INST
 # What a run of a dataset has reached: `started` before its commit, `saved` after its marks.
 RUN_JOURNAL = _table(version_id=_TEXT, phase=_TEXT, project=_FLAG, noted_at=_INSTANT)
 
+# What lies in the files of a projection, per series and month: `change` is 1 in the record of the
+# merge that brought the file and -1 in that of the one that took it away.  A row with `change` 0
+# names a version that the merge brought in.
+FILE_RECORDS = _table(
+    turn=_LONG,
+    change=_INT,
+    merged_id=_TEXT,
+    file=_TEXT,
+    internal_series_code=_TEXT,
+    year=_INT,
+    month=_TEXT,
+    points=_LONG,
+    min_obs_time=_INSTANT,
+    max_obs_time=_INSTANT,
+    key_sum=DecimalType(38, 0),
+    row_sum=DecimalType(38, 0),
+)
+
 # Rows of a stream that are not after their series' mark at its start.
 LATE_ROWS = StructType(
     OBSERVATIONS.fields[:4] + _table(last_obs_local=_CLOCK, batch=_TEXT).fields

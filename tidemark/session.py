@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,7 @@ from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 RUNTIME_SETTINGS = {
@@ -102,6 +104,51 @@ def work_area(spark: SparkSession, label: str) -> Iterator[str]:
         remove_path(spark, path)
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """``file_path, bytes, modified`` of every data file below ``path``, as a written table.
+
+    Nothing is opened.  No files, or no such folder: no rows.  Files and folders whose names begin
+    with ``_`` or ``.`` are no data.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = reader.option("pathGlobFilter", pattern).load(path).select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_size").alias("bytes"),
+            F.col("_metadata.file_modification_time").alias("modified"),
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file_path string, bytes bigint, modified timestamp")
+    # Names only are read, so the files' sizes must not decide how many tasks that takes.
+    with settings(spark, spark__sql__files__maxPartitionBytes="1t", spark__sql__files__openCostInBytes="0"):
+        return staged(found, "listing")
+
+
+def folder_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names directly below ``path`` that match the whole ``pattern``, hidden content or not."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(target)]
+    return sorted(name for name in names if re.fullmatch(pattern, name))
+
+
+def write_object(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small object; what was there is replaced."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(target):
+        system.delete(target, True)
+    out = system.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder this library wrote; one that is not there is fine."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
