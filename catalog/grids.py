@@ -86,6 +86,27 @@ def decode_workbooks(spark, sf_dir):
     return landing.decode_workbooks(files, _workbook_name())
 
 
+@query(f"""
+WITH e AS (SELECT printf('W%06d.xlsx', event_id // {_ROWS}) AS source_id, event_type AS sheet,
+                  (event_id % {_ROWS} + 2)::INTEGER AS row, date_trunc('second', ts) AS ts,
+                  value, 'u' || user_id AS note FROM events WHERE event_type IN ('click', 'view')),
+heads AS (SELECT DISTINCT source_id, sheet FROM e)
+SELECT source_id, sheet, row, 0::INTEGER AS col, ts, NULL::DOUBLE AS num, NULL AS str FROM e
+UNION ALL SELECT source_id, sheet, row, 1, NULL, value, NULL FROM e WHERE sheet = 'click'
+UNION ALL SELECT source_id, sheet, row, 2, NULL, NULL, note FROM e WHERE sheet = 'view'
+UNION ALL SELECT source_id, sheet, 1, 2, NULL, NULL, '=note' FROM heads""")
+def decode_selected_sheets(spark, sf_dir):
+    """Two columns of two sheets, and the corner that shows how wide each sheet is."""
+    files = landing.scan_landing(spark, _land_workbooks(spark, sf_dir), "*.txt")
+    wanted = [
+        {"internal_series_code": "C", "sheet": "click", "header_row": 1, "date_col": "A", "value_col": "B"},
+        {"internal_series_code": "V", "sheet": "view", "header_row": 1, "date_col": "a", "value_col": "C"},
+        {"internal_series_code": "N", "sheet": "none", "fecha_row": 1, "valor_row": 2},
+    ]
+    series = series_map(spark, {"parse_config": {"series_map": wanted}})
+    return landing.decode_selected(files, series, _workbook_name())
+
+
 @query(f"""
 SELECT DISTINCT printf('W%06d.xlsx', event_id // {_ROWS}) AS source_id, 'BadZipFile' AS kind
 FROM events WHERE (event_id // {_ROWS}) % 2 = 1""")

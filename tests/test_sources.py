@@ -1,3 +1,4 @@
+import io
 import json
 import zipfile
 from datetime import datetime
@@ -12,7 +13,7 @@ from tidemark.sources import landing
 from tidemark.sources.landing import decode_workbooks, scan_landing
 from tidemark.sources.published import scan_published
 from tidemark.sources.series import series_map
-from tidemark.sources.workbook import read_cells
+from tidemark.sources.workbook import cut_units, read_cells, unit_cells
 
 WHEN = datetime(2024, 3, 1, 10, 30)
 
@@ -88,8 +89,6 @@ def test_date_serials(serial, flag, expected):
 
 
 def _changed(raw, old, new, flag):
-    import io
-
     source, out = zipfile.ZipFile(io.BytesIO(raw)), io.BytesIO()
     with zipfile.ZipFile(out, "w") as target:
         for name in source.namelist():
@@ -164,3 +163,83 @@ def test_broken_workbooks_are_reported_and_skipped_names_listed(spark, folder):
     assert {r.source_id for r in landing.good_cells(decoded).collect()} == {"a.xlsx", "B.XLSX"}
     skipped = landing.landing_skipped(spark, folder).collect()
     assert [r.path.rsplit("/", 1)[-1] for r in skipped] == ["d.xls"]
+
+
+SELECTED = [
+    {CODE: "V", "sheet": "down", "header_row": 2, "date_col": "A", "value_col": "C", "drop_na": True},
+    {CODE: "B", "sheet": "down", "header_row": 3, "date_col": "b", "value_col": "D"},
+    {CODE: "H", "sheet": "across", "fecha_row": 2, "fecha_start_col": "B", "valor_row": 4, "valor_start_col": "C"},
+    {CODE: "I", "sheet": "across", "fecha_row": 2, "fecha_start_col": "B", "valor_row": 5, "valor_start_col": "B",
+     "drop_na": True},
+    {CODE: "M", "sheet": "absent", "header_row": 1, "date_col": "A", "value_col": "B"},
+]
+
+
+def many_sheets(number):
+    down = {n: [WHEN, None if n % 3 else WHEN, f"{n},5", n / 2, "more", n] for n in range(1, 12)}
+    down |= {13: [], 14: [None, None, None, None, None, None, "wide"], 15: [None, None, None, None, "low"], 17: []}
+    across = {1: ["x"] * 9, 2: [None, WHEN, WHEN, WHEN], 4: ["=v", None, 1.0, "2,5"], 5: [None, 4, 5], 9: [None, "end"]}
+    return {"first": {1: [number]}, "down": down, "across": across, "empty": {}, "last": {1: ["text", WHEN]}}
+
+
+def test_selected_cells_give_the_same_points(spark, folder):
+    from tidemark.operators.grid import extract_points, missing_sheets
+
+    for n in range(3):
+        (Path(folder) / f"{n}.xlsx").write_bytes(workbook_bytes(many_sheets(n)))
+    (Path(folder) / "4.xlsx").write_bytes(workbook_bytes({"down": {1: ["a"]}, "absent": {}}))
+    series = series_map(spark, {"parse_config": {"series_map": SELECTED}})
+    files = scan_landing(spark, folder)
+    every = staged(decode_workbooks(files), "every")
+    some = staged(landing.decode_selected(files, series, tasks=8), "some")
+    assert some.exceptAll(every).isEmpty() and some.count() < 0.7 * every.count()
+    for build in (lambda cells: extract_points(cells, series), lambda cells: missing_sheets(cells, series)):
+        ours, theirs = build(some), build(every)
+        assert ours.count() > 3
+        assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    no_series = series_map(spark, {})
+    assert landing.decode_selected(files, no_series).isEmpty()
+    assert landing.decode_selected(files.where("false"), series).isEmpty()
+
+
+def test_one_workbook_is_spread_over_tasks(spark, folder):
+    from pyspark.sql import functions as F
+
+    sheets = {f"s{n}": {row: [WHEN, row + n / 7] for row in range(1, 60)} for n in range(40)}
+    (Path(folder) / "one.xlsx").write_bytes(workbook_bytes(sheets))
+    entries = [{CODE: f"c{n}", "sheet": f"s{n}", "header_row": 1, "date_col": "A", "value_col": "B"} for n in range(40)]
+    series = series_map(spark, {"parse_config": {"series_map": entries}})
+    files = scan_landing(spark, folder)
+    assert landing.workbook_units(files).select(F.explode("sheets")).count() == 40
+    cells = landing.decode_selected(files, series, tasks=8)
+    by_task = cells.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("sheet").alias("sheets")).collect()
+    assert len(by_task) >= 6 and sum(r.sheets for r in by_task) == 40
+    # Shared texts go along only until the sheets weigh as much.
+    words = workbook_bytes({f"s{n}": {1: [f"text {n} {k} {n * k * 7919}" for k in range(50)]} for n in range(30)})
+    units = list(cut_units(words))
+    assert sum(len(u.strings[0]) for u in units) <= len(words) and len(units) > 1
+
+
+def test_other_sheets_stay_packed_and_damage_is_found():
+    raw = workbook_bytes({"bad": {n: [n, "x"] for n in range(1, 50)}, "good": {1: [1.0, 2.0, "t"]}})
+    with zipfile.ZipFile(io.BytesIO(raw)) as book:
+        info = book.getinfo("xl/worksheets/sheet1.xml")
+    at = info.header_offset + 30 + len(info.filename) + info.compress_size // 2
+    broken = raw[:at] + bytes([raw[at] ^ 255]) + raw[at + 1 :]
+    with pytest.raises(Exception):
+        list(read_cells(broken))
+    good = [c for u in cut_units(broken, {"good"}) for c in unit_cells(u)]
+    assert good == [c for c in read_cells(raw) if c[0] == "good"]
+    with pytest.raises(Exception):
+        [c for u in cut_units(broken, {"bad"}) for c in unit_cells(u)]
+    stored = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(raw)) as book, zipfile.ZipFile(stored, "w") as plain:
+        for name in book.namelist():
+            plain.writestr(name, book.read(name))
+    assert [c for u in cut_units(stored.getvalue()) for c in unit_cells(u)] == list(read_cells(raw))
+    # A member that is whole by its lengths but not by its checksum.
+    unit = next(cut_units(stored.getvalue(), {"good"}))
+    (name, (packed, deflated, crc)), = unit.sheets
+    unit.sheets = [(name, (packed.replace(b"<v>2.0</v>", b"<v>3.0</v>"), deflated, crc))]
+    with pytest.raises(zipfile.BadZipFile, match="checksum"):
+        list(unit_cells(unit))

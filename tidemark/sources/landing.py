@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +12,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.lookup import lookup_join
 from tidemark.schemas import CELLS
-from tidemark.sources.workbook import read_cells
+from tidemark.sources.series import SeriesMap
+from tidemark.sources.workbook import Unit, Wanted, column_number, cut_units, read_cells, unit_cells
 
 _CELLS_PER_BATCH = 50_000
 WORKBOOKS = "*.[xX][lL][sS][xXmM]"
 DECODED = StructType([*CELLS.fields, StructField("error", StringType())])
+_PART = "struct<packed: binary, deflated: boolean, crc: bigint>"
+UNITS = (
+    f"source_id string, unit int, sheets array<struct<sheet: string, part: {_PART}>>, "
+    f"strings {_PART}, styles {_PART}, calendar int"
+)
 
 
 def scan_landing(spark: SparkSession, root: str, glob: str = WORKBOOKS) -> DataFrame:
@@ -51,6 +58,65 @@ def decode_workbooks(payloads: DataFrame, source_id: Column | None = None) -> Da
     return named.mapInPandas(_decode, CELLS)
 
 
+def wanted_cells(series: SeriesMap) -> dict[str, Wanted]:
+    """By sheet, the cells that the configured series are made of, in either layout."""
+    wanted: dict[str, Wanted] = {}
+    for entry in series.entries:
+        if entry["sheet"] is None:
+            continue
+        sheet = wanted.setdefault(entry["sheet"], Wanted())
+        if entry["layout"] == "vertical":
+            header, skipped = entry["header_row"], entry["skip_rows_after_header"]
+            for letters in (entry["date_col"], entry["value_col"]):
+                if None not in (letters, header):
+                    sheet.add_column(column_number(letters), header + skipped)
+        else:
+            for kind in ("fecha", "valor"):
+                row, letters = entry[f"{kind}_row"], entry[f"{kind}_start_col"]
+                if None not in (row, letters):
+                    sheet.add_row(row, column_number(letters))
+    return wanted
+
+
+def workbook_units(
+    payloads: DataFrame, names: list[str] | None = None, source_id: Column | None = None
+) -> DataFrame:
+    """Workbooks cut to units of some worksheets, still packed; sheets without one of ``names`` go.
+
+    Only the archive's directory and its list of sheets are read.
+    """
+    named = payloads.select(
+        (source_id if source_id is not None else file_name(F.col("path"))).alias("source_id"),
+        "content",
+    )
+    kept = set(names) if names is not None else None
+    return named.mapInPandas(lambda batches: _cut(batches, kept), UNITS)
+
+
+def decode_selected(
+    payloads: DataFrame,
+    series: SeriesMap,
+    source_id: Column | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
+    """The cells that ``series`` needs: other sheets stay packed, other cells are not converted.
+
+    Both grid layouts give the same points from these cells as from all, and
+    ``missing_sheets`` the same sheets: a sheet's corners are among them.  Work is dealt by unit
+    (``workbook_units``), so a workbook of many sheets keeps several tasks busy; what is
+    shuffled is packed, at most twice the wanted part of the files.  A sheet is read in one
+    task, as a stream.  ``tasks`` is by default the number of shuffle partitions or cores,
+    whichever is larger.  No payloads, no sheets or no series: no cells.
+    """
+    spark = payloads.sparkSession
+    wanted = wanted_cells(series)
+    units = workbook_units(payloads, sorted(wanted), source_id)
+    if tasks is None:
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = units.repartition(tasks, "source_id", "unit")
+    return dealt.mapInPandas(lambda batches: _decode_units(batches, wanted), CELLS)
+
+
 def decode_isolated(payloads: DataFrame, source_id: Column | None = None) -> DataFrame:
     """Like ``decode_workbooks``, but a broken file gives a row with its ``error`` instead of failing.
 
@@ -87,18 +153,41 @@ def _decode_isolated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield bad.assign(row=0, col=0, error=f"{type(error).__name__}: {error}")
 
 
+def _cut(batches: Iterator[pd.DataFrame], names: set[str] | None) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for source, content in zip(batch["source_id"], batch["content"]):
+            for number, unit in enumerate(cut_units(content, names)):
+                sheets = [{"sheet": name, "part": _part_row(part)} for name, part in unit.sheets]
+                row = (source, number, sheets, _part_row(unit.strings), _part_row(unit.styles), unit.calendar)
+                yield pd.DataFrame([row], columns=["source_id", "unit", "sheets", "strings", "styles", "calendar"])
+
+
+def _part_row(part: tuple[bytes, bool, int] | None) -> dict | None:
+    return None if part is None else dict(zip(("packed", "deflated", "crc"), part))
+
+
+def _part(row) -> tuple[bytes, bool, int] | None:
+    return None if row is None else (row["packed"], row["deflated"], row["crc"])
+
+
+def _decode_units(batches: Iterator[pd.DataFrame], wanted: dict[str, Wanted]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for row in batch.to_dict("records"):
+            sheets = [(sheet["sheet"], _part(sheet["part"])) for sheet in row["sheets"]]
+            unit = Unit(sheets, _part(row["strings"]), _part(row["styles"]), row["calendar"])
+            yield from _in_frames(row["source_id"], unit_cells(unit, wanted))
+
+
+def _in_frames(source: str, cells: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    columns = CELLS.fieldNames()
+    while rows := [(source, *cell) for cell in islice(cells, _CELLS_PER_BATCH)]:
+        yield _frame(rows, columns)
+
+
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [field.name for field in CELLS.fields]
     for batch in batches:
         for source, content in zip(batch["source_id"], batch["content"]):
-            rows = []
-            for cell in read_cells(content):
-                rows.append((source, *cell))
-                if len(rows) >= _CELLS_PER_BATCH:
-                    yield _frame(rows, columns)
-                    rows = []
-            if rows:
-                yield _frame(rows, columns)
+            yield from _in_frames(source, read_cells(content))
 
 
 def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
