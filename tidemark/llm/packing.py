@@ -39,7 +39,8 @@ def pack_documents(
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``, a row per piece.
 
     Each row's text (null: empty) is encoded whole and ``end_id`` added; repeated rows are
-    packed as often as they occur.  A document is cut into whole windows, one piece that is a
+    packed as often as they occur, and a null id stays null.  An empty text is its ``end_id``
+    alone; other columns are ignored; an empty table gives no pieces.  A document is cut into whole windows, one piece that is a
     multiple of ``grain``, and a rest.  Combinations of at most ``depth`` pieces that fill a
     window are enumerated, how often each is used is solved against the histogram of lengths by
     non-negative least squares and rounded, and what is left is packed greedily, longest piece

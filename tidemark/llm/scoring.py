@@ -48,7 +48,9 @@ def cross_entropy_difference(
     out of both models.  Losses are nats per word; ``score`` is target less background, so low
     scores are like the target; without words (or text) losses are null.
 
-    Words stand between ASCII white space, A-Z lower-cased.  Repeated rows are rows of their own.
+    Words stand between ASCII white space, A-Z lower-cased.  Repeated rows are rows of their own,
+    null ids stay null, texts are read whole, other columns are ignored, and an empty table gives
+    no rows.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),

@@ -158,7 +158,9 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable over links between fingerprints (equal ones
     are linked); ``n_links`` counts the other fingerprints linked directly in candidate blocks.
     Rows without an id take part, but give no component id; if a component has no other rows
-    it is null.  Other columns of ``docs`` are ignored.
+    it is null.  Null and empty texts have no words, the fingerprint zero, and are linked like
+    any others; repeated rows are rows of their own.  Whole texts are read, however long; other
+    columns of ``docs`` are ignored; an empty table gives no rows.
     """
     rows = staged(fingerprints(docs, text, doc_id, shingle), "fingerprints")
     members = component_of(rows, distance, blocks)

@@ -49,7 +49,8 @@ def write_token_files(
 ) -> TokenFiles:
     """Encode every whole text (null: empty), add ``end_id``, write in ascending id order.
 
-    Null ids come first; rows with one id are ordered by a hash of the text.  The documents are
+    Null ids come first; rows with one id are ordered by a hash of the text, and each is a
+    document.  Other columns are ignored; an empty table gives no parts.  The documents are
     range-partitioned, and every task streams its range into one part.
     """
     target = folder or shared_folder(docs.sparkSession, "tokens")
@@ -98,7 +99,8 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files alone.
 
     A part's base is the sum of the parts before it: one number per part is added up on the
-    driver, as many as the writing had tasks.
+    driver, as many as the writing had tasks.  Repeated documents are there as often as they were
+    written, null ids are null again, and without parts there are no rows.
     """
     parts = files.parts.orderBy("part").collect()
     bases = accumulate((p["tokens"] for p in parts), initial=0)

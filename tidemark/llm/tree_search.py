@@ -155,6 +155,8 @@ def nearest_neighbours(
     candidates are all other rows.  Rows that are null, zero, not finite or without id take no
     part, nor do rows whose length is not the most frequent one (of equally frequent ones the
     longest).  Rows with a repeated id count one by one, but never for queries with that id.
+    Equal scores are ranked by id; other columns are ignored; without rows that take part (an
+    empty table, say) or without queries there are no neighbours.
 
     The tree is fitted on at most ``FIT_VECTORS`` rows, the first by a hash of their ids, and
     every row is put into a leaf.  For ``CALIBRATION`` queries the true neighbours among all

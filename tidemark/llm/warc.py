@@ -63,6 +63,7 @@ def write_archives(
     larger than all others, and of rows with one id one is chosen); revisits name it and carry
     no payload.  Payloads (null: empty) are framed as HTTP responses in chunks; a block longer
     than ``segment_bytes`` is continued in further records, which may be in later archives.
+    A null url is empty; other columns are ignored; without pages there are no archives.
     """
     body = F.coalesce(payload.cast("binary"), F.lit("").cast("binary"))
     rows = staged(
