@@ -20,7 +20,7 @@ from catalog.shapes import (
     points,
     wall,
 )
-from tidemark.functions.paths import month_text
+from tidemark.functions.paths import month_text, partition_folder
 from tidemark.functions.times import iso_text, to_instant
 from tidemark.operators.enrich import enrich, instant_literal
 from tidemark.operators.incremental import only_new
@@ -285,6 +285,53 @@ def partition_columns(spark, sf_dir):
     return found[0].unionAll(found[1]).unionAll(found[2])
 
 
+@query(f"""
+WITH {OBS_SQL}, numbered AS (SELECT *, ord % 3 AS n FROM obs)
+SELECT 'v20240201_1' || (2 + n) || '3015_250000' AS version_id, code AS internal_series_code,
+       year(clk)::INTEGER AS year, count(DISTINCT clk)::BIGINT AS points, true AS all_listed
+FROM numbered GROUP BY ALL""")
+def version_files(spark, sf_dir):
+    """Points in the files that each version lists; every stored file is listed and none else."""
+    layout = _project_pending(spark, sf_dir, (CODE, "year"), "append")
+    ids = [r["version_id"] for r in versions.committed_versions(spark, layout).collect()]  # three
+    found = []
+    for one in ids:
+        listed = versions.version_files(versions.read_file_index(spark, layout, one), layout.partition_columns)
+        name = F.col("_metadata.file_name")
+        folder = partition_folder(layout.partition_columns)
+        stored = versions.read_stored(spark, layout.data(one)).withColumn("file", F.concat(folder, name))
+        files = stored.groupBy("file", CODE, "year").agg(F.count("*").alias("points"))
+        both = files.join(listed.withColumn("listed", F.lit(True)), "file", "full")
+        ok = F.col("listed").isNotNull() & F.col("points").isNotNull()
+        found.append(
+            both.groupBy(F.lit(one).alias("version_id"), CODE, "year").agg(
+                F.sum("points").alias("points"), F.bool_and(ok).alias("all_listed")
+            )
+        )
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
+@query(f"""
+WITH {OBS_SQL}
+SELECT 'events' AS dataset_id, 'v20240201_1' || (2 + n) || '3015_250000' AS version_id,
+       (3 - n)::BIGINT AS place
+FROM (SELECT DISTINCT ord % 3 AS n FROM obs)""")
+def list_committed(spark, sf_dir):
+    """The committed versions, newest first; one without rows and one repeated add nothing."""
+    layout = _project_pending(spark, sf_dir, (CODE, "year"), "append")
+    rows = points(spark, sf_dir)
+    again = _final_rows(spark, sf_dir, rows.where("ord % 3 = 0"))
+    versions.commit_version(again, layout, versions.new_version_id(RUN_TS), RUN_TS)
+    later = RUN_TS + timedelta(days=1)
+    nothing = _final_rows(spark, sf_dir, rows.where("false"))
+    versions.commit_version(nothing, layout, versions.new_version_id(later), later)
+    listed = versions.committed_versions(spark, layout).collect()  # a row per version
+    return spark.createDataFrame(
+        [(r["dataset_id"], r["version_id"], n) for n, r in enumerate(listed, 1)],
+        "dataset_id string, version_id string, place bigint",
+    )
+
+
 @query("""
 SELECT DISTINCT o_orderstatus AS internal_series_code, year(o_orderdate)::INTEGER AS year,
        printf('%02d', month(o_orderdate)) AS month
