@@ -243,3 +243,28 @@ def test_other_sheets_stay_packed_and_damage_is_found():
     unit.sheets = [(name, (packed.replace(b"<v>2.0</v>", b"<v>3.0</v>"), deflated, crc))]
     with pytest.raises(zipfile.BadZipFile, match="checksum"):
         list(unit_cells(unit))
+
+
+def test_selected_cells_of_broken_workbooks(spark, folder):
+    series = series_map(spark, {"parse_config": {"series_map": SELECTED}})
+    whole = workbook_bytes(many_sheets(1))
+    with zipfile.ZipFile(io.BytesIO(whole)) as book:
+        places = {name: book.getinfo(name) for name in book.namelist()}
+
+    def damaged(part):
+        info = places[f"xl/{part}.xml"]
+        at = info.header_offset + 30 + len(info.filename) + info.compress_size // 2
+        return whole[:at] + bytes([whole[at] ^ 255]) + whole[at + 1 :]
+
+    contents = {"good": whole, "cut": whole[:300], "no zip": b"", "unread": damaged("worksheets/sheet1"),
+                "sheet": damaged("worksheets/sheet2"), "texts": damaged("sharedStrings")}
+    files = spark.createDataFrame([(f"{k}.xlsx", bytearray(v)) for k, v in contents.items()], "path string, content binary")
+    decoded = staged(landing.decode_selected(files, series, tasks=4, isolated=True), "decoded")
+    broken = {r.source_id for r in landing.rejected_workbooks(decoded).collect()}
+    assert broken == {"cut.xlsx", "no zip.xlsx", "sheet.xlsx", "texts.xlsx"}
+    cells = landing.good_cells(decoded)
+    every = decode_workbooks(files.where("path = 'good.xlsx'"))
+    assert {r.source_id for r in cells.collect()} == {"good.xlsx", "unread.xlsx"}
+    assert cells.where("source_id = 'good.xlsx'").exceptAll(every).isEmpty()
+    with pytest.raises(Exception, match="zip"):
+        landing.decode_selected(files, series, tasks=4).collect()

@@ -21,7 +21,7 @@ DECODED = StructType([*CELLS.fields, StructField("error", StringType())])
 _PART = "struct<packed: binary, deflated: boolean, crc: bigint>"
 UNITS = (
     f"source_id string, unit int, sheets array<struct<sheet: string, part: {_PART}>>, "
-    f"strings {_PART}, styles {_PART}, calendar int"
+    f"strings {_PART}, styles {_PART}, calendar int, error string"
 )
 
 
@@ -79,18 +79,22 @@ def wanted_cells(series: SeriesMap) -> dict[str, Wanted]:
 
 
 def workbook_units(
-    payloads: DataFrame, names: list[str] | None = None, source_id: Column | None = None
+    payloads: DataFrame,
+    names: list[str] | None = None,
+    source_id: Column | None = None,
+    isolated: bool = False,
 ) -> DataFrame:
     """Workbooks cut to units of some worksheets, still packed; sheets without one of ``names`` go.
 
-    Only the archive's directory and its list of sheets are read.
+    Only the archive's directory and its list of sheets are read.  What cannot be read fails, or
+    if ``isolated`` is a unit without sheets that has the ``error``.
     """
     named = payloads.select(
         (source_id if source_id is not None else file_name(F.col("path"))).alias("source_id"),
         "content",
     )
     kept = set(names) if names is not None else None
-    return named.mapInPandas(lambda batches: _cut(batches, kept), UNITS)
+    return named.mapInPandas(lambda batches: _cut(batches, kept, isolated), UNITS)
 
 
 def decode_selected(
@@ -98,6 +102,7 @@ def decode_selected(
     series: SeriesMap,
     source_id: Column | None = None,
     tasks: int | None = None,
+    isolated: bool = False,
 ) -> DataFrame:
     """The cells that ``series`` needs: other sheets stay packed, other cells are not converted.
 
@@ -107,14 +112,19 @@ def decode_selected(
     shuffled is packed, at most twice the wanted part of the files.  A sheet is read in one
     task, as a stream.  ``tasks`` is by default the number of shuffle partitions or cores,
     whichever is larger.  No payloads, no sheets or no series: no cells.
+
+    A broken workbook fails the job; if ``isolated`` it gives rows with its ``error`` as in
+    ``decode_isolated``, for ``good_cells`` and ``rejected_workbooks``.  Sheets that no series
+    names are not looked at, so damage to them is not noticed.
     """
     spark = payloads.sparkSession
     wanted = wanted_cells(series)
-    units = workbook_units(payloads, sorted(wanted), source_id)
+    units = workbook_units(payloads, sorted(wanted), source_id, isolated)
     if tasks is None:
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     dealt = units.repartition(tasks, "source_id", "unit")
-    return dealt.mapInPandas(lambda batches: _decode_units(batches, wanted), CELLS)
+    decode = _decode_units_isolated if isolated else _decode_units
+    return dealt.mapInPandas(lambda batches: decode(batches, wanted), DECODED if isolated else CELLS)
 
 
 def decode_isolated(payloads: DataFrame, source_id: Column | None = None) -> DataFrame:
@@ -143,23 +153,39 @@ def good_cells(decoded: DataFrame) -> DataFrame:
 
 def _decode_isolated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for number in range(len(batch)):
-            one = batch.iloc[number : number + 1]
-            try:
-                for frame in _decode(iter([one])):
-                    yield frame.assign(error=None)
-            except Exception as error:  # whatever is wrong with the file, its name is reported
-                bad = _frame([(one["source_id"].iloc[0], *[None] * 6)], CELLS.fieldNames())
-                yield bad.assign(row=0, col=0, error=f"{type(error).__name__}: {error}")
+        for source, content in zip(batch["source_id"], batch["content"]):
+            yield from _reported(source, _in_frames(source, read_cells(content)))
+
+
+def _reported(source: str, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    try:
+        for frame in frames:
+            yield frame.assign(error=None)
+    except Exception as error:  # whatever is wrong with the file, its name is reported
+        yield _error_frame(source, _named_error(error))
+
+
+def _named_error(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}"
 
 
-def _cut(batches: Iterator[pd.DataFrame], names: set[str] | None) -> Iterator[pd.DataFrame]:
+def _error_frame(source: str, error: str) -> pd.DataFrame:
+    return _frame([(source, *[None] * 6)], CELLS.fieldNames()).assign(row=0, col=0, error=error)
+
+
+def _cut(batches: Iterator[pd.DataFrame], names: set[str] | None, isolated: bool) -> Iterator[pd.DataFrame]:
+    columns = ["source_id", "unit", "sheets", "strings", "styles", "calendar", "error"]
     for batch in batches:
         for source, content in zip(batch["source_id"], batch["content"]):
-            for number, unit in enumerate(cut_units(content, names)):
-                sheets = [{"sheet": name, "part": _part_row(part)} for name, part in unit.sheets]
-                row = (source, number, sheets, _part_row(unit.strings), _part_row(unit.styles), unit.calendar)
-                yield pd.DataFrame([row], columns=["source_id", "unit", "sheets", "strings", "styles", "calendar"])
+            try:
+                for number, unit in enumerate(cut_units(content, names)):
+                    sheets = [{"sheet": name, "part": _part_row(part)} for name, part in unit.sheets]
+                    shared = (_part_row(unit.strings), _part_row(unit.styles))
+                    yield pd.DataFrame([(source, number, sheets, *shared, unit.calendar, None)], columns=columns)
+            except Exception as error:
+                if not isolated:
+                    raise
+                yield pd.DataFrame([(source, -1, [], None, None, 0, _named_error(error))], columns=columns)
 
 
 def _part_row(part: tuple[bytes, bool, int] | None) -> dict | None:
@@ -173,9 +199,24 @@ def _part(row) -> tuple[bytes, bool, int] | None:
 def _decode_units(batches: Iterator[pd.DataFrame], wanted: dict[str, Wanted]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for row in batch.to_dict("records"):
-            sheets = [(sheet["sheet"], _part(sheet["part"])) for sheet in row["sheets"]]
-            unit = Unit(sheets, _part(row["strings"]), _part(row["styles"]), row["calendar"])
-            yield from _in_frames(row["source_id"], unit_cells(unit, wanted))
+            yield from _in_frames(row["source_id"], _cells_of(row, wanted))
+
+
+def _decode_units_isolated(
+    batches: Iterator[pd.DataFrame], wanted: dict[str, Wanted]
+) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for row in batch.to_dict("records"):
+            source = row["source_id"]
+            if row["error"]:
+                yield _error_frame(source, row["error"])
+            else:
+                yield from _reported(source, _in_frames(source, _cells_of(row, wanted)))
+
+
+def _cells_of(row: dict, wanted: dict[str, Wanted]) -> Iterator[tuple]:
+    sheets = [(sheet["sheet"], _part(sheet["part"])) for sheet in row["sheets"]]
+    return unit_cells(Unit(sheets, _part(row["strings"]), _part(row["styles"]), row["calendar"]), wanted)
 
 
 def _in_frames(source: str, cells: Iterator[tuple]) -> Iterator[pd.DataFrame]:
