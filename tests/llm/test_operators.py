@@ -145,6 +145,28 @@ def test_near_copies_equal_a_comparison_of_all(spark):
     assert len(kept) == len(set(kept)) and set(kept) == plain_survivors(rows)
 
 
+@pytest.mark.parametrize("slot", [1 << 17, 32])
+def test_near_copies_meet_by_their_fingerprints(spark, monkeypatch, slot):
+    """Four groups a tenth of whose bits differ from a text of their own, and unlike fingerprints."""
+    monkeypatch.setattr(simhash, "SLOT", slot)
+    rng, rows = np.random.default_rng(3), []
+    for node in range(400):
+        if node % 100 in (0, *range(60, 100)):
+            base = rng.integers(0, 2, simhash.WIDE)
+        bits = base ^ (rng.random(simhash.WIDE) < 0.07 if node % 100 < 60 else 0)
+        rows.append((node, np.packbits(bits.astype(np.uint8)).tobytes(), bytes([node % 256, node // 256]), []))
+    heads = spark.createDataFrame(rows, "node long, print binary, same binary, less array<binary>")
+    meets = simhash._meetings(heads, 0.8)
+    roots = {r.node: r.root for r in simhash.connected(meets).collect()}
+    assert roots == {n: n // 100 * 100 for n in range(400) if n % 100 < 60}
+
+
+def test_a_tiny_set_meets_those_with_one_shingle_more(spark):
+    texts = ["a b c d e f g h", "a b c d e f g h i", "a b c d e f g x", "z a b c d e f g h"]
+    kept = simhash.first_of_each_group(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == plain_survivors(list(enumerate(texts))) == {0, 2}
+
+
 @pytest.mark.parametrize("changed", [(4, 5), (0, 6)])
 def test_candidates_grow_with_a_group_of_near_copies(spark, monkeypatch, changed):
     """Copies of one text, each with some of 100 words replaced."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -22,9 +23,15 @@ SEED = 42
 PAIRED = 64
 # Bytes of a text, and shingles, that are worked on at once.
 PIECE = 1 << 20
-# Bands of a shingle set that near copies meet in, and the minima that make up a band.
-BANDS, BAND_MINIMA = 40, 6
-_ORDERS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
+# Bits of the fingerprints that near copies meet by, as words, and what makes their hashes of one hash.
+WIDE = 1024
+_SALTS = np.random.default_rng(SEED).integers(0, 1 << 63, WIDE // 64, np.uint64) * np.uint64(2) + np.uint64(1)
+_LANES, _LANE_BITS = np.uint64(0x0101010101010101), np.arange(8, dtype=np.uint64)[:, None, None]
+# Fingerprints that a task searches at once, the share of the near pairs among them that it finds,
+# and the share of all near pairs that may be missed.
+SLOT, LOCAL, MISSED = 1 << 17, 0.9, 1e-5
+# Shingles up to which sets also meet those that have one shingle more.
+TINY = 9
 # Pairs of one node, or members of one clump, that a task compares in a row.
 SLOT_PAIRS = 1024
 # Members that a clump's centre is made of (at most 255), and what rounding may add to a sum.
@@ -205,14 +212,34 @@ def shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A key for each of ``BANDS`` bands of ``BAND_MINIMA`` minima, each of one random order."""
-    minima = np.full(len(_ORDERS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        minima = np.minimum(minima, (_ORDERS[:, None] * hashes[None, at : at + 1024]).min(axis=1))
-    bands = minima.astype("<u8").reshape(BANDS, BAND_MINIMA)
-    keys = [xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(bands)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """SimHash of a shingle set: a bit is 1 if it is set for over half; in each word one shingle settles draws."""
+    ones = np.zeros((8, WIDE // 8), np.int64)
+    for at in range(0, len(hashes), 255):
+        words = _mixed(hashes[at : at + 255])
+        if at == 0:
+            # The least one in another word: least values have few bits themselves.
+            settles = words[np.arange(len(words)), np.roll(words, 1, axis=0).argmin(axis=1)]
+        # Each byte counts one bit of up to 255 words.
+        ones += ((words >> _LANE_BITS) & _LANES).sum(axis=2, dtype=np.uint64).astype("<u8").view(np.uint8)
+    draws = np.unpackbits(settles.astype("<u8").view(np.uint8), bitorder="little")
+    twice = 2 * ones.T.ravel()
+    return np.packbits((twice > len(hashes)) | ((twice == len(hashes)) & (draws == 1)), bitorder="little").tobytes()
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """``WIDE`` bits for each hash: a row per word, a column per hash."""
+    x = hashes + _SALTS[:, None]
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _one_less(hashes: np.ndarray) -> list[bytes]:
+    """The digests of a tiny set without one of its shingles."""
+    if not 1 < len(hashes) <= TINY:
+        return []
+    return [xxhash.xxh3_128_digest(np.delete(hashes, k).tobytes()) for k in range(len(hashes))]
 
 
 def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -225,10 +252,10 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
     one group.  All columns are returned as they were; an empty table stays empty; whole texts
     are read, however long.
 
-    Fingerprints cannot give the candidates: at similarity 0.8 some 10 of 64 bits differ, with a
-    deviation of 3, and blocks for such a radius have 3 or 4 bits, that is, hold everything.
-    Candidates share a band of minima instead: a pair of similarity 0.8 is missed with a chance
-    of 5 in a million, one of 0.9 practically never; far lower similarities need other bands.
+    Candidates are pairs with close fingerprints (``wide_fingerprint``, see ``_meetings``); the
+    similarity decides among them.  64 bits are too few for this: at similarity 0.8 some 10 of them
+    differ, with a deviation of 3, and blocks for such a radius have 3 or 4 bits, that is, hold
+    everything.  Of 1,024 bits 155 differ, with a deviation of 12, against 512 of unlike texts.
     """
     hashed = docs.select(
         F.col("doc_id").cast("long"), text_sha(F.col("text")).alias("sha"), F.col("text").cast("binary")
@@ -243,12 +270,13 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
                     [
                         *some.columns[:2],
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
+                        pa.array([wide_fingerprint(s) for s in sets], pa.binary()),
+                        pa.array([_one_less(s) for s in sets], pa.list_(pa.binary())),
                     ],
-                    ["doc_id", "sha", "same", "bands"],
+                    ["doc_id", "sha", "same", "print", "less"],
                 )
 
-    schema = "doc_id long, sha binary, same binary, bands array<long>"
+    schema = "doc_id long, sha binary, same binary, print binary, less array<binary>"
     rows = staged(
         hashed.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "shingles"
     )
@@ -256,7 +284,7 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
     nodes = staged(rows.groupBy("same").agg(F.min("row").alias("node")), "nodes")
     first = nodes.select("node")
     heads = rows.join(first, rows["row"] == first["node"], "left_semi")
-    heads = heads.select(F.col("row").alias("node"), "bands", "sha")
+    heads = heads.select(F.col("row").alias("node"), "sha", "same", "print", "less")
     links = staged(_similar_pairs(docs, heads, shingle, similarity), "links")
     roots = connected(links).withColumnRenamed("root", "found")
     placed = nodes.join(roots, "node", "left").select("same", F.coalesce("found", "node").alias("root"))
@@ -270,9 +298,9 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
 
 
 def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links ``a, b`` that join the same nodes as all similar pairs that share a band.
+    """Links ``a, b`` that join the same nodes as all similar pairs that ``_meetings`` joins.
 
-    Nodes that share bands form clumps, and a clump is described by what its sets differ from a
+    Nodes that meet form clumps, and a clump is described by what its sets differ from a
     common centre in.  With E(x) = set(x) without the centre, plus the centre without set(x), two
     sets are similar if and only if slack(x) + slack(y) <= 2 |E(x) and E(y)|, where slack(x) =
     |E(x)| - f |set(x)| and f = (1 - similarity) / (1 + similarity); that holds for every centre.
@@ -284,10 +312,7 @@ def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity:
     other components.  A large group of copies of one text thus costs a row or two a copy, and
     copies too far from each other do not meet at all.
     """
-    keyed = heads.select("node", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    met = keyed.join(shared, "key").where("node > least")
-    meets = staged(met.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "meets")
+    meets = staged(_meetings(heads, similarity), "meets")
     clumps = connected(meets).select("node", F.col("root").alias("clump"))
     members = staged(heads.select("node", "sha").join(clumps, "node"), "members")
     rows = _differences(members, docs, shingle, (1 - similarity) / (1 + similarity))
@@ -342,6 +367,138 @@ def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity:
     return near.unionAll(_verified(pairs, rows))
 
 
+def _meetings(heads: DataFrame, similarity: float) -> DataFrame:
+    """Pairs that join all nodes with fingerprints as close as those of texts of ``similarity`` are.
+
+    At similarity s two bits agree with 1 - acos(2s / (1 + s)) / pi (the least, for sets of one size).
+    Every fingerprint is sent to several groups, to the slot that some of its bits name there (none
+    of them for up to ``SLOT`` nodes); a slot is searched by blocks of further bits (``_close``).
+    The numbers of groups and blocks follow from ``MISSED``, the bits of a block from the rows, so
+    that few unlike texts share one.  A slot that is far too large is dealt over parts, and every
+    two parts meet in a cell.  Half a bit in eight is a coarse measure of a few shingles, so sets of
+    up to ``TINY`` also meet those with exactly one shingle more.
+    """
+    agree = min(1 - math.acos(min(2 * similarity / (1 + similarity), 1)) / math.pi, 0.999)
+    radius = int(WIDE * (1 - agree) + 5.5 * math.sqrt(WIDE * agree * (1 - agree)))
+    rows = max(heads.count(), 1)
+    prefix = max(0, math.ceil(math.log2(rows / SLOT)))
+    bits = max(8, math.ceil(math.log2(rows)) - prefix + 6)
+    blocks = math.ceil(math.log(1 - LOCAL) / math.log1p(-(agree**bits)))
+    groups = math.ceil(math.log(MISSED) / math.log1p(-LOCAL * agree**prefix))
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = _words(batch.column(1).to_pylist())
+            named = [_keys(words, _bit_order(g)[:prefix]) for g in range(groups)]
+            slots = pa.array(np.array(named, np.int64).T.tolist(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, slots], ["node", "print", "slots"])
+
+    schema = "node long, print binary, slots array<long>"
+    prints = staged(heads.select("node", "print").mapInArrow(sent, schema), "prints")
+    key = ["group", "slot"]
+    crowded = prints.select(F.posexplode("slots").alias(*key)).groupBy(*key).agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / F.lit(4 * SLOT)).cast("long").alias("parts")
+    crowded = staged(crowded.where(F.col("n") > 4 * SLOT).select(*key, parts), "crowded")
+    dealt = prints.select("node", "print", F.posexplode("slots").alias(*key))
+    dealt = lookup_join(dealt, crowded, key, "left", [F.col("node")])
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    dealt = dealt.select(
+        *key, "node", "print", F.pmod(F.xxhash64("node"), parts).alias("own"),
+        F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"),
+    )
+    cell = [*key, "lo", "hi"]
+    cells = dealt.select(*key, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "print")
+    cells = cells.repartition(*cell).sortWithinPartitions(*cell)
+    close = cells.mapInArrow(lambda b: _close(b, prefix, bits, blocks, radius), "a long, b long")
+    whole = heads.select(F.col("node").alias("other"), F.col("same").alias("key"))
+    more = heads.select("node", F.explode("less").alias("key")).join(whole, "key")
+    return close.unionAll(more.select(F.least("node", "other"), F.greatest("node", "other"))).distinct()
+
+
+def _bit_order(group: int) -> np.ndarray:
+    return np.random.default_rng((SEED, group)).permutation(WIDE)
+
+
+def _words(prints: list[bytes]) -> np.ndarray:
+    """Fingerprints as columns of words."""
+    return np.ascontiguousarray(np.frombuffer(b"".join(prints), "<u8").reshape(-1, WIDE // 64).T)
+
+
+def _keys(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    keys = np.zeros(words.shape[1], np.uint64)
+    for bit in bits.tolist():
+        keys = (keys << np.uint64(1)) | ((words[bit // 64] >> np.uint64(bit % 64)) & np.uint64(1))
+    return keys
+
+
+def _close(
+    batches: Iterator[pa.RecordBatch], prefix: int, bits: int, blocks: int, radius: int
+) -> Iterator[pa.RecordBatch]:
+    """Links in each cell; its rows come one after the other."""
+    cell, nodes, prints = None, [], []
+
+    def found() -> pa.RecordBatch:
+        order = _bit_order(cell[0])[prefix:]
+        a, b = close_pairs(_words(prints), order, bits, blocks, radius)
+        ids = np.array(nodes, np.int64)
+        least, greatest = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
+        return pa.RecordBatch.from_arrays([pa.array(least), pa.array(greatest)], ["a", "b"])
+
+    for batch in batches:
+        columns = [batch.column(name).to_pylist() for name in ("group", "slot", "lo", "hi", "node", "print")]
+        for *key, node, print_ in zip(*columns, strict=True):
+            if key != cell:
+                if len(nodes) > 1:
+                    yield found()
+                cell, nodes, prints = key, [], []
+            nodes.append(node)
+            prints.append(print_)
+    if len(nodes) > 1:
+        yield found()
+
+
+def close_pairs(
+    words: np.ndarray, order: np.ndarray, bits: int, blocks: int, radius: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all fingerprints at ``radius`` or fewer differing bits that share a block.
+
+    In each block the first one left is compared with the others.  Those within the radius need
+    no further comparison there, as what is close to them is within two radii of the first, and all
+    those are linked.  So a block costs its rows times the unlike texts in it, not its pairs.
+    """
+    chooser, root = np.random.default_rng(order), np.arange(words.shape[1])
+    links = [(np.zeros(0, np.int64),) * 2]
+    for _ in range(blocks):
+        keys = _keys(words, chooser.choice(order, bits, replace=False))
+        left = np.argsort(keys)
+        runs = keys[left]
+        while len(left):
+            again = runs[1:] == runs[:-1]
+            shared = np.append(again, False) | np.append(False, again)
+            left, runs = left[shared], runs[shared]
+            if not len(left):
+                break
+            first = np.append(True, runs[1:] != runs[:-1])
+            pivots = left[first][np.cumsum(first) - 1]
+            apart = np.bitwise_count(words[:, pivots] ^ words[:, left]).sum(axis=0, dtype=np.int64)
+            links.append(_joined(root, pivots[apart <= 2 * radius], left[apart <= 2 * radius]))
+            left, runs = left[apart > radius], runs[apart > radius]
+    return tuple(np.concatenate(ends) for ends in zip(*links, strict=True))
+
+
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links between different trees of ``root``, which it joins."""
+    new = root[a] != root[b]
+    a, b = links = a[new], b[new]
+    while len(a):
+        np.minimum.at(root, np.maximum(root[a], root[b]), np.minimum(root[a], root[b]))
+        while (root[root] != root).any():
+            root[:] = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return links
+
+
 def _pair(one: Column, other: Column, rows: DataFrame) -> DataFrame:
     return rows.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
