@@ -174,3 +174,12 @@ def test_salted_join_equals_broadcast_join(spark, monkeypatch, how):
     assert fast.columns == salted.columns
     key = [str(tuple(r)) for r in fast.collect()]
     assert sorted(key) == sorted(str(tuple(r)) for r in salted.collect())
+
+
+def test_cells_are_shuffled_before_they_are_sorted(spark, folder):
+    """A task that reads a large file must not sort all of its cells."""
+    grid_cells(spark, "S", SHEET).write.parquet(folder + "/cells")
+    points = extract_vertical(spark.read.parquet(folder + "/cells"), config(spark, vertical(drop_na=True)))
+    plan = points._jdf.queryExecution().executedPlan().toString().split("\n")
+    found = [line for line in plan if "Exchange hash" in line or "Sort [" in line]
+    assert found and "Exchange hash" in found[-1], found

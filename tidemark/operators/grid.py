@@ -41,7 +41,7 @@ def _on_sheets(cells: DataFrame, series: SeriesMap) -> DataFrame:
 def extract_vertical(cells: DataFrame, series: SeriesMap) -> DataFrame:
     """Date and value columns side by side, from the first data row down.
 
-    A pivot by conditional aggregation: only the two wanted cells of a row are shuffled.
+    A pivot by conditional aggregation: only the two wanted cells of a row are shuffled, and once.
     Series that keep blanks also get a point for rows where both cells are absent.
     """
     layout = series.of_layout("vertical")
@@ -69,7 +69,11 @@ def extract_vertical(cells: DataFrame, series: SeriesMap) -> DataFrame:
     date_text = F.coalesce("str", F.col("num").cast("string"))
     value_text = F.coalesce("str", F.col("ts").cast("string"))
     is_value = ~F.col("is_date")
-    pivot = hits.groupBy("source_id", "series_ord", F.col("row").cast("bigint").alias("pos")).agg(
+    # Texts are aggregated by sorting. Rows are dealt first, so that a part of the shuffle is sorted
+    # and not all that one task reads, which may be a very large file.
+    keys = ["source_id", "series_ord", "pos"]
+    dealt = hits.withColumn("pos", F.col("row").cast("bigint")).drop("row").repartition(*keys)
+    pivot = dealt.groupBy(*keys).agg(
         F.max(F.when(F.col("is_date"), F.col("ts"))).alias("obs_ts"),
         F.max(F.when(F.col("is_date"), date_text)).alias("obs_str"),
         F.max(F.when(is_value, F.col("num"))).alias("value_num"),
