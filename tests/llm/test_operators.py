@@ -192,6 +192,35 @@ def test_candidates_grow_with_a_group_of_near_copies(spark, monkeypatch, changed
     assert compared[1] <= 8 * max(compared[0], 100), compared
 
 
+@pytest.mark.parametrize("paired", [2, 64])
+def test_texts_with_common_differences_are_not_paired_off(spark, monkeypatch, paired):
+    """Texts around one passage that share other passages in part; few are alike."""
+    monkeypatch.setattr(simhash, "PAIRED", paired)
+    rng, compared, verified = np.random.default_rng(12), [], simhash._verified
+
+    def counted(pairs, rows):
+        compared.append(pairs.count())
+        return verified(pairs, rows)
+
+    monkeypatch.setattr(simhash, "_verified", counted)
+    common, passages = rng.integers(0, 10_000, 60).astype(str), rng.integers(0, 10_000, (4, 6, 30)).astype(str)
+    rows = []
+    for n in range(300):
+        words = [*common, *(w for place in passages for w in place[rng.integers(6)])]
+        rows.append((n, " ".join(words if n < 280 else rows[n - 280][1].split()[:-3])))
+    kept = simhash.first_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == plain_survivors(rows)
+    assert sum(compared) <= 4 * len(rows), compared
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(1)
+    for size in range(0, 2000, 20):
+        one, other = (np.unique(rng.integers(0, 4000, n).astype(np.uint64)) for n in (size, size // 2))
+        apart = np.bitwise_count((simhash.sketch(one) ^ simhash.sketch(other)).view(np.uint64)).sum()
+        assert apart <= len(np.setxor1d(one, other))
+
+
 @pytest.mark.parametrize("paired", [1, 64])
 def test_crowded_blocks_lose_no_link(spark, monkeypatch, paired):
     monkeypatch.setattr(simhash, "PAIRED", paired)

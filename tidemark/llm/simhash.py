@@ -34,6 +34,8 @@ SLOT, LOCAL, MISSED = 1 << 17, 0.9, 1e-5
 TINY = 9
 # Pairs of one node, or members of one clump, that a task compares in a row.
 SLOT_PAIRS = 1024
+# Levels of slack that a group of shared differences is split into at most, and bits of a set's sketch.
+LEVELS, SKETCH = 16, 512
 # Members that a clump's centre is made of (at most 255), and what rounding may add to a sum.
 SAMPLED, EXACT = 31, 1e-6
 
@@ -317,7 +319,7 @@ def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity:
     members = staged(heads.select("node", "sha").join(clumps, "node"), "members")
     rows = _differences(members, docs, shingle, (1 - similarity) / (1 + similarity))
     least = rows.groupBy("clump").agg(F.min(F.struct("slack", "node")).alias("least"))
-    compared = staged(lookup_join(rows, staged(least, "least"), ["clump"], "inner", [F.col("node")]), "slacks")
+    compared = staged(lookup_join(rows.drop("sketch"), staged(least, "least"), ["clump"], "inner", [F.col("node")]), "slacks")
     heavy = F.col("slack") + F.col("least.slack") > EXACT
     light = compared.where(~heavy & (F.col("node") != F.col("least.node")))
     direct = light.select(F.col("least.node").alias("a"), F.col("node").alias("b"))
@@ -343,28 +345,86 @@ def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity:
     near = staged(direct.unionAll(_verified(stars, rows)), "near")
     # Pairs within a component, and those with the first, need no further comparison.
     others = rest.where("n > 2").join(connected(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    others = staged(others, "others")
-    apart = others.groupBy(*key).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    blocks = F.ceil(F.col("n") / F.lit(PAIRED)).cast("long")
-    own = others.join(apart.select(*key), key, "left_semi").select(
-        *key, F.struct("node", "slack", "left", "heavy", "root").alias("it"), blocks.alias("blocks"),
-        F.pmod(F.xxhash64("node"), blocks).alias("own"),
+    others = staged(others.select(*key, "node", "slack", "left", "heavy", "root"), "others")
+    for _ in range(2):  # What goes in the first round no longer keeps others in the second.
+        others = staged(_reaching(others, key), "reaching")
+    sketches = rows.select("node", "sketch", (F.size("edits") - F.col("slack")).alias("spare"))
+    pairs = _pairs_apart(staged(others.join(sketches, "node"), "apart"), key)
+    return near.unionAll(_verified(pairs, rows))
+
+
+def _reach() -> Column:
+    """The most slack that a row can be similar to under its token."""
+    return 2 * F.col("left") - F.col("slack") + F.lit(EXACT)
+
+
+def _reaching(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of groups with several components, less those that can link to nothing in their group.
+
+    Heavy rows are held against the extremes of their group, light ones against those of its heavy rows.
+    """
+    least, most, heavy = F.min("slack"), F.max(_reach()), F.col("heavy")
+    ends = rows.groupBy(*key).agg(
+        F.count("*").alias("n"), least.alias("low"), F.max("slack").alias("top"), most.alias("high"),
+        F.min(F.when(heavy, F.col("slack"))).alias("heavy_low"), F.max(F.when(heavy, _reach())).alias("heavy_high"),
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+    )
+    held = rows.drop("n", "low", "top").join(ends.where("lo < hi").drop("lo", "hi"), key)
+    low, high = F.when(heavy, F.col("low")).otherwise(F.col("heavy_low")), F.when(heavy, F.col("high")).otherwise(F.col("heavy_high"))
+    return held.where((_reach() >= low) & (F.col("slack") <= high)).select(*rows.drop("n", "low", "top").columns, "n", "low", "top")
+
+
+def _pairs_apart(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``a, b``: pairs of a group, of different components, that can be similar by slacks and sketches.
+
+    Groups are dealt over blocks of about ``PAIRED`` rows of similar slack; a component of more rows
+    in a group has blocks of its own.  A row is sent to the blocks only whose extremes it can link to,
+    so a group of rows that cannot link costs a row each, and only pairs that can be similar get a row.
+    """
+    alone = rows.groupBy(*key, "root").agg(F.count("*").alias("same")).where(F.col("same") > PAIRED)
+    placed = rows.join(alone, [*key, "root"], "left")
+    levels = F.least(F.ceil(F.col("n") / F.lit(PAIRED)), F.lit(LEVELS))
+    level = F.floor(levels * (F.col("slack") - F.col("low")) / F.greatest(F.col("top") - F.col("low"), F.lit(1.0)))
+    kind = [*key, "alone", "level"]
+    placed = placed.select(
+        *key, "node", "slack", "left", "heavy", "root", "spare", "sketch", level.alias("level"),
+        F.when(F.col("same").isNotNull(), F.col("root")).otherwise(F.lit(-1)).alias("alone"),
     )
-    cells = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).groupBy(
-        *key, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    blocks = placed.groupBy(*kind).agg(F.ceil(F.count("*") / F.lit(PAIRED)).cast("long").alias("blocks"))
+    placed = placed.join(blocks, kind)
+    name = F.xxhash64("alone", "level", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    placed = staged(placed.withColumn("block", name).drop("alone", "level", "blocks"), "blocks")
+    items = F.collect_list(F.struct("node", "slack", "left", "heavy", "root", "spare", "sketch"))
+    ends = staged(placed.groupBy(*key, "block").agg(
+        F.min("slack").alias("low"), F.max(_reach()).alias("high"), F.bool_or("heavy").alias("any"),
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+    ), "ends")
+    others = ends.select(*key, *[F.col(c).alias(f"other_{c}") for c in ("block", "low", "high", "any", "lo", "hi")])
+    cells = ends.join(others, key).where(
+        (F.col("block") <= F.col("other_block")) & (F.col("any") | F.col("other_any"))
+        & (F.col("high") >= F.col("other_low")) & (F.col("low") <= F.col("other_high"))
+        & ~((F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("other_lo")) & (F.col("hi") == F.col("other_hi")))
+    ).drop("low", "high", "any", "lo", "hi")
+    sent = placed.join(cells, [*key, "block"]).where(
+        (F.col("heavy") | F.col("other_any")) & (_reach() >= F.col("other_low")) & (F.col("slack") <= F.col("other_high"))
+        & ~((F.col("root") == F.col("other_lo")) & (F.col("root") == F.col("other_hi")))
     )
-    found = cells.agg(F.collect_list(F.struct("own", "it")).alias("all"))
-    one = found.select("lo", "hi", "all", F.explode("all").alias("x"))
+    x = F.struct("node", "slack", "left", "heavy", "root", "spare", "sketch")
+    one = sent.select(*key, F.col("other_block").alias("block"), x.alias("x"))
+    met = one.join(placed.groupBy(*key, "block").agg(items.alias("all")), [*key, "block"])
     x = F.col("x")
 
     def joins(y: Column) -> Column:
-        across = (F.col("lo") == F.col("hi")) | (x["own"] != y["own"])
-        different = (x["it"]["root"] != y["it"]["root"]) & (x["it"]["node"] < y["it"]["node"])
-        return across & different & _can_link(x["it"], y["it"])
+        return (x["root"] != y["root"]) & _can_link(x, y) & _may_be_similar(x, y)
+
+    found = met.select(x["node"].alias("one"), F.explode(F.filter("all", joins)["node"]).alias("other"))
+    return _pair(F.col("one"), F.col("other"), found)
 
-    pairs = one.select(x["it"]["node"].alias("a"), F.explode(F.filter("all", joins)).alias("y"))
-    pairs = pairs.select("a", F.col("y.it.node").alias("b")).distinct()
-    return near.unionAll(_verified(pairs, rows))
+
+def _may_be_similar(one: Column, other: Column) -> Column:
+    """Whether the sketches allow it: they differ in no more bits than the sets in shingles."""
+    apart = [F.bit_count(one["sketch"][k].bitwiseXOR(other["sketch"][k])) for k in range(SKETCH // 64)]
+    return sum(apart[1:], apart[0]) <= one["spare"] + other["spare"] + F.lit(EXACT)
 
 
 def _meetings(heads: DataFrame, similarity: float) -> DataFrame:
@@ -510,11 +570,12 @@ def _can_link(one: Column, other: Column) -> Column:
 
 
 def _differences(members: DataFrame, docs: DataFrame, shingle: int, factor: float) -> DataFrame:
-    """``node, clump, slack, edits``: what each set differs from its clump's centre in, rarest first.
+    """``node, clump, slack, edits, sketch``: what each set differs from its clump's centre in, rarest first.
 
     The centre holds what most of up to ``SAMPLED`` members have, chosen by a hash; shingles that
     several of these have count as frequent.  The choice decides how fast links are found, not
-    which.  A clump is dealt over slots, each with the centre before its members.
+    which.  A clump is dealt over slots, each with the centre before its members.  A sketch has a bit
+    for each remainder of the shingles' hashes, set if an odd number of them have it.
     """
     sets = _sets_of(members, docs, shingle)
     order = Window.partitionBy("clump").orderBy(F.xxhash64("node"), "node")
@@ -537,9 +598,8 @@ def _differences(members: DataFrame, docs: DataFrame, shingle: int, factor: floa
         F.lit(0).alias("sampled"),
     )
     both = heads.unionByName(dealt).repartition("clump", "slot").sortWithinPartitions("clump", "slot", "node")
-    return staged(
-        both.mapInArrow(lambda b: _edits(b, factor), "node long, clump long, slack double, edits array<long>"), "edits"
-    )
+    schema = "node long, clump long, slack double, edits array<long>, sketch array<long>"
+    return staged(both.mapInArrow(lambda b: _edits(b, factor), schema), "edits")
 
 
 def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -572,7 +632,7 @@ def _centre(clump: int, held: list[np.ndarray]) -> pa.RecordBatch:
 def _edits(batches: Iterator[pa.RecordBatch], factor: float) -> Iterator[pa.RecordBatch]:
     known, counts, centre = (np.zeros(0, np.uint64),) * 3
     for batch in batches:
-        nodes, clumps, slacks, edits = [], [], [], []
+        nodes, clumps, slacks, edits, sketches = [], [], [], [], []
         columns = (batch.column(name) for name in ("clump", "node", "tokens", "counts", "sampled"))
         for clump, node, tokens, seen, sampled in zip(*columns, strict=True):
             this = np.frombuffer(tokens.as_py(), np.uint64)
@@ -587,15 +647,22 @@ def _edits(batches: Iterator[pa.RecordBatch], factor: float) -> Iterator[pa.Reco
             clumps.append(clump.as_py())
             slacks.append(len(changed) - factor * len(this))
             edits.append(changed[np.lexsort((changed, often))].view(np.int64))
+            sketches.append(sketch(this))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(nodes, pa.int64()), pa.array(clumps, pa.int64()), pa.array(slacks, pa.float64()),
-                pa.array(edits, pa.list_(pa.int64())),
+                pa.array(edits, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
             ],
-            ["node", "clump", "slack", "edits"],
+            ["node", "clump", "slack", "edits", "sketch"],
         )
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The odd remainders of a set's hashes, as words."""
+    odd = np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").astype(np.int64)
+
+
 def _sets_of(members: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """``node, clump, hashes``: the shingle sets of ``members``, read from their texts."""
     texts = docs.select(text_sha(F.col("text")).alias("sha"), F.col("text").cast("binary").alias("text"))
