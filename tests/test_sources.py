@@ -268,3 +268,24 @@ def test_selected_cells_of_broken_workbooks(spark, folder):
     assert cells.where("source_id = 'good.xlsx'").exceptAll(every).isEmpty()
     with pytest.raises(Exception, match="zip"):
         landing.decode_selected(files, series, tasks=4).collect()
+
+
+@pytest.mark.parametrize("split", ["128m", "1k"])
+def test_a_published_document_is_read_once_and_whole(spark, folder, split):
+    from tidemark.session import settings
+
+    rows = [{"obs_time": f"t{n}", "internal_series_code": "S", "value": n / 8} for n in range(3000)]
+    texts = {"a": json.dumps(rows), "b": json.dumps({"data": rows}, indent=1), "c": "", "d": "\n"}
+    for name, text in texts.items():
+        (Path(folder) / name).mkdir()
+        (Path(folder) / name / "data.json").write_text(text)
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = bytes_read()
+    with settings(spark, spark__sql__files__maxPartitionBytes=split, spark__sql__files__openCostInBytes="0"):
+        got = sorted((r["obs_time"], r["value"]) for r in scan_published(spark, folder, "data.json").collect())
+    assert got == sorted((r["obs_time"], r["value"]) for r in rows for _ in "ab")
+    if split == "128m":  # smaller splits look for the end of the document they begin in
+        assert bytes_read() - before < 8 * sum(map(len, texts.values()))

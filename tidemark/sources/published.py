@@ -18,6 +18,8 @@ from tidemark.schemas import PUBLISHED
 
 # Files of the two published forms, and whether every line is a document.
 FORMS = (("data.json", False), ("part-*.json", True))
+# No JSON holds this in any encoding, so a file split by it is one document.
+_NEVER = "\0" * 8
 
 
 def scan_published(
@@ -71,12 +73,14 @@ def _documents(spark: SparkSession, root: str, glob: str, lines: bool) -> DataFr
     with_data = StructType([*texts.fields]).add("data", ArrayType(texts))
     reader = (
         spark.read.schema(with_data.add("_bad", "string"))
-        .option("multiLine", not lines)
         .option("columnNameOfCorruptRecord", "_bad")
         # The first folder level is a bare series code, so folders are not partitions here.
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
     )
+    if not lines:
+        # With ``multiLine`` every number read as text would open its file once more.
+        reader = reader.option("lineSep", _NEVER)
     try:
         files = reader.json(root)
     except AnalysisException as error:
