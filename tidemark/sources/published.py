@@ -14,6 +14,7 @@ from tidemark.functions.times import drop_zone, iso_text
 from tidemark.operators.merge import merge_first_wins
 from tidemark.operators.partitions import with_partition_columns, write_folders
 from tidemark.schemas import PUBLISHED
+from tidemark.session import settings
 
 
 # Files of the two published forms, and whether every line is a document.
@@ -81,8 +82,11 @@ def _documents(spark: SparkSession, root: str, glob: str, lines: bool) -> DataFr
     if not lines:
         # With ``multiLine`` every number read as text would open its file once more.
         reader = reader.option("lineSep", _NEVER)
+    # By default folders are listed by up to 10,000 tasks, one each.
+    tasks = str(4 * spark.sparkContext.defaultParallelism)
     try:
-        files = reader.json(root)
+        with settings(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=tasks):
+            files = reader.json(root)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
