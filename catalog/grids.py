@@ -35,7 +35,7 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
 def _land_workbooks(spark, sf_dir) -> str:
     """One workbook per run of events, a sheet per event type, written by Spark."""
     events = _workbook_events(spark, sf_dir)
-    books = events.groupBy("workbook").applyInPandas(_build, "workbook string, content binary")
+    books = _books(events, _build)
     root = work_folder(spark, "landing")
     books.select("workbook", F.col("content").cast("string").alias("value")).write.option(
         "maxRecordsPerFile", 1
@@ -43,6 +43,14 @@ def _land_workbooks(spark, sf_dir) -> str:
     return root
 
 
+def _books(rows, build):
+    """Workbooks are dealt over all tasks: sizes of rows, which adaptive execution goes by, say little of the work."""
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = rows.repartition(tasks, "workbook")
+    return dealt.groupBy("workbook").applyInPandas(build, "workbook string, content binary")
+
+
 def _workbook_events(spark, sf_dir):
     number = F.floor(F.col("event_id") / _ROWS).cast("bigint")
     return table(spark, sf_dir, "events").select(
@@ -127,11 +135,11 @@ def _build_both(group: pd.DataFrame) -> pd.DataFrame:
     sheets = {}
     for sheet, rows in group.sort_values("line").groupby("event_type"):
         lines = {1: ["ts", "value"]}
+        times, values = rows["ts"].to_numpy("datetime64[us]").tolist(), rows["value"].tolist()
         if sheet == "error":
-            times = [t.to_pydatetime() for t in rows["ts"]]
-            lines |= {6: [None, *times], 10: [None, None, *rows["value"]]}
+            lines |= {6: [None, *times], 10: [None, None, *values]}
         else:
-            lines |= {int(r.line): [r.ts.to_pydatetime(), r.value] for r in rows.itertuples()}
+            lines |= {int(n): list(pair) for n, *pair in zip(rows["line"], times, values)}
         sheets[sheet] = lines
     return pd.DataFrame(
         {"workbook": [group["workbook"].iloc[0]], "content": [workbook_bytes(sheets)]}
@@ -176,11 +184,9 @@ def refresh_workbooks(spark, sf_dir):
     number = F.regexp_extract("workbook", "W0*([0-9]+)", 1).cast("int")
     early = events.where((number % 2 == 0) & (F.col("ts") < "2024-01-20"))
     for run, rows in enumerate((early, events)):
-        books = rows.groupBy("workbook").applyInPandas(_build_both, "workbook string, content binary")
-        payloads = books.select(F.col("workbook").alias("path"), "content")
+        payloads = _books(rows, _build_both).select(F.col("workbook").alias("path"), "content")
         cells = landing.good_cells(staged(landing.decode_isolated(payloads), "decoded"))
-        run_ts = RUN_TS + timedelta(days=run)
-        run_refresh(staged(cells, "cells"), _BOTH, root, run_ts, as_of=RUN_TS)
+        run_refresh(cells, _BOTH, root, RUN_TS + timedelta(days=run), as_of=RUN_TS)
     layout = DatasetLayout(root, _BOTH["dataset_id"])
     return projection.read_projection(spark, layout).select(
         wall("obs_time"), "obs_local", "internal_series_code", "value", "unit", "frequency"

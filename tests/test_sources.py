@@ -1,12 +1,16 @@
 import io
 import json
+import sys
 import zipfile
 from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from rows import CODE
 
+import catalog
+from catalog import grids
 from catalog.workbook_fixture import workbook_bytes
 from tidemark.session import staged
 from tidemark.sources import landing
@@ -289,3 +293,57 @@ def test_a_published_document_is_read_once_and_whole(spark, folder, split):
     assert got == sorted((r["obs_time"], r["value"]) for r in rows for _ in "ab")
     if split == "128m":  # smaller splits look for the end of the document they begin in
         assert bytes_read() - before < 8 * sum(map(len, texts.values()))
+
+
+def test_dates_beyond_nanoseconds(spark, folder):
+    far = datetime(9999, 12, 31)
+    (Path(folder) / "a.xlsx").write_bytes(workbook_bytes({"S": {1: [far, 1.0]}}))
+    cells = decode_workbooks(scan_landing(spark, folder))
+    assert {tuple(r)[3:6] for r in cells.collect()} == {(0, far, None), (1, None, 1.0)}
+
+
+def test_text_in_pieces_and_second_values():
+    sheet = (
+        '<x:worksheet xmlns:x="m"><x:row r="3"><x:c r="A3" t="str"><x:f>1</x:f><x:v>a &amp; <![CDATA[<b>]]></x:v></x:c>'
+        '<x:c r="AB3"><x:v/><x:v>2</x:v></x:c><x:c><x:v>4</x:v><x:v>5</x:v></x:c><x:c r="B3" t="inlineStr"><x:v>no</x:v>'
+        "<x:is><x:r><x:t>p</x:t></x:r> <x:rPh><x:t>no</x:t></x:rPh><x:t>q</x:t></x:is></x:c></x:row><x:row/></x:worksheet>"
+    )
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as book:
+        book.writestr("xl/workbook.xml", '<w xmlns:r="r"><sheet name="S" r:id="1"/></w>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<w><Relationship Id="1" Target="s.xml"/></w>')
+        book.writestr("xl/s.xml", sheet)
+    assert list(read_cells(raw.getvalue())) == [
+        ("S", 3, 0, None, None, "a & <b>"), ("S", 3, 28, None, 4.0, None), ("S", 3, 1, None, None, "pq"),
+        ("S", 4, 0, None, None, None),
+    ]
+
+
+def test_reading_a_cell_takes_few_calls():
+    raw = workbook_bytes({"S": {n: [WHEN, 1.5] for n in range(1, 2001)}})
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        cells = list(read_cells(raw))
+    finally:
+        sys.setprofile(None)
+    assert len(cells) == 4000
+    assert len(calls) < 25 * len(cells)
+
+
+def test_refresh_workbooks_deals_them_and_writes_cells_once(spark, monkeypatch):
+    written, tasks, decode = [], [], landing.decode_isolated
+
+    def noted(frame, label):
+        written.append(label)
+        return staged(frame, label)
+
+    def dealt(payloads):
+        tasks.append(payloads.select(F.spark_partition_id()).distinct().count())
+        return decode(payloads)
+
+    monkeypatch.setattr(grids, "staged", noted)
+    monkeypatch.setattr(landing, "decode_isolated", dealt)
+    catalog.QUERIES["refresh_workbooks"](spark, "/root/testdata/sf0.01")
+    assert written == ["decoded", "decoded"]
+    assert min(tasks) > 1

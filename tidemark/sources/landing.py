@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -18,6 +19,11 @@ from tidemark.sources.workbook import Unit, Wanted, column_number, cut_units, re
 _CELLS_PER_BATCH = 50_000
 WORKBOOKS = "*.[xX][lL][sS][xXmM]"
 DECODED = StructType([*CELLS.fields, StructField("error", StringType())])
+_CELL_COLUMNS = pa.schema(
+    {"source_id": pa.string(), "sheet": pa.string(), "row": pa.int32(), "col": pa.int32(),
+     "ts": pa.timestamp("us"), "num": pa.float64(), "str": pa.string()}
+)
+_ERROR = pa.field("error", pa.string())
 _PART = "struct<packed: binary, deflated: boolean, crc: bigint>"
 UNITS = (
     f"source_id string, unit int, sheets array<struct<sheet: string, part: {_PART}>>, "
@@ -55,7 +61,7 @@ def decode_workbooks(payloads: DataFrame, source_id: Column | None = None) -> Da
         (source_id if source_id is not None else file_name(F.col("path"))).alias("source_id"),
         "content",
     )
-    return named.mapInPandas(_decode, CELLS)
+    return named.mapInArrow(_decode, CELLS)
 
 
 def wanted_cells(series: SeriesMap) -> dict[str, Wanted]:
@@ -124,7 +130,7 @@ def decode_selected(
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     dealt = units.repartition(tasks, "source_id", "unit")
     decode = _decode_units_isolated if isolated else _decode_units
-    return dealt.mapInPandas(lambda batches: decode(batches, wanted), DECODED if isolated else CELLS)
+    return dealt.mapInArrow(lambda batches: decode(batches, wanted), DECODED if isolated else CELLS)
 
 
 def decode_isolated(payloads: DataFrame, source_id: Column | None = None) -> DataFrame:
@@ -136,7 +142,7 @@ def decode_isolated(payloads: DataFrame, source_id: Column | None = None) -> Dat
         (source_id if source_id is not None else file_name(F.col("path"))).alias("source_id"),
         "content",
     )
-    return named.mapInPandas(_decode_isolated, DECODED)
+    return named.mapInArrow(_decode_isolated, DECODED)
 
 
 def rejected_workbooks(decoded: DataFrame) -> DataFrame:
@@ -151,26 +157,32 @@ def good_cells(decoded: DataFrame) -> DataFrame:
     return lookup_join(cells, broken, ["source_id"], "left_anti", ["sheet", "row", "col"])
 
 
-def _decode_isolated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _decode_isolated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for source, content in _files(batches):
+        yield from _reported(source, _in_batches(source, read_cells(content)))
+
+
+def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     for batch in batches:
         for source, content in zip(batch["source_id"], batch["content"]):
-            yield from _reported(source, _in_frames(source, read_cells(content)))
+            yield source.as_py(), content.as_py()
 
 
-def _reported(source: str, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _reported(source: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     try:
-        for frame in frames:
-            yield frame.assign(error=None)
+        for batch in batches:
+            yield batch.append_column(_ERROR, pa.nulls(batch.num_rows, pa.string()))
     except Exception as error:  # whatever is wrong with the file, its name is reported
-        yield _error_frame(source, _named_error(error))
+        yield _error_batch(source, _named_error(error))
 
 
 def _named_error(error: Exception) -> str:
     return f"{type(error).__name__}: {error}"
 
 
-def _error_frame(source: str, error: str) -> pd.DataFrame:
-    return _frame([(source, *[None] * 6)], CELLS.fieldNames()).assign(row=0, col=0, error=error)
+def _error_batch(source: str, error: str) -> pa.RecordBatch:
+    row = _batch(source, [(None, 0, 0, None, None, None)])
+    return row.append_column(_ERROR, pa.array([error], pa.string()))
 
 
 def _cut(batches: Iterator[pd.DataFrame], names: set[str] | None, isolated: bool) -> Iterator[pd.DataFrame]:
@@ -196,22 +208,26 @@ def _part(row) -> tuple[bytes, bool, int] | None:
     return None if row is None else (row["packed"], row["deflated"], row["crc"])
 
 
-def _decode_units(batches: Iterator[pd.DataFrame], wanted: dict[str, Wanted]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row in batch.to_dict("records"):
-            yield from _in_frames(row["source_id"], _cells_of(row, wanted))
+def _decode_units(batches: Iterator[pa.RecordBatch], wanted: dict[str, Wanted]) -> Iterator[pa.RecordBatch]:
+    for row in _units(batches):
+        yield from _in_batches(row["source_id"], _cells_of(row, wanted))
 
 
 def _decode_units_isolated(
-    batches: Iterator[pd.DataFrame], wanted: dict[str, Wanted]
-) -> Iterator[pd.DataFrame]:
+    batches: Iterator[pa.RecordBatch], wanted: dict[str, Wanted]
+) -> Iterator[pa.RecordBatch]:
+    for row in _units(batches):
+        source = row["source_id"]
+        if row["error"]:
+            yield _error_batch(source, row["error"])
+        else:
+            yield from _reported(source, _in_batches(source, _cells_of(row, wanted)))
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        for row in batch.to_dict("records"):
-            source = row["source_id"]
-            if row["error"]:
-                yield _error_frame(source, row["error"])
-            else:
-                yield from _reported(source, _in_frames(source, _cells_of(row, wanted)))
+        for number in range(batch.num_rows):
+            yield batch.slice(number, 1).to_pylist()[0]
 
 
 def _cells_of(row: dict, wanted: dict[str, Wanted]) -> Iterator[tuple]:
@@ -219,20 +235,18 @@ def _cells_of(row: dict, wanted: dict[str, Wanted]) -> Iterator[tuple]:
     return unit_cells(Unit(sheets, _part(row["strings"]), _part(row["styles"]), row["calendar"]), wanted)
 
 
-def _in_frames(source: str, cells: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-    columns = CELLS.fieldNames()
-    while rows := [(source, *cell) for cell in islice(cells, _CELLS_PER_BATCH)]:
-        yield _frame(rows, columns)
+def _in_batches(source: str, cells: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    while rows := list(islice(cells, _CELLS_PER_BATCH)):
+        yield _batch(source, rows)
 
 
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for source, content in zip(batch["source_id"], batch["content"]):
-            yield from _in_frames(source, read_cells(content))
+def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for source, content in _files(batches):
+        yield from _in_batches(source, read_cells(content))
 
 
-def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=columns)
-    frame["ts"] = pd.to_datetime(frame["ts"])
-    frame["num"] = frame["num"].astype("float64")
-    return frame
+def _batch(source: str, cells: list[tuple]) -> pa.RecordBatch:
+    columns = [[source] * len(cells), *zip(*cells)]
+    # As from pandas: a number that is none is null.
+    arrays = [pa.array(c, field.type, from_pandas=True) for c, field in zip(columns, _CELL_COLUMNS)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_CELL_COLUMNS)
