@@ -126,8 +126,8 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame, text: str = "text", doc_id:
     keyed = docs.withColumn(name, row_key(F.col(doc_id), F.col(text)))
     named = special.withColumnRenamed("key", name)
     spread = [F.monotonically_increasing_id()]
-    rest = lookup_join(keyed, named.select(name), [name], "left_anti", spread)
-    twice = lookup_join(keyed, named.where("kept").select(name), [name], "left_semi", spread)
+    rest = lookup_join(keyed, named.select(name), [name], "left_anti", spread, wide=True)
+    twice = lookup_join(keyed, named.where("kept").select(name), [name], "left_semi", spread, wide=True)
     return rest.drop(name).unionByName(one_of_each(twice, [name]).select(*docs.columns))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
 from tidemark.llm.exact import keep_rows, pair_key, text_sha
-from tidemark.operators.lookup import lookup_join
+from tidemark.operators.lookup import fits_broadcast, key_side, lookup_join
 from tidemark.session import staged
 
 BITS = 64
@@ -284,12 +284,12 @@ def first_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0
     )
     # Rows with equal sets are one node.
     nodes = staged(rows.groupBy("same").agg(F.min("row").alias("node")), "nodes")
-    first = nodes.select("node")
+    first = key_side(nodes.select("node"))
     heads = rows.join(first, rows["row"] == first["node"], "left_semi")
     heads = heads.select(F.col("row").alias("node"), "sha", "same", "print", "less")
     links = staged(_similar_pairs(docs, heads, shingle, similarity), "links")
     roots = connected(links).withColumnRenamed("root", "found")
-    placed = nodes.join(roots, "node", "left").select("same", F.coalesce("found", "node").alias("root"))
+    placed = nodes.join(key_side(roots), "node", "left").select("same", F.coalesce("found", "node").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
     found = staged(rows.select("doc_id", "sha", "same").join(placed, "same"), "placed")
     stay = found.groupBy("root").agg(F.min(order).alias("first"))
@@ -316,7 +316,7 @@ def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity:
     """
     meets = staged(_meetings(heads, similarity), "meets")
     clumps = connected(meets).select("node", F.col("root").alias("clump"))
-    members = staged(heads.select("node", "sha").join(clumps, "node"), "members")
+    members = staged(heads.select("node", "sha").join(key_side(clumps), "node"), "members")
     rows = _differences(members, docs, shingle, (1 - similarity) / (1 + similarity))
     least = rows.groupBy("clump").agg(F.min(F.struct("slack", "node")).alias("least"))
     compared = staged(lookup_join(rows.drop("sketch"), staged(least, "least"), ["clump"], "inner", [F.col("node")]), "slacks")
@@ -338,18 +338,20 @@ def _similar_pairs(docs: DataFrame, heads: DataFrame, shingle: int, similarity:
     shared = posted.groupBy(*key).agg(
         F.count("*").alias("n"), F.bool_or("heavy").alias("any"), F.min(F.struct("slack", "node", "left", "heavy")).alias("first")
     )
-    met = staged(posted.join(shared.where("n > 1 and any").drop("any"), key), "met")
+    shared = key_side(shared.where("n > 1 and any").drop("any"), fits_broadcast(posted))
+    met = staged(posted.join(shared, key), "met")
     rest = met.where(F.col("node") != F.col("first.node"))
     stars = rest.where(_can_link(F.struct("slack", "left", "heavy"), F.col("first")))
     stars = _pair(F.col("first.node"), F.col("node"), stars)
     near = staged(direct.unionAll(_verified(stars, rows)), "near")
     # Pairs within a component, and those with the first, need no further comparison.
-    others = rest.where("n > 2").join(connected(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    others = rest.where("n > 2").join(key_side(connected(near)), "node", "left").withColumn("root", F.coalesce("root", "node"))
     others = staged(others.select(*key, "node", "slack", "left", "heavy", "root"), "others")
     for _ in range(2):  # What goes in the first round no longer keeps others in the second.
         others = staged(_reaching(others, key), "reaching")
     sketches = rows.select("node", "sketch", (F.size("edits") - F.col("slack")).alias("spare"))
-    pairs = _pairs_apart(staged(others.join(sketches, "node"), "apart"), key)
+    apart = key_side(others).join(sketches, "node")
+    pairs = _pairs_apart(staged(apart, "apart"), key)
     return near.unionAll(_verified(pairs, rows))
 
 
@@ -580,12 +582,13 @@ def _differences(members: DataFrame, docs: DataFrame, shingle: int, factor: floa
     sets = _sets_of(members, docs, shingle)
     order = Window.partitionBy("clump").orderBy(F.xxhash64("node"), "node")
     chosen = members.select("clump", "node", F.row_number().over(order).alias("n")).where(F.col("n") <= SAMPLED)
-    sample = sets.join(chosen.select("node"), "node", "left_semi")
+    few = fits_broadcast(members.select("node"))
+    sample = sets.join(key_side(chosen.select("node"), few), "node", "left_semi")
     centres = sample.repartition("clump").sortWithinPartitions("clump").mapInArrow(
         _centres, "clump long, tokens binary, counts binary, sampled int"
     )
     slots = members.groupBy("clump").agg(F.ceil(F.count("*") / F.lit(SLOT_PAIRS)).cast("long").alias("slots"))
-    named = staged(centres.join(slots, "clump"), "centres")
+    named = staged(centres.join(key_side(slots, few), "clump"), "centres")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
     heads = named.select("clump", every.alias("slot"), F.lit(None).cast("long").alias("node"), "tokens", "counts", "sampled")
     counts = named.select("clump", "slots")
@@ -666,7 +669,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 def _sets_of(members: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """``node, clump, hashes``: the shingle sets of ``members``, read from their texts."""
     texts = docs.select(text_sha(F.col("text")).alias("sha"), F.col("text").cast("binary").alias("text"))
-    wanted = lookup_join(texts, members, ["sha"], "inner", [F.monotonically_increasing_id()])
+    wanted = lookup_join(texts, members, ["sha"], "inner", [F.monotonically_increasing_id()], wide=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -683,14 +686,15 @@ def _sets_of(members: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs that are similar by their differences; a node in many pairs is dealt over slots."""
     pairs = staged(pairs, "candidates")
+    few = fits_broadcast(pairs)
     slots = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(SLOT_PAIRS)).cast("long").alias("slots"))
     asked = staged(
-        pairs.join(slots, "a").select("a", F.pmod(F.xxhash64("b"), F.col("slots")).alias("slot"), "b"),
+        pairs.join(key_side(slots, few), "a").select("a", F.pmod(F.xxhash64("b"), F.col("slots")).alias("slot"), "b"),
         "asked",
     )
     known = rows.select(F.col("node").alias("b"), "slack", "edits")
-    own = asked.select("a", "slot").distinct().withColumn("b", F.col("a")).join(known, "b")
-    both = own.unionByName(asked.join(known, "b"))
+    own = key_side(asked.select("a", "slot").distinct().withColumn("b", F.col("a")), few).join(known, "b")
+    both = own.unionByName(key_side(asked, few).join(known, "b"))
     # A node has a smaller number than those it is compared with, so its own row comes first.
     dealt = both.select("a", "slot", "b", "slack", "edits").repartition("a", "slot").sortWithinPartitions("a", "slot", "b")
     return dealt.mapInArrow(_compared, "a long, b long")

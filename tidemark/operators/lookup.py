@@ -9,6 +9,8 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringTy
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 MAX_SALTS = 256
+# Bits of a block of a sieve of keys, and its blocks at most (32 MB).
+BLOCK_BITS, SIEVE_BLOCKS = 32_768, 8192
 
 
 def salts_of(spark: SparkSession) -> int:
@@ -50,6 +52,15 @@ def _extra_bytes(column: Column, kind: DataType) -> Column | None:
     return None
 
 
+def key_side(table: DataFrame, few: bool | None = None) -> DataFrame:
+    """``table`` for a join by keys that Spark may broadcast only if its rows are known or measured to be few.
+
+    Spark goes by the size of the files below and by an assumed width of the columns, so millions of
+    ids can look small enough.  With more rows both sides of the join are shuffled.
+    """
+    return table if few or few is None and fits_broadcast(table) else table.hint("merge")
+
+
 def lookup_join(
     facts: DataFrame,
     table: DataFrame,
@@ -57,6 +68,7 @@ def lookup_join(
     how: str,
     spread: list[Column | str],
     small: bool | None = None,
+    wide: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``table`` on ``on`` (inner, left, left_semi or left_anti).
 
@@ -66,14 +78,48 @@ def lookup_join(
     still too large.  (Without the salt, a later grouping by the key and something else would
     reuse the join's partitioning, and then adaptive execution may not split it.)  Pass
     tables that are cheap to read (written ones), since measuring reads them.
+
+    With nothing to ``spread`` by there is no salt: for keys like ids, which few rows share.
+    ``wide`` says that ``facts`` has texts and few of its rows are in ``table`` (not for left
+    joins; both have the same types of keys): rows whose key is surely not there are not shuffled.
     """
     if small if small is not None else fits_broadcast(table):
         return facts.join(F.broadcast(table), on, how)
+    if wide:
+        maybe = _unused("_maybe", facts, table)
+        judged = _sieved(facts, table, on, maybe)
+        found = lookup_join(judged.where(F.col(maybe)).drop(maybe), table, on, how, spread, small=False)
+        return found.unionByName(judged.where(~F.col(maybe)).drop(maybe)) if how == "left_anti" else found
+    if not spread:
+        return facts.join(key_side(table, few=False), on, how)
     salts = salts_of(facts.sparkSession)
-    salt = "_salt"
-    while salt in {c.lower() for c in [*facts.columns, *table.columns]}:
-        salt += "_"
+    salt = _unused("_salt", facts, table)
     salted = facts.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
     repeated = table.withColumn(salt, F.explode(every_salt))
-    return salted.join(repeated, [*on, salt], how).drop(salt)
+    # Spark's estimate does not count the salts, so it would broadcast them all.
+    return salted.join(key_side(repeated, few=False), [*on, salt], how).drop(salt)
+
+
+def _unused(name: str, *frames: DataFrame) -> str:
+    while name in {c.lower() for frame in frames for c in frame.columns}:
+        name += "_"
+    return name
+
+
+def _sieved(facts: DataFrame, table: DataFrame, on: list[str], maybe: str) -> DataFrame:
+    """``facts`` and, as ``maybe``, whether a key of the table has set the bit of the own key's hash.
+
+    The bits are broadcast: 64 for each row of the table up to ``SIEVE_BLOCKS``, then fewer, with
+    which more rows may be there.
+    """
+    block, bits = _unused("_block", facts, table), _unused("_bits", facts, table)
+    blocks = min(max(1, -(-64 * table.count() // BLOCK_BITS)), SIEVE_BLOCKS)
+    place = F.pmod(F.xxhash64(*on), F.lit(blocks * BLOCK_BITS))
+    own = F.pmod(place, F.lit(BLOCK_BITS))
+    number = F.floor(place / BLOCK_BITS).alias(block)
+    sieve = table.select(number, own.alias("own")).groupBy(block).agg(F.bitmap_construct_agg("own").alias(bits))
+    byte = F.substring(bits, (own / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(own, F.lit(8)).cast("int")) == 1
+    joined = facts.select("*", number).join(F.broadcast(sieve), block, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in facts.columns], F.coalesce(is_set, F.lit(False)).alias(maybe))
