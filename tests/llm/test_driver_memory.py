@@ -51,3 +51,16 @@ def test_near_copies(spark, plans, monkeypatch):
         assert not bad, (label, bad[0])
     monkeypatch.undo()
     assert found == rows_of(simhash.first_of_each_group(docs)) and len(found) < docs.count()
+
+
+def test_scores(spark, plans, monkeypatch):
+    docs = copies(spark).unionByName(copies(spark).where("doc_id % 3 = 0"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality")).where("doc_id % 5 > 0 OR doc_id IS NULL")
+    monkeypatch.setattr(scoring, "CHUNK", 4096)
+    found = rows_of(scoring.quality_scores(docs, labels))
+    assert not [p for p in plans["marks"] if "BroadcastHashJoin" in p]
+    # Texts are chunked where they lie.
+    assert not [p for p in plans["chunks"] if "Join" in p]
+    good = {r.doc_id for r in labels.where("quality = 1").collect()} - {None}
+    marked = scoring.cross_entropy_difference(docs, F.col("doc_id").isin(*good))
+    assert found == rows_of(marked) and "in_target=True" in "".join(found)

@@ -52,20 +52,29 @@ def cross_entropy_difference(
     null ids stay null, texts are read whole, other columns are ignored, and an empty table gives
     no rows.
     """
+    return _differences(_chunked(docs, in_target, text, doc_id))
+
+
+def _chunked(docs: DataFrame, in_target: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The written chunks; ``in_target`` has a bit for each of a chunk's rows."""
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(in_target, F.lit(False)).alias("in_target"),
         F.col(text).cast("binary").alias("text"),
     )
     kind = docs.schema[doc_id].dataType.simpleString()
-    chunks = staged(
+    return staged(
         rows.mapInArrow(
             _chunks,
-            f"chunk long, doc_ids array<{kind}>, in_target array<boolean>, lengths array<long>, "
+            f"chunk long, doc_ids array<{kind}>, in_target binary, lengths array<long>, "
             "words binary, vocabulary binary, n_words long, n_target_words long",
         ),
         "chunks",
     )
+
+
+def _differences(chunks: DataFrame) -> DataFrame:
+    kind = chunks.schema["doc_ids"].dataType.elementType.simpleString()
     total = chunks.agg(
         F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"),
         F.coalesce(F.sum("n_target_words"), F.lit(0)).alias("target_words"),
@@ -132,7 +141,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array([(part << 33) + number]),
                 pa.ListArray.from_arrays([0, len(ids_of)], ids_of),
-                pa.array([marks]),
+                pa.array([np.packbits(marks).tobytes()], pa.binary()),
                 pa.array([lengths]),
                 pa.array([pa.compress(_planes(rank[ids], 4), _ZSTD, asbytes=True)]),
                 pa.array([vocabulary[order].tobytes()], pa.binary()),
@@ -177,6 +186,10 @@ def _from_planes(data: bytes, width: int) -> np.ndarray:
     return values.view("<u8").ravel()
 
 
+def _bits(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
+
+
 class _Keys:
     """A chunk's texts as places in the sorted list of its keys."""
 
@@ -186,7 +199,8 @@ class _Keys:
         ids = _from_planes(pa.decompress(row["words"], size * 4, _ZSTD, asbytes=True), 4)
         words = np.frombuffer(row["vocabulary"], np.uint64)[ids.astype(np.int64)]
         self.owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.mine = np.array(row["in_target"], bool)[self.owner]
+        self.in_target = _bits(row["in_target"], len(self.lengths))
+        self.mine = self.in_target[self.owner]
         self.follows = np.zeros(size, bool)
         self.follows[1:] = self.owner[1:] == self.owner[:-1]
         pairs = ((np.roll(words, 1) * np.uint64(31) ^ words) * _STIR)[self.follows]
@@ -286,7 +300,7 @@ def _score(chunk: pa.Table, answers: pa.Table, totals: tuple[int, int]) -> pa.Ta
             "target_loss": pa.array(losses[0], mask=none),
             "background_loss": pa.array(losses[1], mask=none),
             "score": pa.array(losses[0] - losses[1], mask=none),
-            "in_target": pa.array(row["in_target"], pa.bool_()),
+            "in_target": pa.array(known.in_target, pa.bool_()),
         }
     )
 
@@ -350,15 +364,34 @@ def _hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Scores with the documents labelled good as target; repeated labels: any good one counts."""
+    """Scores with the documents labelled good as target; repeated labels: any good one counts.
+
+    The ids of the chunks are looked up, not the rows with their texts, which stay where they are.
+    """
     good = staged(
-        labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-        .select("doc_id")
-        .distinct()
-        .withColumn("good", F.lit(True)),
+        labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct(),
         "good",
     )
-    marked = lookup_join(
-        docs.select("doc_id", "text"), good, ["doc_id"], "left", [F.xxhash64("doc_id")]
+    chunks = _chunked(docs, F.lit(False))
+    rows = chunks.select("chunk", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("at", "row"))
+    rows = rows.select("chunk", "at", F.col("row.doc_ids").alias("doc_id"), F.col("row.lengths").alias("length"))
+    found = lookup_join(rows, good, ["doc_id"], "left_semi", [])
+    marks = staged(found.groupBy("chunk").applyInArrow(_marks, "chunk long, marks binary, marked_words long"), "marks")
+    marked = lookup_join(chunks, marks, ["chunk"], "left", [])
+    # Bits that are left out at the end are zero.
+    named = {"in_target": F.coalesce("marks", "in_target"), "n_target_words": F.coalesce("marked_words", F.lit(0))}
+    return _differences(marked.withColumns(named).drop("marks", "marked_words"))
+
+
+def _marks(found: pa.Table) -> pa.Table:
+    """The bits of a chunk's rows that are found, and how many words these have."""
+    at = found["at"].to_numpy()
+    bits = np.zeros(at.max() + 1, bool)
+    bits[at] = True
+    return pa.table(
+        {
+            "chunk": found["chunk"][:1],
+            "marks": pa.array([np.packbits(bits).tobytes()], pa.binary()),
+            "marked_words": pa.array([int(found["length"].to_numpy().sum())]),
+        }
     )
-    return cross_entropy_difference(marked, F.col("good"))
