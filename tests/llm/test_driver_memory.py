@@ -53,6 +53,18 @@ def test_near_copies(spark, plans, monkeypatch):
     assert found == rows_of(simhash.first_of_each_group(docs)) and len(found) < docs.count()
 
 
+def test_audit(spark, plans, monkeypatch):
+    docs = copies(spark)
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).alias("toxic"))
+    facts = audit.document_facts(docs, labels)
+    found = rows_of(audit.filter_interactions(facts, audit.failing_ids(facts)))
+    for label in ("members", "failing-E", "cells"):
+        assert not [p for p in plans[label] if "BroadcastHashJoin" in p], label
+    monkeypatch.undo()
+    facts = audit.document_facts(docs, labels)
+    assert found == rows_of(audit.filter_interactions(facts, audit.failing_ids(facts)))
+
+
 def test_scores(spark, plans, monkeypatch):
     docs = copies(spark).unionByName(copies(spark).where("doc_id % 3 = 0"))
     labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality")).where("doc_id % 5 > 0 OR doc_id IS NULL")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact import text_sha
-from tidemark.operators.lookup import lookup_join
+from tidemark.operators.lookup import fits_broadcast, lookup_join
 from tidemark.session import staged
 
 # n filters have n! orders, each with a row per step.
@@ -58,7 +58,7 @@ def document_facts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "facts",
     )
     flags = staged(known, "label-flags")
-    return staged(lookup_join(read, flags, ["id"], "left", [F.col("row")]).na.fill(False, ["good", "toxic"]), "members")
+    return staged(lookup_join(read, flags, ["id"], "left", []).na.fill(False, ["good", "toxic"]), "members")
 
 
 def failing_ids(facts: DataFrame) -> dict[str, DataFrame]:
@@ -89,13 +89,16 @@ def failure_cells(members: DataFrame, failing: dict[str, DataFrame], key: str =
     """``members`` and ``failed``: the number whose bit n says that the row fails filter n.
 
     Each table splits the rows by a left-semi and a left-anti join on the unique key.  A split is
-    written before the next, so the plan stays short; rows never multiply.
+    written before the next, so the plan stays short; rows never multiply.  Tables are
+    broadcast only if they are measured to be small.
     """
     cells = members.withColumn("failed", F.lit(0))
     for bit, ids in enumerate(failing.values()):
         wanted = ids.select(key)
-        inside = cells.join(wanted, key, "left_semi").withColumn("failed", F.col("failed") + F.lit(1 << bit))
-        cells = staged(inside.unionByName(cells.join(wanted, key, "left_anti")), "cells")
+        small = fits_broadcast(wanted)
+        inside = lookup_join(cells, wanted, [key], "left_semi", [], small)
+        inside = inside.withColumn("failed", F.col("failed") + F.lit(1 << bit))
+        cells = staged(inside.unionByName(lookup_join(cells, wanted, [key], "left_anti", [], small)), "cells")
     return cells
 
 
